@@ -510,7 +510,9 @@ class Given:
         return self.table("conversations").filter(turn % 3 != 0).select(
             F.col("conv_id").alias("message_id"),
             F.concat(F.lit("att"), turn.cast("string")).alias("attachment_id"),
-            F.translate(F.base64(F.upper("text").cast("binary")), "+/", "-_").alias("data"),
+            F.translate(
+                F.base64(F.concat(F.lit("stored: "), F.col("text")).cast("binary")), "+/", "-_"
+            ).alias("data"),
         )
 
     def received(self) -> DataFrame:
