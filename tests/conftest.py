@@ -34,7 +34,7 @@ def rows(spark):
 
     def build(name, records):
         schema = schemas.SAMPLES if name == "samples" else schemas.TABLES[name]
-        loose = schemas._without_constraints(schema)
+        loose = schemas.without_constraints(schema)
         return spark.createDataFrame(
             [tuple(r.get(f.name) for f in loose.fields) for r in records], loose
         )

@@ -197,3 +197,17 @@ def test_location_steps(rows, now):
     assert got == {1: 1, 2: 2, 3: 2, 4: 8}
     none = location.assign_locations(device, single, rows("dbo.locations", [])).collect()
     assert {r.deviceSK: r.LocationFK for r in none} == {1: -1, 2: -1, 3: -1, 4: 8}
+
+
+def test_many_null_keys_are_each_inserted(rows, averages, now):
+    batch = averages(*[sample(firmware=None, device_name=f"d{i}") for i in range(40)],
+                     sample(firmware="FW_A", device_name="d0", mac_address="A9"))
+    got = upsert.upsert_firmware(rows("dbo.deviceFirmware", []), batch, now).collect()
+    assert sorted(r.deviceFirmwareSK for r in got) == list(range(1, 42))
+    assert sum(r.firmwareName is None for r in got) == 40
+
+
+def test_raw_samples_are_hashed_not_sorted(rows, averages):
+    plan = averages(sample())._jdf.queryExecution().executedPlan().toString()
+    first_shuffle = plan.rindex("Exchange hashpartitioning")
+    assert "Sort" not in plan[first_shuffle:]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake import schemas
+from wattlake.functions.text import fold
 from wattlake.operators.keys import with_surrogate_keys
 from wattlake.operators.upsert import POWER_UNIT, STATUS_SOURCE, attach_key, moment
 
@@ -50,7 +51,7 @@ def device_hardware(samples: DataFrame) -> DataFrame:
 
 
 def sample_aggregates() -> list[Column]:
-    """Aggregates of one averaged row, shared by batch and stream."""
+    """Aggregates of one averaged row in one step, as a stream keeps them."""
     return [
         F.max("ip_address").alias("ip_address"),
         F.min("signal_strength").alias("signal_strength"),
@@ -70,10 +71,31 @@ def sample_average(samples: DataFrame, load_ts: dt.datetime) -> DataFrame:
 
     Grouping compares text exactly.  The average is a real number; ``sampled_at``
     is the stamp of the collection run.
+
+    The highest of a text column cannot be kept in a hash table of fixed-width
+    rows, and Spark would sort all samples to find it.  So samples are first
+    reduced per device and description with numbers only, which hashes, and the
+    few descriptions of a device meet in a second step.
     """
+    reduced = samples.groupBy(*SAMPLE_KEYS, "ip_address", "model", "firmware").agg(
+        F.min("signal_strength").alias("signal_strength"),
+        F.max("state").alias("state"),
+        F.sum(F.col("power_mw").cast("bigint")).alias("__power"),
+        F.count("power_mw").alias("__readings"),
+        F.count(F.lit(1)).alias("__samples"),
+    )
+    average = F.sum("__power") / F.nullif(F.sum("__readings"), F.lit(0))
     return (
-        samples.groupBy(*SAMPLE_KEYS)
-        .agg(*sample_aggregates())
+        reduced.groupBy(*SAMPLE_KEYS)
+        .agg(
+            F.max("ip_address").alias("ip_address"),
+            F.min("signal_strength").alias("signal_strength"),
+            F.max("model").alias("model"),
+            F.max("firmware").alias("firmware"),
+            F.max("state").alias("state"),
+            average.alias("avg_power_mw"),
+            F.sum("__samples").cast("int").alias("sample_count"),
+        )
         .withColumn("sampled_at", moment(load_ts))
     )
 
@@ -98,14 +120,11 @@ def usage_rows(
     keyed = attach_key(averages, device,
                        {"mac_address": "macAddress", "serial_number": "serialNumber"},
                        "deviceSK", "deviceFK")
-    keyed = keyed.withColumn("__source", F.lit(source_system)).withColumn(
-        "__unit", F.lit(POWER_UNIT)
-    )
+    keyed = keyed.withColumn("__source", F.lit(source_system))
     keyed = attach_key(keyed, status,
                        {"state": "statusNumberRepresentation", "__source": "sourceSystem"},
                        "statusSK", "deviceStateFK")
-    keyed = attach_key(keyed, power_scales, {"__unit": "unitOfPower"},
-                       "powerScaleSK", "devicePowerScaleFK")
+    milliwatt = power_scales.filter(fold(F.col("unitOfPower")) == fold(F.lit(POWER_UNIT)))
     keyed = with_surrogate_keys(keyed, "deviceUsageDataSK", [*SAMPLE_KEYS, "sampled_at"], start)
     values = {
         "deviceUsageDataSK": F.col("deviceUsageDataSK"),
@@ -113,7 +132,7 @@ def usage_rows(
         "deviceSignalStrength": F.col("signal_strength"),
         "deviceStateFK": F.col("deviceStateFK"),
         "devicePowerUsage": F.col("avg_power_mw"),
-        "devicePowerScaleFK": F.col("devicePowerScaleFK"),
+        "devicePowerScaleFK": milliwatt.agg(F.max("powerScaleSK")).scalar(),
         "dataPointSampleSize": F.col("sample_count"),
         "dataPointAddedDate": moment(load_ts) if added is None else added,
     }

@@ -61,7 +61,9 @@ def publish_locations(
     """
     place = [F.col(c) for c in PLACE]
     wanted = (
-        override.groupBy(match_key(*place).alias("__key"))
+        override.select(*PLACE)
+        .distinct()
+        .groupBy(match_key(*place).alias("__key"))
         .agg(F.min(F.struct(*place)).alias("__place"))
         .filter(F.col("__key").isNotNull())
     )

@@ -21,6 +21,9 @@ DEFAULT_SUBNET_MASK = "255.255.255.0"
 POWER_UNIT = "Milliwatt"
 STATUS_SOURCE = "SampleCollector"
 
+# What tells averaged rows apart.
+ROW = ["mac_address", "serial_number", "device_name", "sampled_at"]
+
 
 def moment(ts: dt.datetime) -> Column:
     """A literal load time; passed in, so a plan never reads the clock."""
@@ -35,6 +38,7 @@ def upsert(
     update: dict[str, Column] | None = None,
     insert: dict[str, Column] | None = None,
     latest_by: list[str] | None = None,
+    spread_by: list[str] | None = None,
     case_insensitive: bool = True,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys`` and number the new rows.
@@ -44,37 +48,54 @@ def upsert(
     they act in order of ``latest_by``: the last one sets the row.  A key that is
     new and comes more than once is inserted by the first row and then updated
     by the later ones, so its update columns are set too.
+
+    Rows whose key holds NULL may be very many and all alike; ``spread_by`` names
+    source columns that tell them apart, so that numbering them is shared out.
     """
     update = update or {}
     insert = {**{k: F.col(k) for k in keys}, **(insert or {})}
     fields = target.schema.fields
 
-    incoming = source.select(
-        match_key(*[F.col(k) for k in keys], case_insensitive=case_insensitive).alias("__key"),
-        F.struct(*[F.col(k) for k in (latest_by or keys)]).alias("__order"),
-        F.struct(
-            *[value.alias(f"u_{name}") for name, value in update.items()],
-            *[value.alias(f"i_{name}") for name, value in insert.items()],
-        ).alias("__new"),
+    spread = spread_by or []
+    key = match_key(*[F.col(k) for k in keys], case_insensitive=case_insensitive)
+    new = F.struct(
+        key.alias("key"),
+        *[value.alias(f"u_{name}") for name, value in update.items()],
+        *[value.alias(f"i_{name}") for name, value in insert.items()],
     )
+
+    matchable = source.filter(key.isNotNull())
+    if latest_by is None:
+        # Without an order, equal rows act alike: count them.  A lookup sees a few
+        # values over and over, and this leaves one row of each.
+        used = [c for c in source.columns if c not in spread]
+        matchable = matchable.groupBy(*used).agg(F.count(F.lit(1)).alias("__count"))
+    else:
+        matchable = matchable.withColumn("__count", F.lit(1).cast("bigint"))
     changes = (
-        incoming.filter(F.col("__key").isNotNull())
+        matchable.select(
+            key.alias("__key"), new.alias("__new"), "__count",
+            F.struct(*[F.col(k) for k in (latest_by or keys)]).alias("__order"),
+        )
         .groupBy("__key")
-        .agg(F.max_by("__new", "__order").alias("__new"), F.count(F.lit(1)).alias("__times"))
+        .agg(F.max_by("__new", "__order").alias("__new"), F.sum("__count").alias("__times"))
+        # The key is taken from the chosen row: a source with one constant key would
+        # otherwise turn the equality below into a condition without join columns.
+        .select(F.col("__new.key").alias("__key"), "__new", "__times")
+    )
+    unmatchable = source.filter(key.isNull()).select(
+        "*", key.alias("__key"), new.alias("__new"), F.lit(1).cast("bigint").alias("__times")
     )
-    unmatchable = incoming.filter(F.col("__key").isNull()).select(
-        "__key", "__new", F.lit(1).cast("bigint").alias("__times")
+    tie_break = [f"__spread_{c}" for c in spread]
+    unmatchable = unmatchable.select(
+        "__key", "__new", "__times",
+        *[F.col(c).alias(name) for c, name in zip(spread, tie_break)],
     )
 
     # Target rows whose key holds NULL get a private key: it matches nothing and,
     # unlike NULL, does not pile all of them up in one shuffle partition.
     private = F.concat(F.lit(NULL_MARK), F.col(sk).cast("string"))
-    current = target.withColumn(
-        "__key",
-        F.coalesce(
-            match_key(*[F.col(k) for k in keys], case_insensitive=case_insensitive), private
-        ),
-    )
+    current = target.withColumn("__key", F.coalesce(key, private))
 
     if update:
         joined = current.join(changes, "__key", "left")
@@ -98,12 +119,15 @@ def upsert(
             return F.when(F.col("__times") > 1, F.col(f"__new.u_{name}")).otherwise(first)
         return first
 
-    fresh = changes.join(current.select("__key"), "__key", "left_anti").unionByName(unmatchable)
+    fresh = changes.join(current.select("__key"), "__key", "left_anti").unionByName(
+        unmatchable, allowMissingColumns=True
+    )
     fresh = fresh.select(
-        *[inserted(f.name).cast(f.dataType).alias(f.name) for f in fields if f.name != sk]
+        *[inserted(f.name).cast(f.dataType).alias(f.name) for f in fields if f.name != sk],
+        *tie_break,
     )
     numbered = with_surrogate_keys(
-        fresh, sk, order_by=list(keys), start=next_start(target, sk)
+        fresh, sk, order_by=[*keys, *tie_break], start=next_start(target, sk)
     )
     return kept.unionByName(numbered.select(*[f.name for f in fields]))
 
@@ -144,12 +168,13 @@ def upsert_firmware(
     target: DataFrame, averages: DataFrame, load_ts: dt.datetime
 ) -> DataFrame:
     """Get or create firmware by name; a match takes the incoming spelling."""
-    source = averages.select(F.col("firmware").alias("firmwareName"))
+    source = averages.select(F.col("firmware").alias("firmwareName"), *ROW)
     return upsert(
         target,
         source,
         keys=["firmwareName"],
         sk="deviceFirmwareSK",
+        spread_by=ROW,
         update={"firmwareName": F.col("firmwareName")},
         insert={"firmwareAddedDate": moment(load_ts), "isCurrent": F.lit(True)},
     )
@@ -179,12 +204,13 @@ def upsert_firmware_version(
 
 def upsert_network(target: DataFrame, averages: DataFrame, load_ts: dt.datetime) -> DataFrame:
     """Get or create a network address and set its protocol version."""
-    source = averages.select(F.col("ip_address").alias("ipAddress"))
+    source = averages.select(F.col("ip_address").alias("ipAddress"), *ROW)
     return upsert(
         target,
         source,
         keys=["ipAddress"],
         sk="networkMetadataSK",
+        spread_by=ROW,
         update={"ipAddress": F.col("ipAddress"), "tcpIPversion": F.lit(IP_VERSION)},
         insert={
             "subnetMask": F.lit(DEFAULT_SUBNET_MASK),
@@ -196,12 +222,13 @@ def upsert_network(target: DataFrame, averages: DataFrame, load_ts: dt.datetime)
 
 def upsert_device_type(target: DataFrame, averages: DataFrame) -> DataFrame:
     """Get or create a device type by its label (the model text)."""
-    source = averages.select(F.col("model").alias("deviceTypeLabel"))
+    source = averages.select(F.col("model").alias("deviceTypeLabel"), *ROW)
     return upsert(
         target,
         source,
         keys=["deviceTypeLabel"],
         sk="deviceTypeSK",
+        spread_by=ROW,
         update={"deviceTypeLabel": F.col("deviceTypeLabel")},
     )
 
@@ -231,12 +258,14 @@ def upsert_status(
     source = averages.select(
         F.col("state").alias("statusNumberRepresentation"),
         F.lit(source_system).alias("sourceSystem"),
+        *ROW,
     )
     return upsert(
         target,
         source,
         keys=["statusNumberRepresentation", "sourceSystem"],
         sk="statusSK",
+        spread_by=ROW,
         update={
             "sourceSystem": F.col("sourceSystem"),
             "statusChangedDate": moment(load_ts),
@@ -292,4 +321,5 @@ def upsert_device(
         update=written,
         insert={**written, "deviceAddedDate": moment(load_ts)},
         latest_by=["sampled_at", "friendlyName"],
+        spread_by=["friendlyName", "sampled_at"],
     )

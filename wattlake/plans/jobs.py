@@ -34,7 +34,10 @@ def load_averages(
     load_ts: dt.datetime,
     added: Column | None = None,
 ) -> None:
-    """Upsert the lookups and devices of averaged rows, then append their usage."""
+    """Upsert the lookups and devices of averaged rows, then append their usage.
+
+    ``averages`` should be stored rows: seven steps read them.
+    """
 
     def before(table: str) -> DataFrame:
         return warehouse.read(f"dbo.{table}", before=load)
@@ -78,9 +81,14 @@ def load_averages(
 def collect_samples(
     warehouse: Warehouse, samples: DataFrame, load: int, load_ts: dt.datetime
 ) -> None:
-    """One collection run: clamp, average and load raw samples."""
+    """One collection run: clamp, average and load raw samples.
+
+    The averages are stored before they are loaded, so the samples are read once.
+    """
     averages = collect.sample_average(collect.clamp_power(samples), load_ts)
-    load_averages(warehouse, averages, load, load_ts)
+    warehouse.write("acq.averagedDataPoints", averages, load)
+    stored = warehouse.read("acq.averagedDataPoints", before=load + 1)
+    load_averages(warehouse, stored, load, load_ts)
 
 
 def set_location_overrides(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> None:

@@ -65,6 +65,11 @@ _DDL: dict[str, str] = {
     "acq.etlAuditLog": """
         etlJobName STRING NOT NULL, etlStartOrStop STRING NOT NULL,
         etlStartStopDate TIMESTAMP_NTZ NOT NULL, etlJobResult STRING""",
+    "acq.averagedDataPoints": """
+        mac_address STRING, serial_number STRING, device_name STRING,
+        ip_address STRING, signal_strength INT, model STRING, firmware STRING,
+        state INT, avg_power_mw DOUBLE, sample_count INT,
+        sampled_at TIMESTAMP_NTZ NOT NULL""",
     # --- star schema ----------------------------------------------------------
     "dw.dimDevice": """
         deviceIK BIGINT NOT NULL, deviceNaturalKey BIGINT NOT NULL,
@@ -127,6 +132,7 @@ _TYPES = {
     "BIGINT": T.LongType(),
     "INT": T.IntegerType(),
     "SMALLINT": T.ShortType(),
+    "DOUBLE": T.DoubleType(),
     "BOOLEAN": T.BooleanType(),
     "STRING": T.StringType(),
     "DATE": T.DateType(),
@@ -142,14 +148,14 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def _without_constraints(schema: T.StructType) -> T.StructType:
+def without_constraints(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
 TABLES: dict[str, T.StructType] = {name: _struct(ddl) for name, ddl in _DDL.items()}
 for _name in MIRRORED:
-    TABLES[f"acq.{_name}"] = _without_constraints(TABLES[f"dbo.{_name}"])
-TABLES[QUARANTINE] = _without_constraints(TABLES["acq.etlFactRecordStaging"])
+    TABLES[f"acq.{_name}"] = without_constraints(TABLES[f"dbo.{_name}"])
+TABLES[QUARANTINE] = without_constraints(TABLES["acq.etlFactRecordStaging"])
 
 #: Raw device samples, one row per device per poll.
 SAMPLES = _struct(

@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake import schemas
 from wattlake.operators import collect, dates, facts, scd
@@ -30,12 +31,12 @@ def _ts(value: dt.datetime) -> Column:
 
 
 def _as(df: DataFrame, name: str, values: dict[str, Column]) -> DataFrame:
-    return df.select(
-        *[
-            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schemas.TABLES[name].fields
-        ]
-    )
+    """Name and cast the given values; columns of the table without one are NULL."""
+    named = df.select(*[value.alias(column) for column, value in values.items()])
+    return named.to(schemas.without_constraints(schemas.TABLES[name]))
+
+
+_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
 
 
 class Given:
@@ -46,7 +47,11 @@ class Given:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is taken from the files once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _KNOWN_SCHEMAS:
+            _KNOWN_SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
 
     def stream(self, name: str) -> DataFrame:
         """A given table as a stream of its files, all in the first batch.
@@ -98,7 +103,8 @@ class Given:
                 .when(kind == "click", 2)
                 .otherwise(3),
                 "devicePowerUsage": F.when(event % 97 != 0, F.round(F.col("value") * 1000)),
-                "devicePowerScaleFK": F.lit(1),
+                # Always 1, but a column as in a stored table, not a constant.
+                "devicePowerScaleFK": event % 1 + 1,
                 "deviceCurrentTemperature": event % 40 - 20,
                 "dataPointSampleSize": event % 15 + 1,
                 "dataPointAddedDate": F.col("ts"),

@@ -108,14 +108,11 @@ def warehouse_sink(warehouse: Warehouse, first_load: int = 1) -> Callable[[DataF
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            latest = batch.agg(F.max("sampled_at")).first()[0]
-            if latest is not None:
-                load_averages(
-                    warehouse, batch, first_load + batch_id, latest, added=F.col("sampled_at")
-                )
-        finally:
-            batch.unpersist()
+        load = first_load + batch_id
+        warehouse.write("acq.averagedDataPoints", batch, load)
+        averages = warehouse.read("acq.averagedDataPoints", before=load + 1)
+        latest = averages.agg(F.max("sampled_at")).first()[0]
+        if latest is not None:
+            load_averages(warehouse, averages, load, latest, added=F.col("sampled_at"))
 
     return apply
