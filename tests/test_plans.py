@@ -89,3 +89,38 @@ def test_a_hot_device_is_reduced_before_the_join(spark):
     got = facts.quarter_hour_aggregate(usage, given.device())
     hot = got.filter("deviceFK = 1").agg(F.count("*"), F.max("maxDeviceUsageDataSK")).first()
     assert hot[0] < usage.filter("deviceFK = 1").count()
+
+
+def test_a_hot_device_is_split_when_the_device_table_is_big(spark):
+    """The detail report keeps every reading; its skewed join is split at run time."""
+    given = Given(spark, "/root/testdata/sf0.01")
+    usage = given.usage().withColumn(
+        "deviceFK", F.when(F.col("deviceUsageDataSK") % 3 > 0, F.col("deviceUsageDataSK") % 1400 + 1)
+        .otherwise(F.lit(1)))
+    usage = usage.repartition(16)
+
+    def report():
+        return reports.denormalized_report(
+            usage, given.device(), given.network_metadata(), given.device_types(),
+            given.status_list(), given.locations())
+
+    expected = sorted(map(str, report().collect()))
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        df = report()
+        got = sorted(map(str, df.collect()))
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+        assert got == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -81,6 +81,7 @@ def test_where_on_a_column_that_is_not_shown(model):
         "den": 100, "kitchen": 301}
     assert {r[0]: r[1] for r in watts({"Floor of House": "two"})} == {"kitchen": 301}
     assert watts({"Year": lambda c: c > 2024}) == []
+    assert {r[0]: r[1] for r in watts({"Floor of House": lambda c: c.isNull()})} == {None: 7}
 
 
 def test_drill_has_every_level(model):

@@ -264,6 +264,21 @@ def test_stage_refresh_replaces_and_slices(warehouse, given):
     refresh_stage(warehouse, 3, start_sk=900)
     assert warehouse.read("acq.deviceUsageData").agg(F.min("deviceUsageDataSK")).first()[0] == 901
     assert warehouse.read("acq.IoTDevice").count() == given.device().count()
+    assert warehouse.loads("acq.deviceUsageData") == [3]
+    assert warehouse.loads("dbo.deviceUsageData") == [1]
+    with pytest.raises(ValueError, match="not a staging table"):
+        warehouse.truncate("acq.etlLoggingTable", 9)
+
+
+def test_newest_load_holds_the_highest_key(warehouse, given):
+    samples = given.samples()
+    for load in (1, 2):
+        jobs.collect_samples(warehouse, samples, load, T1)
+    jobs.collect_samples(warehouse, samples.limit(0), 3, T1)
+    assert warehouse.loads("dbo.deviceUsageData") == [1, 2]
+    top = warehouse.read("dbo.deviceUsageData").agg(F.max("deviceUsageDataSK")).first()[0]
+    newest = warehouse.latest("dbo.deviceUsageData")
+    assert newest.agg(F.max("deviceUsageDataSK")).first()[0] == top == 2 * newest.count()
 
 
 def test_incremental_loop(warehouse, given):

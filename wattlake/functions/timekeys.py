@@ -63,11 +63,6 @@ def week_of_year(date: Column) -> Column:
     return (F.floor(past / 7) + 1).cast("int")
 
 
-def is_leap_year(date: Column) -> Column:
-    year = F.year(date)
-    return ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-
-
 def day_label(date_string: Column) -> Column:
     """The text without its last two characters (drops the hour)."""
     return F.left(date_string, F.length(date_string) - 2)

@@ -35,41 +35,31 @@ def date_dimension_of(bounds: DataFrame) -> DataFrame:
     day, so no array grows with more than the number of days.  ``DateTime`` is
     the start of the *hour*: the hour view groups by it to drop the minutes.
     """
-    slots = (
-        bounds.select(F.explode(F.sequence("first", "last")).alias("Date"))
-        .select("Date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("HourOfDay"))
-        .select(
-            "*", F.explode(F.array(*[F.lit(m) for m in (0, 15, 30, 45)])).alias("MinuteOfHour")
-        )
+    hours = (
+        bounds.selectExpr("explode(sequence(first, last)) AS Date")
+        .selectExpr("Date", "explode(sequence(0, 23)) AS HourOfDay")
+        .withColumn("dateTimeHour", timekeys.hour_key_of(F.col("Date"), F.col("HourOfDay")))
     )
-    date, hour = F.col("Date"), F.col("HourOfDay")
-    hour_start = F.date_add(date, 0).cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
-    hour_key = timekeys.hour_key_of(date, hour)
-    values = {
-        "dateTimeIK": hour_key * 100 + F.col("MinuteOfHour"),
-        "dateTimeHour": hour_key,
-        "DateTime": hour_start,
-        "DateString": hour_key.cast("string"),
-        "HourOfDay": hour,
-        "MinuteOfHour": F.col("MinuteOfHour"),
-        "Date": date,
-        "Day": F.dayofmonth(date),
-        "DayofYear": F.dayofyear(date),
-        "DayofWeek": F.dayofweek(date),
-        "DayofWeekName": F.date_format(date, "EEEE"),
-        "Week": timekeys.week_of_year(date),
-        "Month": F.month(date),
-        "MonthName": F.date_format(date, "MMMM"),
-        "Quarter": F.quarter(date),
-        "Year": F.year(date),
-        "IsWeekend": F.dayofweek(date).isin(1, 7),
-        "IsLeapYear": timekeys.is_leap_year(date),
-    }
-    return slots.select(
-        *[
-            values[f.name].cast(f.dataType).alias(f.name)
-            for f in schemas.TABLES["dw.dimDateQuarterHour"].fields
-        ]
+    slots = hours.selectExpr("*", "explode(array(0, 15, 30, 45)) AS MinuteOfHour")
+    return slots.withColumn("Week", timekeys.week_of_year(F.col("Date"))).selectExpr(
+        "dateTimeHour * 100 + MinuteOfHour AS dateTimeIK",
+        "dateTimeHour",
+        "CAST(Date AS TIMESTAMP_NTZ) + make_dt_interval(0, HourOfDay) AS DateTime",
+        "CAST(dateTimeHour AS STRING) AS DateString",
+        "HourOfDay",
+        "MinuteOfHour",
+        "Date",
+        "dayofmonth(Date) AS Day",
+        "dayofyear(Date) AS DayofYear",
+        "dayofweek(Date) AS DayofWeek",
+        "date_format(Date, 'EEEE') AS DayofWeekName",
+        "Week",
+        "month(Date) AS Month",
+        "date_format(Date, 'MMMM') AS MonthName",
+        "quarter(Date) AS Quarter",
+        "year(Date) AS Year",
+        "dayofweek(Date) IN (1, 7) AS IsWeekend",
+        "dayofyear(last_day(add_months(trunc(Date, 'year'), 11))) = 366 AS IsLeapYear",
     )
 
 

@@ -36,8 +36,11 @@ def load_averages(
 ) -> None:
     """Upsert the lookups and devices of averaged rows, then append their usage.
 
-    ``averages`` should be stored rows: seven steps read them.
+    ``averages`` should be stored rows: seven steps read them.  Nothing is written
+    for an empty batch, so the newest usage load always holds the highest key.
     """
+    if averages.isEmpty():
+        return
 
     def before(table: str) -> DataFrame:
         return warehouse.read(f"dbo.{table}", before=load)
@@ -46,7 +49,7 @@ def load_averages(
         return warehouse.read(f"dbo.{table}", before=load + 1)
 
     def store(table: str, df: DataFrame) -> None:
-        warehouse.write(f"dbo.{table}", df, load)
+        warehouse.write(f"dbo.{table}", df, load, rebalance=table != USAGE)
 
     store("deviceFirmware", upsert.upsert_firmware(before("deviceFirmware"), averages, load_ts))
     store("networkMetadata", upsert.upsert_network(before("networkMetadata"), averages, load_ts))
@@ -72,7 +75,7 @@ def load_averages(
             after("statusList"),
             after("powerScales"),
             load_ts,
-            next_start(before(USAGE), "deviceUsageDataSK"),
+            next_start(warehouse.latest(f"dbo.{USAGE}", before=load), "deviceUsageDataSK"),
             added=added,
         ),
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -253,7 +254,8 @@ class Model:
         for column in dict.fromkeys(m.column for m in chosen.values()):
             parts.append(F.sum(F.col(column).cast("bigint")).alias(f"__sum_{column}"))
             parts.append(F.count(column).alias(f"__count_{column}"))
-        joined = self.source(fact).groupBy(*keys.values()).agg(*parts)
+        facts = self._restrict(self.source(fact), keys, where)
+        joined = facts.groupBy(*keys.values()).agg(*parts)
         for dimension, foreign_key in keys.items():
             joined = self._join(joined, foreign_key, dimension, mentioned[dimension])
         for name, condition in where.items():
@@ -265,6 +267,29 @@ class Model:
             return joined.rollup(*columns).agg(F.grouping_id().alias("level"), *values)
         return joined.groupBy(*columns).agg(*values)
 
+    def _restrict(
+        self, facts: DataFrame, keys: dict[str, str], where: dict[str, object]
+    ) -> DataFrame:
+        """Drop facts whose members fail a plain condition before they are grouped.
+
+        A value or a list never accepts the blank member, so a semi join is exact.
+        A function may accept it; its condition is left to the groups.
+        """
+        for dimension, foreign_key in keys.items():
+            spec = TABLES[dimension]
+            plain = [
+                _condition(spec.business(name), condition)
+                for name, condition in where.items()
+                if name in spec.visible and not callable(condition)
+            ]
+            if plain:
+                members = self.source(dimension).filter(reduce(lambda a, b: a & b, plain))
+                members = members.select(F.col(spec.key).alias("__member"))
+                facts = facts.join(
+                    members, F.col(foreign_key) == F.col("__member"), "left_semi"
+                )
+        return facts
+
     def drill(self, fact: str, measures: list[str], hierarchy: str, **options) -> DataFrame:
         """A rolled-up report over the levels of a hierarchy."""
         for table in TABLES.values():

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattlake import schemas
 from wattlake.functions import timekeys
 from wattlake.operators import (
     collect,
@@ -240,6 +241,15 @@ def hour_of_day_label(given: Given) -> DataFrame:
 # --- samples and upserts ----------------------------------------------------------
 
 
+def stored_averages(given: Given) -> DataFrame:
+    """The averages as a written table, for queries that read them several times."""
+    folder = _scratch(given.spark, "averages")
+    given.averages().write.mode("overwrite").parquet(f"{folder}/rows")
+    return given.spark.read.schema(schemas.TABLES["acq.averagedDataPoints"]).parquet(
+        f"{folder}/rows"
+    )
+
+
 @query
 def sample_average(given: Given) -> DataFrame:
     return given.averages()
@@ -248,7 +258,7 @@ def sample_average(given: Given) -> DataFrame:
 @query
 def usage_append(given: Given) -> DataFrame:
     return collect.usage_rows(
-        given.averages(),
+        stored_averages(given),
         given.device(),
         given.status_list(),
         given.power_scales(),
@@ -295,12 +305,12 @@ def upsert_device_type(given: Given) -> DataFrame:
 @query
 def upsert_device(given: Given) -> DataFrame:
     """Devices of low number are known; the lookups hold what the samples name."""
-    averages = given.averages()
+    averages = stored_averages(given)
     return upsert.upsert_device(
         given.device().filter(F.col("deviceSK") <= 10),
         averages,
         given.device_firmware(),
-        upsert_device_type(given),
+        upsert.upsert_device_type(given.device_types(), averages),
         given.network_metadata(),
         LOAD_TS,
     )

@@ -21,6 +21,7 @@ from wattlake.operators import collect, dates, facts, scd
 LOAD_TS = dt.datetime(2024, 1, 31)
 AS_OF = dt.datetime(2024, 1, 30, 12)
 SEED_TS = dt.datetime(2023, 12, 1)
+SEED_SQL = f"TIMESTAMP_NTZ'{SEED_TS}'"
 OLD_TS = dt.datetime(2023, 6, 1)
 FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 FIRST_HOUR, LAST_HOUR = 2024010100, 2024013023
@@ -228,42 +229,28 @@ class Given:
             },
         )
 
-    def _literal(self, name: str, rows: list[dict[str, Column]]) -> DataFrame:
-        fields = schemas.TABLES[name].fields
-        structs = [
-            F.struct(
-                *[row.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-            )
-            for row in rows
-        ]
-        return self.spark.range(1).select(F.inline(F.array(*structs)))
+    def _literal(self, name: str, columns: str, rows: str) -> DataFrame:
+        """Literal rows; the optimizer knows their exact size."""
+        return _as(
+            self.spark.sql(f"SELECT * FROM VALUES {rows} AS given({columns})"),
+            name,
+            {c.strip(): F.col(c.strip()) for c in columns.split(",")},
+        )
 
     def status_list(self) -> DataFrame:
-        rows = [(1, "Off", 0), (2, "On", 1), (3, "Standby", 8)]
         return self._literal(
             "dbo.statusList",
-            [
-                {
-                    "statusSK": F.lit(k),
-                    "statusLabel": F.lit(label),
-                    "statusNumberRepresentation": F.lit(number),
-                    "statusAddedDate": _ts(SEED_TS),
-                    "sourceSystem": F.lit("SampleCollector"),
-                }
-                for k, label, number in rows
-            ],
+            "statusSK, statusLabel, statusNumberRepresentation, statusAddedDate, sourceSystem",
+            f"""(1, 'Off', 0, {SEED_SQL}, 'SampleCollector'),
+                (2, 'On', 1, {SEED_SQL}, 'SampleCollector'),
+                (3, 'Standby', 8, {SEED_SQL}, 'SampleCollector')""",
         )
 
     def power_scales(self) -> DataFrame:
         return self._literal(
             "dbo.powerScales",
-            [
-                {
-                    "powerScaleSK": F.lit(1),
-                    "unitOfPower": F.lit("Milliwatt"),
-                    "scaleAddedDate": _ts(SEED_TS),
-                }
-            ],
+            "powerScaleSK, unitOfPower, scaleAddedDate",
+            f"(1, 'Milliwatt', {SEED_SQL})",
         )
 
     # --- warehouse tables ------------------------------------------------------

@@ -55,16 +55,39 @@ class Warehouse:
         paths = [f"{self.folder(name)}/load={n}" for n in loads]
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def write(self, name: str, df: DataFrame, load: int) -> None:
+    def latest(self, name: str, before: int | None = None) -> DataFrame:
+        """Only the newest load.  Keys grow from load to load, so the highest key of
+        a log table is found without reading its history."""
+        loads = [n for n in self.loads(name) if before is None or n < before]
+        if not loads:
+            return empty_table(self.spark, name)
+        return self.spark.read.schema(schemas.TABLES[name]).parquet(
+            f"{self.folder(name)}/load={loads[-1]}"
+        )
+
+    def write(self, name: str, df: DataFrame, load: int, rebalance: bool = False) -> None:
         """Store ``df`` as one load of a table, in the declared layout.
 
-        A NULL in a NOT NULL column stops the write.  Rows are rebalanced into
-        files of even size, so many small loads do not leave many small files
-        each and a skewed plan does not leave one huge file.
+        A NULL in a NOT NULL column stops the write.  ``rebalance`` adds a shuffle
+        that evens out file sizes; it is meant for small tables that are rewritten
+        often, not for copies of big ones.
         """
-        conform(df, name).hint("rebalance").write.mode("overwrite").parquet(
-            f"{self.folder(name)}/load={load}"
-        )
+        rows = conform(df, name)
+        if rebalance:
+            rows = rows.hint("rebalance")
+        rows.write.mode("overwrite").parquet(f"{self.folder(name)}/load={load}")
+
+    def truncate(self, name: str, before: int) -> None:
+        """Delete the loads of a staging table numbered below ``before``."""
+        if not name.startswith("acq.") or name in LOG_TABLES:
+            raise ValueError(f"{name} is not a staging table")
+        configuration = self.spark._jsc.hadoopConfiguration()
+        for load in self.loads(name):
+            if load < before:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(
+                    f"{self.folder(name)}/load={load}"
+                )
+                path.getFileSystem(configuration).delete(path, True)
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
@@ -93,7 +116,7 @@ def refresh_stage(
     """Empty the staging layer and copy the operational tables into it.
 
     With ``start_sk`` only usage rows past that key are copied: the fact build
-    reads no others.
+    reads no others.  The copies are written by map tasks alone.
     """
     staging = "acq.etlFactRecordStaging"
     warehouse.write(staging, empty_table(warehouse.spark, staging), load)
@@ -101,6 +124,8 @@ def refresh_stage(
         {t: warehouse.read(f"dbo.{t}") for t in schemas.MIRRORED}, start_sk
     ).items():
         warehouse.write(f"acq.{table}", df, load)
+    for table in (*schemas.MIRRORED, "etlFactRecordStaging"):
+        warehouse.truncate(f"acq.{table}", before=load)
 
 
 def staged_tables(
