@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from wattlake import schemas
 from wattlake.operators import dates, etl_log, facts, scd
-from wattlake.plans import jobs, reports
+from wattlake.plans import jobs, reports, views
+from wattlake.plans.semantic import HOURLY, Model
 from wattlake.sources.given import Given
 from wattlake.sources.warehouse import Warehouse, refresh_stage
 
@@ -281,7 +282,7 @@ def test_newest_load_holds_the_highest_key(warehouse, given):
     assert newest.agg(F.max("deviceUsageDataSK")).first()[0] == top == 2 * newest.count()
 
 
-def test_incremental_loop(warehouse, given):
+def test_incremental_loop(spark, warehouse, given):
     """Two collection runs and two loads; a repeated load changes nothing."""
     samples = given.samples()
     early = samples.filter(F.col("sampled_at") < F.lit(dt.datetime(2024, 1, 15)))
@@ -316,6 +317,22 @@ def test_incremental_loop(warehouse, given):
     assert sorted(map(str, warehouse.read("dw.factDeviceMeasurement").collect())) == before
     assert warehouse.read("acq.etlLoggingTable").count() == 2
 
+    # The same warehouse through SQL and through the model.
+    names = views.register_views(
+        warehouse, dt.datetime(2024, 1, 30, 12), first_hour=2024010100, last_hour=2024013023)
+    assert len(names) == 9
+    for name in names:
+        assert spark.sql(f"SELECT * FROM {name}").count() > 0, name
+    views.register_functions(spark)
+    assert spark.sql(
+        "SELECT IntKeyForYYMMDDHH(TIMESTAMP_NTZ'2024-01-05 07:59:00')").first()[0] == 2024010507
+    held = Model.of_warehouse(
+        views.reporting_views(warehouse, T3, first_hour=2024010100, last_hour=2024013023),
+        warehouse).imported()
+    total = held.report(HOURLY, ["Watt Hours Used"], by=["Room of House"]).collect()
+    assert [r[0] for r in total] == ["Unknown Room"]
+    held.release()
+
     # Nothing new: no facts and no log row.
     jobs.warehouse_load(warehouse, 5, T3, T3)
     assert warehouse.read("dw.factDeviceMeasurement").count() == len(before)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.timekeys import day_label, hour_label
+from wattlake.sources.warehouse import Warehouse
 
 
 @dataclass(frozen=True)
@@ -174,6 +175,29 @@ class Model:
     def __init__(self, tables: dict[str, DataFrame | Callable[[], DataFrame]]):
         self.tables = tables
 
+    @classmethod
+    def of_warehouse(cls, views: dict[str, DataFrame], warehouse: Warehouse) -> Model:
+        """A model over a warehouse and its reporting views."""
+        names = ("dimDevice", "dimLocation", "dimPowerScales", "dimStatusList",
+                 "factDeviceMeasurement")
+        return cls({**views, **{n: warehouse.read(f"dw.{n}") for n in names}})
+
+    def imported(self, facts: bool = False) -> Model:
+        """The same model with its tables held in memory, spilling to disk.
+
+        Dimensions take part in every report.  Facts are left in their files,
+        which Spark reads by column, unless ``facts`` asks for them too.
+        """
+        wanted = [t for t in TABLES if facts or t not in (USAGE, HOURLY)]
+        held = {TABLES[t].source: self.source(t).persist() for t in wanted}
+        return Model({**self.tables, **held})
+
+    def release(self) -> None:
+        """Free what :meth:`imported` holds."""
+        for table in self.tables.values():
+            if not callable(table):
+                table.unpersist()
+
     def source(self, name: str) -> DataFrame:
         """The DataFrame behind a model table; functions are called when needed."""
         table = self.tables[TABLES[name].source]
