@@ -9,6 +9,7 @@ from the samples instead.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ def _as(df: DataFrame, name: str, values: dict[str, Column]) -> DataFrame:
     return named.to(schemas.without_constraints(schemas.TABLES[name]))
 
 
+def once(build):
+    """Build an input once per :class:`Given`; a query may use it several times."""
+
+    @functools.wraps(build)
+    def kept(self) -> DataFrame:
+        if build.__name__ not in self._built:
+            self._built[build.__name__] = build(self)
+        return self._built[build.__name__]
+
+    return kept
+
+
 _KNOWN_SCHEMAS: dict[str, T.StructType] = {}
 
 
@@ -46,6 +59,7 @@ class Given:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """A given table; its schema is taken from the files once per process."""
@@ -114,6 +128,7 @@ class Given:
 
     # --- operational tables --------------------------------------------------
 
+    @once
     def device(self) -> DataFrame:
         """One device per customer; every fourth has no location."""
         key = F.col("c_custkey")
@@ -191,6 +206,7 @@ class Given:
             },
         )
 
+    @once
     def locations(self) -> DataFrame:
         """One location per nation."""
         nation, region = self.table("nation"), self.table("region")
@@ -255,86 +271,75 @@ class Given:
 
     # --- warehouse tables ------------------------------------------------------
 
+    @once
     def dim_device(self) -> DataFrame:
         """One current row per device; every fifth also has an expired row."""
         key = F.col("c_custkey")
         number = self._segment_number()
-        customers = self.table("customer")
-
-        def version(df, suffix, values):
-            return _as(
-                df,
-                "dw.dimDevice",
-                {
-                    "deviceIK": (key + 1) * 10 + suffix,
-                    "deviceNaturalKey": key + 1,
-                    "macAddress": F.lpad(key.cast("string"), 12, "0"),
-                    "serialNumber": F.concat(F.lit("SN"), F.lpad(key.cast("string"), 8, "0")),
-                    "friendlyName": F.col("c_name"),
-                    "deviceTypeLabel": F.col("c_mktsegment"),
-                    "deviceIsSwitch": number <= 2,
-                    "deviceIsThermostat": number == 3,
-                    "deviceCanMeasureEnergyUsage": (number == 1) | (number == 4),
-                    "deviceIsLightBulb": number == 5,
-                    "firmwareName": F.concat(F.lit("FW_"), (key % 4).cast("string")),
-                    "ipAddress": F.concat(F.lit("10.0.0."), (key % 50).cast("string")),
-                    "subnetMask": F.lit("255.255.255.0"),
-                    "tcpIPversion": F.lit("IPv4"),
-                    "deviceFirstSeenDate": _ts(SEED_TS),
-                    **values,
-                },
-            )
-
-        current = version(
-            customers, 0, {"recordEffectiveDate": _ts(SEED_TS), "isCurrent": F.lit(True)}
+        current = _as(
+            self.table("customer"),
+            "dw.dimDevice",
+            {
+                "deviceIK": (key + 1) * 10,
+                "deviceNaturalKey": key + 1,
+                "macAddress": F.lpad(key.cast("string"), 12, "0"),
+                "serialNumber": F.concat(F.lit("SN"), F.lpad(key.cast("string"), 8, "0")),
+                "friendlyName": F.col("c_name"),
+                "deviceTypeLabel": F.col("c_mktsegment"),
+                "deviceIsSwitch": number <= 2,
+                "deviceIsThermostat": number == 3,
+                "deviceCanMeasureEnergyUsage": number.isin(1, 4),
+                "deviceIsLightBulb": number == 5,
+                "firmwareName": F.concat(F.lit("FW_"), (key % 4).cast("string")),
+                "ipAddress": F.concat(F.lit("10.0.0."), (key % 50).cast("string")),
+                "subnetMask": F.lit("255.255.255.0"),
+                "tcpIPversion": F.lit("IPv4"),
+                "deviceFirstSeenDate": _ts(SEED_TS),
+                "recordEffectiveDate": _ts(SEED_TS),
+                "isCurrent": F.lit(True),
+            },
         )
-        expired = version(
-            customers.filter((key + 1) % 5 == 0),
-            1,
+        expired = current.filter(F.col("deviceNaturalKey") % 5 == 0).withColumns(
             {
-                "friendlyName": F.concat(F.lit("old "), F.col("c_name")),
+                "deviceIK": F.col("deviceIK") + 1,
+                "friendlyName": F.concat(F.lit("old "), F.col("friendlyName")),
                 "recordEffectiveDate": _ts(OLD_TS),
                 "recordExpirationDate": _ts(SEED_TS),
                 "isCurrent": F.lit(False),
-            },
+            }
         )
-        return current.unionByName(expired)
+        return current.union(expired)
 
+    @once
     def dim_location(self) -> DataFrame:
         """One current row per location; every seventh once had another floor."""
         key = F.col("locationSK")
-        places = self.locations()
-
-        def version(df, suffix, values):
-            return _as(
-                df,
-                "dw.dimLocation",
-                {
-                    "LocationIK": key * 10 + suffix,
-                    "locationNaturalKey": key,
-                    "locationName": F.col("locationName"),
-                    "locationFloor": F.col("locationFloor"),
-                    "locationRoom": F.col("locationRoom"),
-                    "locationFirstSeenDate": F.col("locationAddedDate"),
-                    **values,
-                },
-            )
-
-        current = version(
-            places, 0, {"recordEffectiveDate": _ts(SEED_TS), "isCurrent": F.lit(True)}
+        current = _as(
+            self.locations(),
+            "dw.dimLocation",
+            {
+                "LocationIK": key * 10,
+                "locationNaturalKey": key,
+                "locationName": F.col("locationName"),
+                "locationFloor": F.col("locationFloor"),
+                "locationRoom": F.col("locationRoom"),
+                "locationFirstSeenDate": F.col("locationAddedDate"),
+                "recordEffectiveDate": _ts(SEED_TS),
+                "isCurrent": F.lit(True),
+            },
         )
-        expired = version(
-            places.filter(key % 7 == 0),
-            1,
+        expired = current.filter(F.col("locationNaturalKey") % 7 == 0).withColumns(
             {
+                "LocationIK": F.col("LocationIK") + 1,
                 "locationFloor": F.concat(F.lit("OLD_"), F.col("locationFloor")),
                 "recordEffectiveDate": _ts(OLD_TS),
                 "recordExpirationDate": _ts(SEED_TS),
                 "isCurrent": F.lit(False),
-            },
+            }
         )
-        return current.unionByName(expired)
+        return current.union(expired)
 
+    @once
     def dim_status(self) -> DataFrame:
         """Keys 1 and 2 are current, key 3 has only an expired row."""
         key = F.col("statusSK")
@@ -354,6 +359,7 @@ class Given:
             },
         )
 
+    @once
     def dim_power_scales(self) -> DataFrame:
         return _as(
             self.power_scales(),
@@ -368,6 +374,7 @@ class Given:
             },
         )
 
+    @once
     def dim_date(self) -> DataFrame:
         """The days of the events at every scale."""
         return dates.date_dimension(self.spark, FIRST_DAY, LAST_DAY)
