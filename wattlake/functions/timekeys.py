@@ -46,7 +46,7 @@ def hour_key_int(ts: Column) -> Column:
 
 def hour_text(ts: Column) -> Column:
     """yyyyMMddHH as text."""
-    return F.date_format(ts, "yyyyMMddHH")
+    return F.lpad(hour_key(ts).cast("string"), 10, "0")
 
 
 def bucket_start(ts: Column) -> Column:
@@ -70,11 +70,25 @@ def day_label(date_string: Column) -> Column:
 
 def hour_label(hour: Column, ts: Column) -> Column:
     """Hour number with its clock time, such as ``13 (01:00 PM)``."""
-    return F.concat(
-        hour.cast("string"), F.lit(" ("), F.date_format(ts, "hh:mm a"), F.lit(")")
+    clock = F.concat(
+        F.lpad(((F.hour(ts) + 11) % 12 + 1).cast("string"), 2, "0"),
+        F.lit(":"),
+        F.lpad(F.minute(ts).cast("string"), 2, "0"),
+        F.when(F.hour(ts) < 12, F.lit(" AM")).otherwise(F.lit(" PM")),
     )
+    return F.concat(hour.cast("string"), F.lit(" ("), clock, F.lit(")"))
 
 
-def days_before(moment: dt.datetime, days: int) -> Column:
-    """A literal moment shifted back; folded when the plan is optimized."""
-    return F.lit(moment - dt.timedelta(days=days)).cast("timestamp_ntz")
+def moment(ts: dt.datetime | None) -> Column:
+    """A literal time without a zone.
+
+    Times are passed in, so a plan never reads the clock.  The literal goes through
+    text: a Python datetime would be taken as an instant and shift with the zone of
+    the session.
+    """
+    return F.lit(None if ts is None else ts.isoformat(" ")).cast("timestamp_ntz")
+
+
+def days_before(ts: dt.datetime, days: int) -> Column:
+    """A literal time shifted back; folded when the plan is optimized."""
+    return moment(ts - dt.timedelta(days=days))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from wattlake import schemas
 from wattlake.functions.text import fold
+from wattlake.functions.timekeys import moment
 from wattlake.operators.keys import with_surrogate_keys
-from wattlake.operators.upsert import POWER_UNIT, STATUS_SOURCE, attach_key, moment
+from wattlake.operators.upsert import POWER_UNIT, STATUS_SOURCE, attach_key
 
 METERING_MODEL = "Insight"
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.text import fold
+from wattlake.functions.timekeys import moment
 from wattlake.operators.keys import next_start
-from wattlake.operators.upsert import moment
 
 # Fixed values of the job history.
 START = "Start"
@@ -74,7 +74,7 @@ def log_job(
     signal = audit.sparkSession.range(1).select(
         F.lit(name).alias("job_name"),
         F.lit(start_stop).alias("start_stop"),
-        F.lit(ts).cast("timestamp_ntz").alias("signal_ts"),
+        moment(ts).alias("signal_ts"),
         F.lit(status).cast("string").alias("job_status"),
     )
     return job_history(signal, now).select(*audit.columns)

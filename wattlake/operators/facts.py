@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from wattlake import schemas
 from wattlake.functions.numeric import int_avg
-from wattlake.functions.timekeys import hour_key_of, quarter_hour
+from wattlake.functions.timekeys import hour_key_of, moment, quarter_hour
 from wattlake.operators.scd import current_rows
-from wattlake.operators.upsert import moment
 
 UNKNOWN_MEMBER = -1
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.text import match_key, null_safe_key
+from wattlake.functions.timekeys import moment
 from wattlake.operators.keys import next_start, with_surrogate_keys
-from wattlake.operators.upsert import moment
 
 # Fixed values of a location nobody has set yet.
 UNKNOWN_NAME = "Unknown Location"

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake import schemas
+from wattlake.functions.timekeys import moment
 from wattlake.operators.keys import next_start, with_surrogate_keys
 
 
@@ -87,7 +88,7 @@ def scd2_apply(
     )
     paired = current.join(incoming, F.col(key) == F.col("__key"), "left")
     closed: dict[str, Column] = {
-        "recordExpirationDate": F.when(changed, F.lit(load_ts)),
+        "recordExpirationDate": F.when(changed, moment(load_ts)),
         "isCurrent": F.when(changed, F.lit(False)).otherwise(F.col("isCurrent")),
     }
     kept = paired.select(
@@ -101,7 +102,7 @@ def scd2_apply(
     values: dict[str, Column] = {
         key: F.col("__key"),
         **{c: F.col(f"__new.{c}") for c in (*shape.tracked, *shape.carried)},
-        "recordEffectiveDate": F.lit(load_ts),
+        "recordEffectiveDate": moment(load_ts),
         "recordExpirationDate": F.lit(None),
         "isCurrent": F.lit(True),
     }

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.text import NULL_MARK, match_key, null_safe_key
+from wattlake.functions.timekeys import moment
 from wattlake.operators.keys import next_start, with_surrogate_keys
 
 # Fixed values written by the sample loader; the source name is a parameter.
@@ -25,11 +26,6 @@ STATUS_SOURCE = "SampleCollector"
 ROW = ["mac_address", "serial_number", "device_name", "sampled_at"]
 
 
-def moment(ts: dt.datetime) -> Column:
-    """A literal load time; passed in, so a plan never reads the clock."""
-    return F.lit(ts).cast("timestamp_ntz")
-
-
 def upsert(
     target: DataFrame,
     source: DataFrame,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake import schemas
+from wattlake.functions.timekeys import moment
 from wattlake.operators import collect, dates, facts, scd
 
 # Parameters of the registered queries.
@@ -28,10 +29,6 @@ FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 FIRST_HOUR, LAST_HOUR = 2024010100, 2024013023
 
 
-def _ts(value: dt.datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
-
-
 def _as(df: DataFrame, name: str, values: dict[str, Column]) -> DataFrame:
     """Name and cast the given values; columns of the table without one are NULL."""
     named = df.select(*[value.alias(column) for column, value in values.items()])
@@ -142,8 +139,8 @@ class Given:
                 "friendlyName": F.col("c_name"),
                 "deviceTypeFK": self._segment_number(),
                 "deviceFirmwareFK": key % 4 + 1,
-                "deviceAddedDate": _ts(SEED_TS),
-                "deviceChangedDate": _ts(SEED_TS),
+                "deviceAddedDate": moment(SEED_TS),
+                "deviceChangedDate": moment(SEED_TS),
                 "retiredDevice": F.lit(False),
                 "deviceIPAddressFK": key % 50 + 1,
                 "LocationFK": F.when(key % 4 != 3, F.col("c_nationkey") + 1),
@@ -186,7 +183,7 @@ class Given:
             {
                 "deviceFirmwareSK": key + 1,
                 "firmwareName": F.concat(F.lit("FW_"), key.cast("string")),
-                "firmwareAddedDate": _ts(SEED_TS),
+                "firmwareAddedDate": moment(SEED_TS),
                 "isCurrent": F.lit(True),
             },
         )
@@ -202,7 +199,7 @@ class Given:
                 "ipAddress": F.concat(F.lit("10.0.0."), key.cast("string")),
                 "subnetMask": F.lit("255.255.255.0"),
                 "tcpIPversion": F.lit("IPv4"),
-                "recordAddedDate": _ts(SEED_TS),
+                "recordAddedDate": moment(SEED_TS),
             },
         )
 
@@ -220,7 +217,7 @@ class Given:
                 "locationRoom": F.concat(
                     F.lit("ROOM_"), (F.col("n_nationkey") % 5).cast("string")
                 ),
-                "locationAddedDate": _ts(SEED_TS),
+                "locationAddedDate": moment(SEED_TS),
             },
         )
 
@@ -241,7 +238,7 @@ class Given:
                 "locationFloor": F.concat(F.col("locationFloor"), F.lit("  ")),
                 "locationRoom": F.when(new, F.concat(F.lit("NEW_"), (key % 7).cast("string")))
                 .otherwise(F.col("locationRoom")),
-                "overrideAddedDate": _ts(SEED_TS),
+                "overrideAddedDate": moment(SEED_TS),
             },
         )
 
@@ -294,8 +291,8 @@ class Given:
                 "ipAddress": F.concat(F.lit("10.0.0."), (key % 50).cast("string")),
                 "subnetMask": F.lit("255.255.255.0"),
                 "tcpIPversion": F.lit("IPv4"),
-                "deviceFirstSeenDate": _ts(SEED_TS),
-                "recordEffectiveDate": _ts(SEED_TS),
+                "deviceFirstSeenDate": moment(SEED_TS),
+                "recordEffectiveDate": moment(SEED_TS),
                 "isCurrent": F.lit(True),
             },
         )
@@ -303,8 +300,8 @@ class Given:
             {
                 "deviceIK": F.col("deviceIK") + 1,
                 "friendlyName": F.concat(F.lit("old "), F.col("friendlyName")),
-                "recordEffectiveDate": _ts(OLD_TS),
-                "recordExpirationDate": _ts(SEED_TS),
+                "recordEffectiveDate": moment(OLD_TS),
+                "recordExpirationDate": moment(SEED_TS),
                 "isCurrent": F.lit(False),
             }
         )
@@ -324,7 +321,7 @@ class Given:
                 "locationFloor": F.col("locationFloor"),
                 "locationRoom": F.col("locationRoom"),
                 "locationFirstSeenDate": F.col("locationAddedDate"),
-                "recordEffectiveDate": _ts(SEED_TS),
+                "recordEffectiveDate": moment(SEED_TS),
                 "isCurrent": F.lit(True),
             },
         )
@@ -332,8 +329,8 @@ class Given:
             {
                 "LocationIK": F.col("LocationIK") + 1,
                 "locationFloor": F.concat(F.lit("OLD_"), F.col("locationFloor")),
-                "recordEffectiveDate": _ts(OLD_TS),
-                "recordExpirationDate": _ts(SEED_TS),
+                "recordEffectiveDate": moment(OLD_TS),
+                "recordExpirationDate": moment(SEED_TS),
                 "isCurrent": F.lit(False),
             }
         )
@@ -352,9 +349,9 @@ class Given:
                 "statusNaturalKey": key,
                 "statusLabel": F.col("statusLabel"),
                 "statusNumberRepresentation": F.col("statusNumberRepresentation"),
-                "statusAddedDate": F.to_date(_ts(SEED_TS)),
-                "recordEffectiveDate": F.to_date(_ts(OLD_TS)),
-                "recordExpirationDate": F.when(gone, F.to_date(_ts(SEED_TS))),
+                "statusAddedDate": F.to_date(moment(SEED_TS)),
+                "recordEffectiveDate": F.to_date(moment(OLD_TS)),
+                "recordExpirationDate": F.when(gone, F.to_date(moment(SEED_TS))),
                 "isCurrent": ~gone,
             },
         )
@@ -368,7 +365,7 @@ class Given:
                 "powerScaleIK": F.col("powerScaleSK") * 10,
                 "unitOfPower": F.col("unitOfPower"),
                 "scaleAddedDate": F.to_date("scaleAddedDate"),
-                "recordEffectiveDate": F.to_date(_ts(OLD_TS)),
+                "recordEffectiveDate": F.to_date(moment(OLD_TS)),
                 "isCurrent": F.lit(True),
                 "powerScaleNaturalKey": F.col("powerScaleSK"),
             },
@@ -451,7 +448,7 @@ class Given:
             F.when(key % 3 == 0, "Start").when(key % 3 == 1, "Stop").otherwise("Pause").alias(
                 "start_stop"
             ),
-            (_ts(SEED_TS) + F.make_dt_interval(mins=(key % 100000).cast("int"))).alias("signal_ts"),
+            (moment(SEED_TS) + F.make_dt_interval(mins=(key % 100000).cast("int"))).alias("signal_ts"),
             F.when(key % 5 == 0, F.lit(None)).otherwise(F.lit("ok")).alias("job_status"),
         )
 
@@ -461,7 +458,7 @@ class Given:
         """One message per conversation turn with one to three attachments, all made
         from the turn's own text."""
         conv, turn, text = F.col("conv_id"), F.col("turn"), F.col("text")
-        created = _ts(SEED_TS) + F.make_dt_interval(
+        created = moment(SEED_TS) + F.make_dt_interval(
             days=(conv % 60).cast("int"), mins=(turn * 7).cast("int")
         )
 
