@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from wattlake.operators import facts
+from wattlake.operators import facts, joins
 from wattlake.plans import reports
 from wattlake.sources.given import AS_OF, Given
 from wattlake.sources.warehouse import Warehouse
@@ -91,7 +91,7 @@ def test_a_hot_device_is_reduced_before_the_join(spark):
     assert hot[0] < usage.filter("deviceFK = 1").count()
 
 
-def test_a_hot_device_is_split_when_the_device_table_is_big(spark):
+def test_a_hot_device_is_split_when_the_device_table_is_big(spark, monkeypatch):
     """The detail report keeps every reading; its skewed join is split at run time."""
     given = Given(spark, "/root/testdata/sf0.01")
     usage = given.usage().withColumn(
@@ -105,6 +105,10 @@ def test_a_hot_device_is_split_when_the_device_table_is_big(spark):
             given.status_list(), given.locations())
 
     expected = sorted(map(str, report().collect()))
+    assert "SortMergeJoin" not in plan_of(report())
+    monkeypatch.setattr(
+        reports, "broadcast_if_small", lambda lookup, rows_of: joins.broadcast_if_small(
+            lookup, rows_of, 10))
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

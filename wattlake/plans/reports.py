@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from wattlake.functions.numeric import int_avg, int_avg_of_parts, quotient, rounded_mean
 from wattlake.functions.text import null_safe_key
 from wattlake.functions.timekeys import days_before
+from wattlake.operators.joins import broadcast_if_small
+
+# Rows up to which a map of two BIGINTs is broadcast (16 bytes of data each).
+MAX_NARROW_ROWS = 1_000_000
 
 MEMBER_KEYS = ["dimDeviceIK", "dimLocationIK", "dimStatusListIK", "dimPowerScalesIK"]
 
@@ -36,7 +40,8 @@ def denormalized_report(
     """Every usage row with its device, place, address, type and status.
 
     The device is joined with its own lookups first, so the usage table, the
-    only big one, takes part in two joins instead of five.  Rows without a status
+    only big one, takes part in two joins instead of five; neither shuffles it
+    unless there are very many devices.  Rows without a status
     drop out; rows without a location say UNKNOWN.  The name of the last unit is
     kept although the value is in kilowatts.
     """
@@ -64,7 +69,7 @@ def denormalized_report(
     watts = milliwatts.cast("decimal(18,0)") / F.lit(1000)
     return (
         usage.join(statuses, F.col("deviceStateFK") == F.col("statusSK"))
-        .join(described, F.col("deviceFK") == F.col("deviceSK"))
+        .join(broadcast_if_small(described, device), F.col("deviceFK") == F.col("deviceSK"))
         .select(
             "deviceSignalStrength",
             "statusLabel",
@@ -166,7 +171,11 @@ def last_seven_days_hourly(
         recent, F.col("dataPointDateIK") == F.col("dateTimeIK")
     )
     for dimension, sk, foreign_key, attributes, hidden in shown:
-        members = equal_members(dimension, sk, attributes + hidden, f"__{sk}")
+        members = broadcast_if_small(
+            equal_members(dimension, sk, attributes + hidden, f"__{sk}"),
+            dimension,
+            MAX_NARROW_ROWS,
+        )
         joined = joined.join(members, F.col(foreign_key) == F.col(sk)).drop(sk)
 
     def parts(value, name):
