@@ -81,3 +81,15 @@ def test_quarter_hours_close_after_the_delay(spark, tmp_path):
     feed(usage(5, day.replace(hour=7, minute=59)), usage(6, day.replace(hour=7, minute=10)),
          usage(7, day.replace(hour=9, minute=0)))
     assert drain() == {(2024010507, 0): 150, (2024010507, 15): 300, (2024010507, 45): 450}
+
+
+def test_scratch_goes_to_the_folder_the_session_names(spark, tmp_path):
+    from wattlake.queries.registry import _scratch
+
+    assert str(tmp_path) not in _scratch(spark, "x")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        first, second = _scratch(spark, "x"), _scratch(spark, "x")
+        assert first.startswith(f"{tmp_path}/x-") and first != second
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

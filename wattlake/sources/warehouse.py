@@ -140,5 +140,6 @@ def staged_tables(
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors share, as the session names it."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share, as the session or its context names it."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
