@@ -83,13 +83,11 @@ def test_quarter_hours_close_after_the_delay(spark, tmp_path):
     assert drain() == {(2024010507, 0): 150, (2024010507, 15): 300, (2024010507, 45): 450}
 
 
-def test_scratch_goes_to_the_folder_the_session_names(spark, tmp_path):
-    from wattlake.queries.registry import _scratch
-
-    assert str(tmp_path) not in _scratch(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        first, second = _scratch(spark, "x"), _scratch(spark, "x")
-        assert first.startswith(f"{tmp_path}/x-") and first != second
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_goes_to_the_folder_the_session_names(spark, tmp_path, monkeypatch):
+    from wattlake.queries import registry
+
+    assert registry.shared_folder(spark) is None  # the tests name none
+    assert str(tmp_path) not in registry._scratch(spark, "x")
+    monkeypatch.setattr(registry, "shared_folder", lambda session: f"{tmp_path}/")
+    first, second = registry._scratch(spark, "x"), registry._scratch(spark, "x")
+    assert first.startswith(f"{tmp_path}/x-") and first != second
