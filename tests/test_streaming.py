@@ -86,8 +86,10 @@ def test_quarter_hours_close_after_the_delay(spark, tmp_path):
 def test_scratch_goes_to_the_folder_the_session_names(spark, tmp_path, monkeypatch):
     from wattlake.queries import registry
 
-    assert registry.shared_folder(spark) is None  # the tests name none
-    assert str(tmp_path) not in registry._scratch(spark, "x")
+    named = registry.shared_folder(spark)
+    assert named == spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     monkeypatch.setattr(registry, "shared_folder", lambda session: f"{tmp_path}/")
     first, second = registry._scratch(spark, "x"), registry._scratch(spark, "x")
     assert first.startswith(f"{tmp_path}/x-") and first != second
+    monkeypatch.setattr(registry, "shared_folder", lambda session: None)
+    assert "wattlake-x-" in registry._scratch(spark, "x")
