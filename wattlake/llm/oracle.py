@@ -63,7 +63,33 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM rendered GROUP BY conv_id
 """
 
+# Words as in tokens: a-z after folding, digits, and all outside ASCII.
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_JACCARD = rf"""
+WITH RECURSIVE worded AS (SELECT doc_id, {WORDS} AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM worded WHERE len(w) > 0),
+classes AS (SELECT s, min(doc_id) AS rep, count(*) AS weight, len(s) AS n FROM sets GROUP BY s),
+items AS (SELECT rep, n, weight, unnest(s) AS g FROM classes),
+linked AS (
+  SELECT a.rep AS a, b.rep AS b, any_value(b.weight) AS weight
+  FROM items a JOIN items b ON a.g = b.g AND a.rep <> b.rep
+  GROUP BY a.rep, b.rep HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+reach(node, seen) AS (
+  SELECT rep, rep FROM classes
+  UNION SELECT r.node, l.b FROM reach r JOIN linked l ON r.seen = l.a),
+least AS (SELECT node, min(seen) AS class_id FROM reach GROUP BY node),
+links AS (SELECT a, sum(weight)::BIGINT AS n FROM linked GROUP BY a)
+SELECT s.doc_id, l.class_id, (coalesce(k.n, 0) + c.weight - 1)::BIGINT AS n_links, (c.weight - 1)::BIGINT AS n_copies
+FROM sets s JOIN classes c ON s.s = c.s JOIN least l ON l.node = c.rep LEFT JOIN links k ON k.a = c.rep
+UNION ALL SELECT doc_id, doc_id, 0::BIGINT, 0::BIGINT FROM worded WHERE len(w) = 0
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": _JACCARD,
     "op4_mix_sources": _MIX,
     "op6_chat_format": _CHAT,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, mixing, neighbours, sharding
+from wattlake.llm import chat, jaccard, mixing, neighbours, sharding
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
@@ -22,6 +22,10 @@ def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(own, docs["doc_id"] == own["labelled_id"], "left").select(docs["*"], weight.alias("quality_weight"))
 
 
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
 def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -52,5 +56,5 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op10_hilbert_shards)
 }
