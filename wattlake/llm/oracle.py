@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wattlake.llm.licences import COVER, TEMPLATES
+
 # Order by a hash of the id, spelled as in mixing.uniform.
 _MIX = r"""
 WITH sized AS (
@@ -88,8 +90,33 @@ FROM sets s JOIN classes c ON s.s = c.s JOIN least l ON l.node = c.rep LEFT JOIN
 UNION ALL SELECT doc_id, doc_id, 0::BIGINT, 0::BIGINT FROM worded WHERE len(w) = 0
 """
 
+_PLACES = "\n  UNION ALL ".join(
+    f"""SELECT doc_id, {str(t.base).lower()} AS base, '{t.label}' AS label, p - {t.key_at} AS start,
+    (SELECT count(*) FROM range(0, {len(t.words)}) r(j)
+     WHERE p - {t.key_at} + j >= 0 AND w[p - {t.key_at} + j + 1] = {t.words}[j + 1]) / {len(t.words)} AS share
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - {len(t.key_words) - 1})) AS p FROM worded WHERE list_contains(w, '{t.key_words[-1]}'))
+  WHERE w[p + 1:p + {len(t.key_words)}] = {t.key_words}"""
+    for t in TEMPLATES
+)
+
+_LICENCES = f"""
+WITH worded AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents),
+places AS ({_PLACES}),
+kept AS (SELECT * FROM places WHERE base OR share >= {COVER}),
+found AS (
+  SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
+         max(start) FILTER (WHERE base) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
+  FROM kept GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM worded d LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": _JACCARD,
     "op4_mix_sources": _MIX,
     "op6_chat_format": _CHAT,
+    "op7_licence_scan": _LICENCES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, jaccard, mixing, neighbours, sharding
+from wattlake.llm import chat, jaccard, licences, mixing, neighbours, sharding
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
@@ -41,6 +41,10 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(more)))
 
 
+def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.licence_scan(table(spark, folder, "documents")).drop("places")
+
+
 def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, folder, "documents")).select(
         "doc_id",
@@ -56,5 +60,5 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op7_licence_scan, op10_hilbert_shards)
 }
