@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, jaccard, licences, mixing, neighbours, sharding
+from wattlake.llm import chat, jaccard, licences, mixing, neighbours, sharding, toxicity
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
 QUALITY_WEIGHTS = {1: 2.0, 0: 0.5}
+TOXIC = 0.3
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -45,6 +46,13 @@ def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.licence_scan(table(spark, folder, "documents")).drop("places")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence", "found"
+    )
+
+
 def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, folder, "documents")).select(
         "doc_id",
@@ -60,5 +68,5 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op7_licence_scan, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op7_licence_scan, op8_toxicity, op10_hilbert_shards)
 }
