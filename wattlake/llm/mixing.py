@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import column, written
+from wattlake.llm.common import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 RANGES = 4096
@@ -79,7 +79,7 @@ def mix_sources(
     id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    quality: str | None = None,
+    qualities: DataFrame | None = None,
     weights: Sequence[int] = (1, 2, 3),
     most: int = 3,
     ranges: int = RANGES,
@@ -88,17 +88,20 @@ def mix_sources(
 
     Columns: id (as doc_id), size, source_size, target, taken, epochs (complete
     passes over its source), extra (words of the last, fractional pass), quality.
+    ``qualities`` has (doc_id, quality), one row for each id at most; it meets the
+    documents after their texts have been measured and left behind.
     """
-    weight = column(docs, quality, "double")
-    narrow = written(
-        docs.select(
-            docs[f"`{id}`"].alias("doc_id"),
-            docs[f"`{source}`"].alias("source"),
-            word_count(docs[f"`{text}`"]).alias("size"),
-            F.when(weight > 0, weight).otherwise(F.lit(1.0)).alias("quality"),
-        ),
-        "mix-sizes",
+    sizes = docs.select(
+        docs[f"`{id}`"].alias("doc_id"), docs[f"`{source}`"].alias("source"), word_count(docs[f"`{text}`"]).alias("size")
     )
+    if qualities is None:
+        weighed = sizes.withColumn("quality", F.lit(1.0))
+    else:
+        own = qualities.select(F.col("doc_id").alias("weighed_id"), F.col("quality").cast("double").alias("weight"))
+        weighed = written(sizes, "mix-sizes").join(own, F.col("doc_id") == F.col("weighed_id"), "left").select(
+            "doc_id", "source", "size", F.when(F.col("weight") > 0, F.col("weight")).otherwise(F.lit(1.0)).alias("quality")
+        )
+    narrow = written(weighed, "mix-rows")
     targets = written(
         water_fill(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most),
         "mix-targets",

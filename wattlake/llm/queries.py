@@ -14,13 +14,13 @@ TOXIC = 0.3
 CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add the weight of each document's quality label; of several labels the lowest."""
-    own = labels.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.min("quality").alias("label"))
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """The weight of each labelled document; of several labels of one the lowest counts."""
+    label = F.min("quality")
     weight = F.lit(1.0)
-    for label, value in QUALITY_WEIGHTS.items():
-        weight = F.when(F.col("label") == label, F.lit(value)).otherwise(weight)
-    return docs.join(own, docs["doc_id"] == own["labelled_id"], "left").select(docs["*"], weight.alias("quality_weight"))
+    for value, heft in QUALITY_WEIGHTS.items():
+        weight = F.when(label == value, F.lit(heft)).otherwise(weight)
+    return labels.groupBy("doc_id").agg(weight.alias("quality"))
 
 
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,8 +32,7 @@ def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    docs = with_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return mixing.mix_sources(docs, quality="quality_weight")
+    return mixing.mix_sources(table(spark, folder, "documents"), qualities=quality_weights(table(spark, folder, "labels")))
 
 
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
