@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, jaccard, licences, mixing, neighbours, sharding, toxicity
+from wattlake.llm import chat, decontaminate, jaccard, licences, mixing, neighbours, sharding, toxicity
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
@@ -35,6 +35,10 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"), qualities=quality_weights(table(spark, folder, "labels")))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame(CONTROL_TURNS, turns.schema)
@@ -67,5 +71,5 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op6_chat_format, op7_licence_scan, op8_toxicity, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op10_hilbert_shards)
 }
