@@ -114,9 +114,41 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
 FROM worded d LEFT JOIN found f ON d.doc_id = f.doc_id
 """
 
+_W = "(c BETWEEN '0' AND '9' OR c BETWEEN 'A' AND 'Z' OR c BETWEEN 'a' AND 'z' OR unicode(c) >= 128)"
+_LINES = rf"""
+WITH RECURSIVE cut AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+lines AS (
+  SELECT doc_id, pos, l[pos + 1] AS line FROM (SELECT doc_id, l, unnest(range(0, len(l))) AS pos FROM cut)
+  WHERE regexp_matches(l[pos + 1], '[^	
+ ]')),
+entries AS (SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM lines GROUP BY line),
+chars AS (SELECT line, first, string_split(line, '') AS cs FROM entries),
+flagged AS (SELECT *, list_transform(cs, lambda c: {_W}) AS w FROM chars),
+sets AS (
+  SELECT line, first, list_distinct(list_transform(list_filter(range(1, len(cs) + 1), lambda i: w[i] AND NOT coalesce(w[i - 1], false)),
+         lambda i: array_to_string(cs[i:i + 11], ''))) AS s
+  FROM flagged),
+items AS (SELECT line, len(s) AS n, unnest(s) AS g FROM sets),
+linked AS (
+  SELECT a.line AS a, b.line AS b FROM items a JOIN items b ON a.g = b.g AND a.line <> b.line
+  GROUP BY a.line, b.line HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+reach(node, seen) AS (SELECT a, a FROM linked UNION SELECT r.node, l.b FROM reach r JOIN linked l ON r.seen = l.a),
+kept AS (SELECT node, min(e.first) AS kept FROM reach r JOIN entries e ON e.line = r.seen GROUP BY node),
+verdict AS (
+  SELECT l.doc_id, l.pos, coalesce(k.kept, e.first) AS kept
+  FROM lines l JOIN entries e ON l.line = e.line LEFT JOIN kept k ON k.node = l.line),
+marked AS (SELECT *, kept = struct_pack(doc_id := doc_id, pos := pos) AS keep FROM verdict)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE keep)::BIGINT AS n_kept,
+       coalesce(list(pos::INTEGER ORDER BY pos) FILTER (WHERE NOT keep), []) AS removed,
+       coalesce(list(kept.doc_id ORDER BY pos) FILTER (WHERE NOT keep), []) AS kept_in,
+       coalesce(list(kept.pos::INTEGER ORDER BY pos) FILTER (WHERE NOT keep), []) AS kept_at
+FROM marked GROUP BY doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": _JACCARD,
     "op4_mix_sources": _MIX,
     "op6_chat_format": _CHAT,
     "op7_licence_scan": _LICENCES,
+    "op9_line_dedup": _LINES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, decontaminate, jaccard, licences, mixing, neighbours, sharding, toxicity
+from wattlake.llm import chat, decontaminate, jaccard, licences, lines, mixing, neighbours, sharding, toxicity
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
@@ -56,6 +56,18 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    report = lines.line_report(lines.line_groups(table(spark, folder, "documents")))
+    return report.select(
+        "doc_id",
+        "n_lines",
+        "n_kept",
+        F.transform("removed", lambda r: r["pos"]).alias("removed"),
+        F.transform("removed", lambda r: r["group_doc"]).alias("kept_in"),
+        F.transform("removed", lambda r: r["group_pos"]).alias("kept_at"),
+    )
+
+
 def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, folder, "documents")).select(
         "doc_id",
@@ -71,5 +83,5 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op9_line_dedup, op10_hilbert_shards)
 }
