@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.llm.common import written
 
@@ -69,7 +70,7 @@ def _top(scores: np.ndarray, exact, ids: np.ndarray, held: np.ndarray, want: int
     return sorted(pairs)[:want]
 
 
-def _visitor(k: int, dim: int, reach: int):
+def _visitor(k: int, dim: int, reach: int, kind: type):
     """Search one block for the queries that visit it."""
 
     def visit(blocks: pd.DataFrame, visits: pd.DataFrame) -> pd.DataFrame:
@@ -77,12 +78,12 @@ def _visitor(k: int, dim: int, reach: int):
         if len(blocks) and len(visits):
             block = blocks.iloc[0]
             codes = np.frombuffer(block.codes, np.int64)
-            vectors = np.frombuffer(block.vectors, np.float64).reshape(-1, dim)
+            vectors = np.frombuffer(block.vectors, kind).reshape(-1, dim).astype(np.float64)
             held = np.frombuffer(block.held, np.int64)
             ids = np.frombuffer(block.ids, np.int64).reshape(-1, k + 1)
             norms = np.sqrt((vectors * vectors).sum(axis=1))
             for query, code, level, blob in zip(visits["query"], visits["code"], visits["level"], visits["vector"], strict=True):
-                q = np.frombuffer(blob, np.float64)
+                q = np.frombuffer(blob, kind).astype(np.float64)
                 if level < 0:
                     at = int(np.searchsorted(codes, code))
                     low, high = max(at - reach, 0), min(at + reach + 1, len(codes))
@@ -121,8 +122,8 @@ def nearest(
     trees: int = 32,
     miss: float = 0.08,
     reach: int = 32,
-    block: int = 4096,
-    large: int = 32768,
+    block: int = 2048,
+    large: int = 16384,
     seed: int = 11,
 ) -> DataFrame:
     """The ``k`` nearest rows by cosine of each row for which ``queries`` holds.
@@ -130,7 +131,10 @@ def nearest(
     ``queries`` is a condition on the column ``vec_id`` (the id).  Returns query_id,
     rank, vec_id, score.
     """
-    rows = vectors.select(vectors[f"`{id}`"].cast("long").alias("vec_id"), vectors[f"`{vector}`"].cast("array<double>").alias("vector"))
+    # Blocks hold the components as given; all arithmetic is in double precision.
+    single = vectors.schema[vector].dataType == T.ArrayType(T.FloatType())
+    kind, stored = (np.float32, "array<float>") if single else (np.float64, "array<double>")
+    rows = vectors.select(vectors[f"`{id}`"].cast("long").alias("vec_id"), vectors[f"`{vector}`"].cast(stored).alias("vector"))
     dim = rows.agg(F.max(F.size("vector"))).first()[0] or 1
     rows = rows.where(usable(F.col("vector"), dim))
     smallest = F.row_number().over(W.partitionBy("vector").orderBy("vec_id"))
@@ -156,7 +160,7 @@ def nearest(
                 ids = part.column(2).to_pylist()
                 n, codes = len(x), _codes(x, planes)
                 padded = [np.asarray((i + [0] * (k + 1))[: k + 1], np.int64).tobytes() for i in ids]
-                blobs = [v.tobytes() for v in x]
+                blobs = [v.tobytes() for v in x.astype(kind)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(part.column(0).to_numpy(), trees)),
@@ -215,7 +219,7 @@ def nearest(
         dealt = spread(visits).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         own = dealt.select("tree", "prefix", "part", "query", "code", "level", "vector")
         keys = ["tree", "prefix", "part"]
-        return blocks.groupBy(*keys).cogroup(own.groupBy(*keys)).applyInPandas(_visitor(k, dim, reach), HITS)
+        return blocks.groupBy(*keys).cogroup(own.groupBy(*keys)).applyInPandas(_visitor(k, dim, reach, kind), HITS)
 
     descent = _best(visited(search.withColumn("level", F.lit(-1))), k + 1)
     # Bits that a neighbour at the k-th best angle shares in some tree with probability 1 - miss.
