@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, decontaminate, jaccard, licences, lines, mixing, neighbours, sharding, toxicity
+from wattlake.llm import chat, decontaminate, jaccard, licences, lines, mixing, neighbours, secret_scan, sharding, toxicity
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
@@ -27,6 +27,10 @@ def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, folder, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, folder, "documents"))
+
+
 def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -83,5 +87,5 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op9_line_dedup, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op2_secret_scan, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op9_line_dedup, op10_hilbert_shards)
 }
