@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2_000_000
 
@@ -41,6 +42,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def row_key(df: DataFrame, id: str = "doc_id", text: str = "text") -> Column:
+    """A key of a row's id and text: rows alike in both share it, NULLs included."""
+    return F.xxhash64(F.struct(df[f"`{id}`"], df[f"`{text}`"]), F.crc32(F.coalesce(df[f"`{text}`"], F.lit("")).cast("binary")))
+
+
 def text_chunks(
     texts: pa.Array, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import written
+from wattlake.llm.common import row_key, written
 
 OVERHEAD = 16
 
@@ -159,3 +159,31 @@ def hilbert_shards(
         "shard",
         F.expr(f"place - (shard * total + {int(shards)} - 1) div {int(shards)}").cast("long").alias("slot"),
     )
+
+
+def sharded(docs: DataFrame, shards: int = 40, id: str = "doc_id", text: str = "text", dimensions: Sequence[str] = ("source", "lang"), bits: int = 4) -> DataFrame:
+    """``docs`` with each row's shard and slot, to be written by shard in order of the slot.
+
+    Rows alike in id and text, but not in the rest, may swap their places.
+    """
+    fresh = _unused(docs, ("_key", "_copy", "shard", "slot"))
+    keyed = docs.withColumn(fresh["_key"], row_key(docs, id, text))
+    placed = hilbert_shards(keyed, shards, fresh["_key"], text, dimensions, bits)
+    copy = F.row_number().over(W.partitionBy("doc_id").orderBy("shard", "slot"))
+    numbered = placed.select(F.col("doc_id").alias("placed_key"), copy.alias("placed_copy"), F.col("shard").alias(fresh["shard"]), F.col("slot").alias(fresh["slot"]))
+    own = F.row_number().over(W.partitionBy(fresh["_key"]).orderBy(F.lit(0)))
+    copies = keyed.withColumn(fresh["_copy"], own)
+    met = copies.join(numbered, (copies[fresh["_key"]] == numbered["placed_key"]) & (copies[fresh["_copy"]] == numbered["placed_copy"]))
+    return met.drop(fresh["_key"], fresh["_copy"], "placed_key", "placed_copy")
+
+
+def _unused(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
+    """Each name, with underscores before it where the table has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = {}
+    for name in names:
+        free = name
+        while free.lower() in taken:
+            free = "_" + free
+        out[name] = free
+    return out

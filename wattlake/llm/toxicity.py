@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.llm.common import written
 
@@ -393,6 +394,7 @@ def toxicity(
     kept = [docs[f"`{name}`"] for name in keep]
     carried = docs.select(docs[f"`{id}`"].alias("doc_id"), *kept, docs[f"`{text}`"].alias("toxic_text"))
     fields = carried.columns[:-1]
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
-    scored = carried.mapInArrow(_score(model, weights, curve, fields), f"{out}, evidence double, score double, found array<string>")
+    added = T.StructType().add("evidence", "double").add("score", "double").add("found", T.ArrayType(T.StringType()))
+    schema = T.StructType(carried.schema.fields[:-1] + added.fields)
+    scored = carried.mapInArrow(_score(model, weights, curve, fields), schema)
     return scored.withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
