@@ -319,7 +319,7 @@ def _score(model: np.ndarray, weights: dict[str, float], curve: tuple[float, flo
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 found = [listed.evidence(decoder.restore(t, listed.heads)) if t else (0.0, []) for t in part.column(len(fields)).to_pylist()]
-                x = np.array([f[0] for f in found])
+                x = np.array([f[0] for f in found], np.float64)
                 score = np.zeros(len(x)) if curve is None else 1 / (1 + np.exp(-np.clip(curve[0] + curve[1] * np.log1p(x), -50, 50)))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(i) for i in range(len(fields))], pa.array(x), pa.array(score), pa.array([f[1] for f in found], pa.list_(pa.string()))],
