@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import duck, duck_rows, spark_rows
+from wattlake.queries import ORACLE, QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
@@ -26,14 +27,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = entry_points.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     names, rows = spark_rows(df)
-    expected_names, expected, types = duck_rows(con, entry_points.oracle_sql()[name])
+    expected_names, expected, types = duck_rows(con, ORACLE[name])
     assert names == expected_names
     for f in df.schema.fields:
         kind = f.dataType.simpleString()

@@ -32,18 +32,11 @@ def clamp_power(samples: DataFrame) -> DataFrame:
 
 
 def device_hardware(samples: DataFrame) -> DataFrame:
-    """Distinct hardware descriptions with the device identifier in lower case.
-
-    The identifier is the ``udn`` column where the samples carry one; otherwise
-    it is formed from the serial number.
-    """
-    udn = F.col("udn") if "udn" in samples.columns else F.concat(
-        F.lit("uuid:Socket-1_0-"), F.col("serial_number")
-    )
+    """Distinct hardware descriptions with the device identifier in lower case."""
     return samples.select(
         F.col("device_name"),
         F.col("mac_address"),
-        F.lower(udn).alias("udn"),
+        F.lower("udn").alias("udn"),
         F.col("firmware"),
         F.col("ip_address"),
         F.col("serial_number"),

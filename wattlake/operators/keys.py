@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.text import SEPARATOR
 
+#: Bucket sizes are ordered in one task and broadcast: 65,536 rows at most.
+MAX_HEX_DIGITS = 4
+
 
 def next_start(table: DataFrame, sk: str) -> Column:
     """Highest key in use, at least 0, as a scalar subquery."""
@@ -33,10 +36,12 @@ def with_surrogate_keys(
     Rows are ordered by the first ``hex_digits`` digits of the MD5 of
     ``order_by``, then by ``order_by`` (NULLs first).  ``order_by`` should tell
     rows apart: equal rows land in one bucket.  The bucket count is
-    ``16 ** hex_digits``, so the table of bucket sizes has a fixed bound (4,096
+    ``16 ** hex_digits`` (``hex_digits`` is 4 at most), so the table of bucket sizes has a fixed bound (4,096
     rows by default) and may be ordered in one task and broadcast whatever the
     size of ``df``.
     """
+    if not 1 <= hex_digits <= MAX_HEX_DIGITS:
+        raise ValueError(f"hex_digits must lie between 1 and {MAX_HEX_DIGITS}, not {hex_digits}")
     start = F.lit(start) if isinstance(start, int) else start
     text = F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in order_by])
     rows = df.withColumn("__bucket", F.left(F.md5(text), F.lit(hex_digits)))

@@ -70,17 +70,25 @@ def scd2_apply(
 ) -> DataFrame:
     """Close changed rows and open new versions; returns the whole dimension.
 
-    ``source`` has one row per natural key with the tracked and carried columns.
-    A natural key that is missing from the source stays as it is.
+    ``source`` has one row per natural key with the tracked and carried columns; a
+    key that comes twice or is NULL stops the run, because it would open two
+    versions, or one at each run.  A natural key that is missing from the source
+    stays as it is.
     """
     key = shape.natural_key
     fields = dimension.schema.fields
     current = current_rows(dimension)
     expired = dimension.filter(F.col("recordExpirationDate").isNotNull())
 
-    incoming = source.select(
-        F.col(key).alias("__key"),
-        F.struct(*shape.tracked, *shape.carried).alias("__new"),
+    given = source.groupBy(F.col(key).alias("__key")).agg(
+        F.first(F.struct(*shape.tracked, *shape.carried)).alias("__new"),
+        F.count(F.lit(1)).alias("__times"),
+    )
+    wrong = F.col("__key").isNull() | (F.col("__times") > 1)
+    message = F.concat(F.lit(f"{key} is NULL or comes twice: "), F.coalesce(F.col("__key").cast("string"), F.lit("NULL")))
+    incoming = given.select(
+        F.when(wrong, F.raise_error(message).cast(source.schema[key].dataType)).otherwise(F.col("__key")).alias("__key"),
+        "__new",
     )
     changed = F.col("__new").isNotNull() & reduce(
         lambda a, b: a | b,

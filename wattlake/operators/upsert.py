@@ -41,7 +41,8 @@ def upsert(
 
     ``update`` and ``insert`` give target columns as expressions over the source
     row; key columns are always inserted.  When several source rows share a key
-    they act in order of ``latest_by``: the last one sets the row.  A key that is
+    they act in order of ``latest_by``, then of their exact keys and values: the last
+    one sets the row, in whatever order the rows came.  A key that is
     new and comes more than once is inserted by the first row and then updated
     by the later ones, so its update columns are set too.
 
@@ -71,7 +72,8 @@ def upsert(
     changes = (
         matchable.select(
             key.alias("__key"), new.alias("__new"), "__count",
-            F.struct(*[F.col(k) for k in (latest_by or keys)]).alias("__order"),
+            # The exact keys and the whole row end the order: no two different rows tie.
+            F.struct(*[F.col(k) for k in (latest_by or [])], *[F.col(k) for k in keys], new).alias("__order"),
         )
         .groupBy("__key")
         .agg(F.max_by("__new", "__order").alias("__new"), F.sum("__count").alias("__times"))

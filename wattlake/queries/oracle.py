@@ -74,7 +74,12 @@ SAMPLE_COLUMNS = """lpad(CAST(user_id AS VARCHAR), 12, '0') AS mac_address,
   CAST(round(value * 1000) AS INTEGER) AS power_mw,
   ts AS sampled_at"""
 
-view("samples", [], f"SELECT {SAMPLE_COLUMNS} FROM events")
+view(
+    "samples",
+    [],
+    f"""SELECT {SAMPLE_COLUMNS},
+        'uuid:Socket-1_0-SN' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS udn FROM events""",
+)
 
 view(
     "clamped",
@@ -96,14 +101,15 @@ view(
 view(
     "t_usage",
     [],
-    """SELECT event_id + 1 AS deviceUsageDataSK, user_id % 4 + 1 AS deviceFK,
+    """SELECT event_id + 1 AS deviceUsageDataSK, CASE WHEN event_id % 101 = 0 THEN 0 WHEN event_id % 3 = 0 THEN 1
+             ELSE user_id + 1 END AS deviceFK,
         CAST(event_id % 100 AS SMALLINT) AS deviceSignalStrength,
         CAST(CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 1 WHEN 'click' THEN 2
              ELSE 3 END AS BIGINT) AS deviceStateFK,
         CASE WHEN event_id % 97 = 0 THEN NULL
              ELSE CAST(round(value * 1000) AS INTEGER) END AS devicePowerUsage,
         CAST(1 AS BIGINT) AS devicePowerScaleFK,
-        CAST(NULL AS INTEGER) AS deviceTemperatureSetting,
+        CAST(CASE WHEN event_id % 11 = 0 THEN event_id % 30 END AS INTEGER) AS deviceTemperatureSetting,
         CAST(event_id % 40 - 20 AS INTEGER) AS deviceCurrentTemperature,
         CAST(event_id % 15 + 1 AS INTEGER) AS dataPointSampleSize,
         ts AS dataPointAddedDate FROM events""",
@@ -266,11 +272,6 @@ def _dim_date(slots: str) -> str:
 view(
     "d_date",
     [],
-    _dim_date("TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:45:00'"),
-)
-view(
-    "d_date_events",
-    [],
     _dim_date(
         "(SELECT date_trunc('day', min(ts)) FROM events), "
         "(SELECT date_trunc('day', max(ts)) + INTERVAL '23 hours 45 minutes' FROM events)"
@@ -374,8 +375,8 @@ for _name, _source in (("device", "d_device"), ("location", "d_location")):
 
 oracle(
     "dim_date_current",
-    ["d_date_events"],
-    "SELECT * FROM d_date_events WHERE dateTimeHour >= 2024010306 AND dateTimeHour <= 2024012517",
+    ["d_date"],
+    "SELECT * FROM d_date WHERE dateTimeHour >= 2024010306 AND dateTimeHour <= 2024012517",
 )
 oracle("incremental_slice", ["t_usage"], "SELECT * FROM t_usage WHERE deviceUsageDataSK > 500")
 oracle("power_clamp", ["clamped"], "SELECT * FROM clamped")
@@ -388,7 +389,7 @@ oracle(
     "device_hardware",
     ["samples"],
     """SELECT DISTINCT device_name, mac_address,
-       lower('uuid:Socket-1_0-' || serial_number) AS udn, firmware, ip_address, serial_number, model
+       lower(udn) AS udn, firmware, ip_address, serial_number, model
        FROM samples""",
 )
 oracle(
@@ -403,7 +404,7 @@ oracle("fact_staging", ["staging"], "SELECT * FROM staging")
 view(
     "half_staging",
     ["aggregate", *DIMENSIONS],
-    _staging("(SELECT * FROM d_date WHERE dateTimeHour BETWEEN 2024010100 AND 2024011512)"),
+    _staging("(SELECT * FROM d_date WHERE dateTimeHour <= 2024011512)"),
 )
 oracle(
     "fact_load",
@@ -430,8 +431,7 @@ oracle(
         JOIN d_scale ON dimPowerScalesIK = powerScaleIK
         JOIN d_device ON dimDeviceIK = deviceIK
         JOIN d_date ON dataPointDateIK = dateTimeIK
-      WHERE dateTimeHour BETWEEN 2024010100 AND 2024013023
-        AND "Date" > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 7 DAY
+      WHERE "Date" > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 7 DAY
       GROUP BY macAddress, serialNumber, friendlyName, deviceTypeLabel, deviceIsSwitch,
         deviceCanMeasureEnergyUsage, firmwareName, firmwareVersion, ipAddress, subnetMask,
         deviceFirstSeenDate, locationName, locationFloor, locationRoom, unitOfPower, statusLabel,
@@ -460,12 +460,12 @@ oracle(
 
 # --- dates ------------------------------------------------------------------------
 
-oracle("dim_date_build", ["d_date_events"], "SELECT * FROM d_date_events")
+oracle("dim_date_build", ["d_date"], "SELECT * FROM d_date")
 oracle(
     "dim_date_hour",
-    ["d_date_events"],
+    ["d_date"],
     """SELECT max(dateTimeIK) AS dateTimeIK, * EXCLUDE (dateTimeIK, MinuteOfHour)
-       FROM d_date_events GROUP BY ALL""",
+       FROM d_date GROUP BY ALL""",
 )
 oracle(
     "day_of_month_label",
@@ -480,9 +480,9 @@ oracle(
 )
 oracle(
     "model_hours_sorted",
-    ["d_date_events"],
+    ["d_date"],
     f"""SELECT DISTINCT {HOUR_LABEL.format(ts='"DateTime"')} AS "Hour of Day"
-       FROM d_date_events""",
+       FROM d_date""",
 )
 
 # --- samples and upserts -------------------------------------------------------------
@@ -511,12 +511,12 @@ oracle(
     f"""SELECT f.* REPLACE (coalesce(
             (SELECT max(firmware) FROM averages a WHERE lower(a.firmware) = lower(f.firmwareName)),
             lower(f.firmwareName)) AS firmwareName)
-      FROM t_firmware f WHERE deviceFirmwareSK <= 2
+      FROM t_firmware f WHERE deviceFirmwareSK % 2 = 1
       UNION ALL
-      SELECT 2 + {numbered(["firmware"])}, firmware, NULL, NULL, {LOAD}, NULL, true
+      SELECT (SELECT max(deviceFirmwareSK) FROM t_firmware WHERE deviceFirmwareSK % 2 = 1) + {numbered(["firmware"])}, firmware, NULL, NULL, {LOAD}, NULL, true
       FROM (SELECT DISTINCT firmware FROM averages
             WHERE firmware NOT IN (SELECT firmwareName FROM t_firmware
-                                   WHERE deviceFirmwareSK <= 2))""",
+                                   WHERE deviceFirmwareSK % 2 = 1))""",
 )
 view(
     "versions",
@@ -530,21 +530,21 @@ oracle(
     f"""SELECT f.* REPLACE (coalesce(v.name, firmwareName) AS firmwareName,
                             coalesce(v.version, firmwareVersion) AS firmwareVersion)
       FROM t_firmware f LEFT JOIN versions v ON lower(firmwareName) = v.name
-      WHERE deviceFirmwareSK <= 2
+      WHERE deviceFirmwareSK % 2 = 1
       UNION ALL
-      SELECT 2 + {numbered(["name"])}, name, version, NULL, {LOAD}, NULL, true
+      SELECT (SELECT max(deviceFirmwareSK) FROM t_firmware WHERE deviceFirmwareSK % 2 = 1) + {numbered(["name"])}, name, version, NULL, {LOAD}, NULL, true
       FROM versions
-      WHERE name NOT IN (SELECT lower(firmwareName) FROM t_firmware WHERE deviceFirmwareSK <= 2)""",
+      WHERE name NOT IN (SELECT lower(firmwareName) FROM t_firmware WHERE deviceFirmwareSK % 2 = 1)""",
 )
 oracle(
     "upsert_network",
     ["averages", "t_network"],
-    f"""SELECT * FROM t_network WHERE networkMetadataSK <= 5
+    f"""SELECT * FROM t_network WHERE networkMetadataSK % 2 = 1
       UNION ALL
-      SELECT 5 + {numbered(["ip_address"])}, ip_address, '255.255.255.0', 'IPv4', {LOAD}, NULL
+      SELECT (SELECT max(networkMetadataSK) FROM t_network WHERE networkMetadataSK % 2 = 1) + {numbered(["ip_address"])}, ip_address, '255.255.255.0', 'IPv4', {LOAD}, NULL
       FROM (SELECT DISTINCT ip_address FROM averages
             WHERE ip_address NOT IN (SELECT ipAddress FROM t_network
-                                     WHERE networkMetadataSK <= 5))""",
+                                     WHERE networkMetadataSK % 2 = 1))""",
 )
 view(
     "types_after",
@@ -578,12 +578,12 @@ oracle(
             AS deviceChangedDate)
       FROM t_device d LEFT JOIN incoming_devices i
         ON macAddress = mac_address AND serialNumber = serial_number
-      WHERE deviceSK <= 10
+      WHERE deviceSK % 2 = 1
       UNION ALL
-      SELECT 10 + {numbered(["mac_address", "serial_number"])}, mac_address, serial_number,
+      SELECT (SELECT max(deviceSK) FROM t_device WHERE deviceSK % 2 = 1) + {numbered(["mac_address", "serial_number"])}, mac_address, serial_number,
         device_name, deviceTypeSK, deviceFirmwareSK, {LOAD}, {LOAD}, false, networkMetadataSK, NULL
       FROM incoming_devices i
-      WHERE NOT EXISTS (SELECT 1 FROM t_device WHERE deviceSK <= 10
+      WHERE NOT EXISTS (SELECT 1 FROM t_device WHERE deviceSK % 2 = 1
                         AND macAddress = mac_address AND serialNumber = serial_number)""",
 )
 view(
@@ -860,7 +860,7 @@ oracle(
     'SELECT statusLabel AS "Device Status" FROM status_versioned',
 )
 oracle("model_usage", ["fact"], f"SELECT {USAGE_NAMES} FROM fact")
-oracle("model_dates", ["d_date_events"], f"SELECT {DATE_NAMES} FROM d_date_events d_date")
+oracle("model_dates", ["d_date"], f"SELECT {DATE_NAMES} FROM d_date")
 oracle("model_hourly", ["hourly"], f"SELECT {HOURLY_NAMES} FROM hourly")
 
 STAR = """LEFT JOIN d_device ON dimDeviceIK = deviceIK
@@ -886,7 +886,7 @@ oracle(
         avg(devicePowerUsage) AS avg_power_usage_watts,
         avg(devicePowerUsage) AS power_usage_milliwatts,
         CAST(sum(dataPointSampleSize) AS BIGINT) AS sample_size
-      FROM fact {STAR} WHERE d_date."Year" = 2024 GROUP BY friendlyName, statusLabel""",
+      FROM fact {STAR} WHERE NOT IsWeekend GROUP BY friendlyName, statusLabel""",
 )
 KWH = "CAST(sum(devicePowerUsageWatts) AS BIGINT) / 1000"
 oracle(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -11,7 +10,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake import schemas
 from wattlake.functions import timekeys
 from wattlake.operators import (
     collect,
@@ -26,7 +24,7 @@ from wattlake.operators import (
 )
 from wattlake.plans import reports, semantic
 from wattlake.plans.semantic import HOURLY, USAGE, Model
-from wattlake.sources.given import AS_OF, FIRST_HOUR, LAST_HOUR, LOAD_TS, Given
+from wattlake.sources.given import AS_OF, LOAD_TS, Given
 from wattlake.sources.warehouse import Warehouse, shared_folder, staged_tables
 from wattlake.streaming import samples as streams
 
@@ -104,7 +102,7 @@ def dim_status_current(given: Given) -> DataFrame:
 @query
 def dim_date_current(given: Given) -> DataFrame:
     """All days of the events but the hours outside two given ones."""
-    return dates.date_range(given.dim_date_of_events(), 2024010306, 2024012517)
+    return dates.date_range(given.dim_date(), 2024010306, 2024012517)
 
 
 @query
@@ -161,7 +159,7 @@ def fact_load(given: Given) -> DataFrame:
         given.dim_location(),
         given.dim_power_scales(),
         given.dim_status(),
-        dates.date_range(given.dim_date(), FIRST_HOUR, 2024011512),
+        dates.date_range(given.dim_date(), 0, 2024011512),
         LOAD_TS,
     )
     loaded, rejected = facts.load_facts(staging)
@@ -188,7 +186,7 @@ def last_seven_days_hourly(given: Given) -> DataFrame:
         given.dim_location(),
         given.dim_power_scales(),
         given.dim_status(),
-        dates.date_range(given.dim_date(), FIRST_HOUR, LAST_HOUR),
+        given.dim_date(),
         AS_OF,
     )
 
@@ -213,12 +211,12 @@ def denormalized_report(given: Given) -> DataFrame:
 
 @query
 def dim_date_build(given: Given) -> DataFrame:
-    return given.dim_date_of_events()
+    return given.dim_date()
 
 
 @query
 def dim_date_hour(given: Given) -> DataFrame:
-    return dates.date_hours(given.dim_date_of_events())
+    return dates.date_hours(given.dim_date())
 
 
 @query
@@ -241,15 +239,6 @@ def hour_of_day_label(given: Given) -> DataFrame:
 # --- samples and upserts ----------------------------------------------------------
 
 
-def stored_averages(given: Given) -> DataFrame:
-    """The averages as a written table, for queries that read them several times."""
-    folder = _scratch(given.spark, "averages")
-    given.averages().write.mode("overwrite").parquet(f"{folder}/rows")
-    return given.spark.read.schema(schemas.TABLES["acq.averagedDataPoints"]).parquet(
-        f"{folder}/rows"
-    )
-
-
 @query
 def sample_average(given: Given) -> DataFrame:
     return given.averages()
@@ -258,7 +247,7 @@ def sample_average(given: Given) -> DataFrame:
 @query
 def usage_append(given: Given) -> DataFrame:
     return collect.usage_rows(
-        stored_averages(given),
+        given.averages(),
         given.device(),
         given.status_list(),
         given.power_scales(),
@@ -269,10 +258,10 @@ def usage_append(given: Given) -> DataFrame:
 
 @query
 def upsert_firmware(given: Given) -> DataFrame:
-    """Two of the four firmware names are known, in other spelling."""
+    """Every second firmware name is known, in other spelling."""
     known = (
         given.device_firmware()
-        .filter(F.col("deviceFirmwareSK") <= 2)
+        .filter(F.col("deviceFirmwareSK") % 2 == 1)
         .withColumn("firmwareName", F.lower("firmwareName"))
     )
     return upsert.upsert_firmware(known, given.averages(), LOAD_TS)
@@ -287,13 +276,13 @@ def upsert_firmware_version(given: Given) -> DataFrame:
             "firmwareVersion"
         ),
     )
-    known = given.device_firmware().filter(F.col("deviceFirmwareSK") <= 2)
+    known = given.device_firmware().filter(F.col("deviceFirmwareSK") % 2 == 1)
     return upsert.upsert_firmware_version(known, versions, LOAD_TS)
 
 
 @query
 def upsert_network(given: Given) -> DataFrame:
-    known = given.network_metadata().filter(F.col("networkMetadataSK") <= 5)
+    known = given.network_metadata().filter(F.col("networkMetadataSK") % 2 == 1)
     return upsert.upsert_network(known, given.averages(), LOAD_TS)
 
 
@@ -304,10 +293,10 @@ def upsert_device_type(given: Given) -> DataFrame:
 
 @query
 def upsert_device(given: Given) -> DataFrame:
-    """Devices of low number are known; the lookups hold what the samples name."""
-    averages = stored_averages(given)
+    """Every second device is known; the lookups hold what the samples name."""
+    averages = given.averages()
     return upsert.upsert_device(
-        given.device().filter(F.col("deviceSK") <= 10),
+        given.device().filter(F.col("deviceSK") % 2 == 1),
         averages,
         given.device_firmware(),
         upsert.upsert_device_type(given.device_types(), averages),
@@ -422,9 +411,7 @@ def model(given: Given) -> Model:
             "dimLocation": given.dim_location,
             "dimPowerScales": given.dim_power_scales,
             "dimStatusList": given.dim_status,
-            "dimDateQuarterHourCurrent": lambda: dates.date_range(
-                given.dim_date(), FIRST_HOUR, LAST_HOUR
-            ),
+            "dimDateQuarterHourCurrent": given.dim_date,
             "factDeviceMeasurement": usage,
             "vfactDeviceMeasurmentByHour": lambda: reports.fact_by_hour(
                 usage(), given.dim_date()
@@ -460,7 +447,7 @@ def model_usage(given: Given) -> DataFrame:
 
 @query
 def model_dates(given: Given) -> DataFrame:
-    return Model({"dimDateQuarterHourCurrent": given.dim_date_of_events()}).table(semantic.DATES)
+    return Model({"dimDateQuarterHourCurrent": given.dim_date()}).table(semantic.DATES)
 
 
 @query
@@ -481,7 +468,7 @@ def model_star_hourly(given: Given) -> DataFrame:
 @query
 def model_hours_sorted(given: Given) -> DataFrame:
     """Hour labels in the order of their hour number."""
-    return Model({"dimDateQuarterHourCurrent": given.dim_date_of_events()}).members("Hour of Day")
+    return Model({"dimDateQuarterHourCurrent": given.dim_date()}).members("Hour of Day")
 
 
 def _plain(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -496,7 +483,7 @@ def measures_usage(given: Given) -> DataFrame:
         ["Avg. Signal Strength", "Avg. Power Usage (Watts)", "Power Usage (milliWatts)",
          "Sample Size from Sensor"],
         by=["Device Name", "Device Status"],
-        where={"Year": 2024},
+        where={"Weekend?": False},
     )
     return _plain(
         report,
@@ -602,11 +589,12 @@ def mail_first_attachment(given: Given) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, or a local one where none is named."""
-    shared = shared_folder(spark)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"wattlake-{name}-")
+    """A new folder below the shared one, or below the warehouse where none is named.
+
+    Executors share both.
+    """
+    shared = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _drain(stream: DataFrame, folder: str) -> DataFrame:

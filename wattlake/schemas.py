@@ -161,5 +161,5 @@ TABLES[QUARANTINE] = without_constraints(TABLES["acq.etlFactRecordStaging"])
 SAMPLES = _struct(
     """mac_address STRING, ip_address STRING, signal_strength INT,
        serial_number STRING, model STRING, firmware STRING, device_name STRING,
-       state INT, power_mw INT, sampled_at TIMESTAMP_NTZ"""
+       state INT, power_mw INT, sampled_at TIMESTAMP_NTZ, udn STRING"""
 )

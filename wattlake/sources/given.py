@@ -25,8 +25,8 @@ AS_OF = dt.datetime(2024, 1, 30, 12)
 SEED_TS = dt.datetime(2023, 12, 1)
 SEED_SQL = f"TIMESTAMP_NTZ'{SEED_TS}'"
 OLD_TS = dt.datetime(2023, 6, 1)
-FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
-FIRST_HOUR, LAST_HOUR = 2024010100, 2024013023
+#: The day that batch log number 1 belongs to; later days count on from it.
+LOG_EPOCH = dt.date(2024, 1, 1)
 
 
 def _as(df: DataFrame, name: str, values: dict[str, Column]) -> DataFrame:
@@ -47,9 +47,6 @@ def once(build):
     return kept
 
 
-_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
-
-
 class Given:
     """The given tables in a folder, shaped into the library's inputs."""
 
@@ -57,13 +54,14 @@ class Given:
         self.spark = spark
         self.folder = folder
         self._built: dict[str, DataFrame] = {}
+        self._schemas: dict[str, T.StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A given table; its schema is taken from the files once per process."""
+        """A given table; its schema is taken from the files once per query."""
         path = f"{self.folder}/{name}.parquet"
-        if path not in _KNOWN_SCHEMAS:
-            _KNOWN_SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def stream(self, name: str) -> DataFrame:
         """A given table as a stream of its files, all in the first batch.
@@ -82,6 +80,7 @@ class Given:
         values = {
             "mac_address": F.lpad(user.cast("string"), 12, "0"),
             "ip_address": F.concat(F.lit("10.0.0."), (user % 50).cast("string")),
+            "udn": F.concat(F.lit("uuid:Socket-1_0-SN"), F.lpad(user.cast("string"), 8, "0")),
             "signal_strength": F.col("event_id") % 100,
             "serial_number": F.concat(F.lit("SN"), F.lpad(user.cast("string"), 8, "0")),
             "model": F.when(user % 3 == 0, "Socket 1.0").otherwise("Smart Insight 1.0"),
@@ -100,7 +99,8 @@ class Given:
         return collect.sample_average(collect.clamp_power(self.samples()), LOAD_TS)
 
     def usage(self, events: DataFrame | None = None) -> DataFrame:
-        """One usage row per event, on four devices; some status and power NULL."""
+        """One usage row per event: a third on one device, the others by user, a few on
+        a device that no table has; some status, power and set temperature NULL."""
         event, kind = F.col("event_id"), F.col("event_type")
         events = self.table("events") if events is None else events
         return _as(
@@ -108,7 +108,9 @@ class Given:
             "dbo.deviceUsageData",
             {
                 "deviceUsageDataSK": event + 1,
-                "deviceFK": F.col("user_id") % 4 + 1,
+                "deviceFK": F.when(event % 101 == 0, 0)
+                .when(event % 3 == 0, 1)
+                .otherwise(F.col("user_id") + 1),
                 "deviceSignalStrength": event % 100,
                 "deviceStateFK": F.when(kind == "error", F.lit(None))
                 .when(kind == "view", 1)
@@ -117,6 +119,7 @@ class Given:
                 "devicePowerUsage": F.when(event % 97 != 0, F.round(F.col("value") * 1000)),
                 # Always 1, but a column as in a stored table, not a constant.
                 "devicePowerScaleFK": event % 1 + 1,
+                "deviceTemperatureSetting": F.when(event % 11 == 0, event % 30),
                 "deviceCurrentTemperature": event % 40 - 20,
                 "dataPointSampleSize": event % 15 + 1,
                 "dataPointAddedDate": F.col("ts"),
@@ -373,10 +376,6 @@ class Given:
 
     @once
     def dim_date(self) -> DataFrame:
-        """The days of the events at every scale."""
-        return dates.date_dimension(self.spark, FIRST_DAY, LAST_DAY)
-
-    def dim_date_of_events(self) -> DataFrame:
         """The days from the first to the last event."""
         return dates.date_dimension_of(
             self.table("events").agg(
@@ -436,7 +435,7 @@ class Given:
                     F.col("high") + 1
                 ),
                 "etlJobDate": F.date_add("day", 1).cast("timestamp_ntz"),
-                "etlLogSK": F.datediff("day", F.lit(FIRST_DAY)) + 1,
+                "etlLogSK": F.datediff("day", F.lit(LOG_EPOCH)) + 1,
             },
         )
 
