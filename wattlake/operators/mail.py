@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,24 +123,10 @@ def first_attachment(
 
 
 def write_objects(exports: DataFrame, path: str) -> None:
-    """Store exported attachments as (object_key, body) rows."""
-    exports.write.mode("overwrite").parquet(path)
+    """Store exported attachments as (object_key, body) rows, by the key's first part.
 
-
-def write_files(files: DataFrame, folder: str, name_column: str) -> None:
-    """Write each body to its own file below a folder that all workers share.
-
-    A file appears under its name only when it is complete, so a repeated task
-    does no harm.
+    Rows go through Spark's own writer, so any store that Spark writes to will do, and
+    a repeated task does no harm.
     """
-
-    def save(rows):
-        for row in rows:
-            target = os.path.join(folder, row[name_column])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            partial = f"{target}.{uuid.uuid4().hex}"
-            with open(partial, "wb") as out:
-                out.write(row["body"])
-            os.replace(partial, target)
-
-    files.select(name_column, "body").foreachPartition(save)
+    prefix = F.substring_index("object_key", "/", 1)
+    exports.withColumn("prefix", prefix).write.mode("overwrite").partitionBy("prefix").parquet(path)

@@ -1,6 +1,7 @@
 """The two jobs: load averaged samples, and build the star schema from them.
 
-Both number their loads from one common sequence.  Each step writes its table and
+Loads are numbered from one common sequence, which :meth:`Warehouse.begin` hands out
+to jobs and streams that share a warehouse.  Each step writes its table and
 the next step reads it back, so no plan grows with the number of steps and a job
 that died can be repeated under the same number.
 """

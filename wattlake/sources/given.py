@@ -25,6 +25,8 @@ AS_OF = dt.datetime(2024, 1, 30, 12)
 SEED_TS = dt.datetime(2023, 12, 1)
 SEED_SQL = f"TIMESTAMP_NTZ'{SEED_TS}'"
 OLD_TS = dt.datetime(2023, 6, 1)
+#: Files that a stream takes in one batch, so that a backlog is not one batch.
+FILES_PER_BATCH = 256
 #: The day that batch log number 1 belongs to; later days count on from it.
 LOG_EPOCH = dt.date(2024, 1, 1)
 
@@ -64,11 +66,12 @@ class Given:
         return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def stream(self, name: str) -> DataFrame:
-        """A given table as a stream of its files, all in the first batch.
+        """A given table as a stream of its files, some in each batch.
 
         The pattern matches a file as well as a folder of that name.
         """
-        return self.spark.readStream.schema(self.table(name).schema).parquet(
+        source = self.spark.readStream.schema(self.table(name).schema)
+        return source.option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(
             f"{self.folder}/{name}.parque[t]"
         )
 

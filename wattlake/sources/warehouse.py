@@ -5,10 +5,16 @@ table (usage, facts, logs) is the union of its loads; any other table is its
 latest load.  Nothing that may still be read is ever overwritten, and a repeated
 load reads what was there before it and replaces only its own folder, so a job
 that was cut off can simply run again.
+
+Jobs and streams that share a warehouse take their load numbers from
+:meth:`Warehouse.begin`.  It hands out every number once and gives a run that comes
+again, named by its key, the number it had.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +37,52 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._begun: set[int] = set()
+
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self) -> set[int]:
+        """Load numbers that have been handed out."""
+        marks = self._files().globStatus(self._path("_loads", "numbers", "*"))
+        return {int(m.getPath().getName()) for m in marks or []}
+
+    def begin(self, key: str) -> int:
+        """The load number of the run named ``key``: a new, highest one, or its own again.
+
+        A number is taken by creating its file, which the file system lets one writer
+        do.  A run that is cut off before it has noted its number leaves a gap.
+        """
+        files = self._files()
+        note = self._path("_loads", "keys", hashlib.sha256(key.encode()).hexdigest())
+        while not files.exists(note):
+            used = files.globStatus(self._path("*", "*", "load=*"))
+            loads = {int(m.getPath().getName().split("=")[1]) for m in used or [] if m.getPath().getParent().getName() != "etlAuditLog"}
+            number = max(loads | self._numbers() | {0}) + 1
+            if not files.createNewFile(self._path("_loads", "numbers", str(number))):
+                continue
+            partial = self._path("_loads", "partial", str(number))
+            out = files.create(partial, True)
+            out.write(bytearray(str(number).encode()))
+            out.close()
+            files.mkdirs(note.getParent())
+            files.rename(partial, note)
+        source = files.open(note)
+        number = int(bytes(source.readAllBytes()).decode())
+        source.close()
+        self._begun.add(number)
+        return number
+
+    def _check_number(self, name: str, load: int) -> None:
+        """Refuse a number that was not handed out where numbers are; the audit log counts its own."""
+        if load in self._begun or name == "acq.etlAuditLog":
+            return
+        self._begun |= self._numbers()
+        if self._begun and load not in self._begun:
+            raise ValueError(f"load {load} of {name} was not begun; loads of this warehouse are")
 
     def folder(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -72,6 +124,7 @@ class Warehouse:
         that evens out file sizes; it is meant for small tables that are rewritten
         often, not for copies of big ones.
         """
+        self._check_number(name, load)
         rows = conform(df, name)
         if rebalance:
             rows = rows.hint("rebalance")

@@ -100,15 +100,16 @@ def stream_upsert(
     return writer.start()
 
 
-def warehouse_sink(warehouse: Warehouse, first_load: int = 1) -> Callable[[DataFrame, int], None]:
+def warehouse_sink(warehouse: Warehouse, stream: str = "samples") -> Callable[[DataFrame, int], None]:
     """An ``apply`` for :func:`stream_upsert` that loads batches into a warehouse.
 
-    The load number follows from the batch number, so a batch that comes again
-    replaces what it wrote before.  Usage rows carry the event time.
+    A batch begins a load under the name of its stream and its number, so one that
+    comes again replaces what it wrote before, and jobs may load in between.  Usage
+    rows carry the event time.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        load = first_load + batch_id
+        load = warehouse.begin(f"{stream} batch {batch_id}")
         warehouse.write("acq.averagedDataPoints", batch, load)
         averages = warehouse.read("acq.averagedDataPoints", before=load + 1)
         latest = averages.agg(F.max("sampled_at")).first()[0]
