@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from wattlake.operators import facts, joins
 from wattlake.plans import reports
+from wattlake.queries import QUERIES
 from wattlake.sources.given import AS_OF, Given
 from wattlake.sources.warehouse import Warehouse
 
@@ -23,9 +23,9 @@ def details_of(df):
         df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
 def test_no_cross_joins_and_no_python(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas",
                       "InArrow", "Scan ExistingRDD"):
         assert forbidden not in plan, forbidden

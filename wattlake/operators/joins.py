@@ -1,25 +1,25 @@
-"""Broadcast by measured size."""
+"""Broadcast by known size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows up to which a derived lookup is broadcast.  At a few hundred bytes per row
-#: this stays in the tens of megabytes.
-MAX_BROADCAST_ROWS = 100_000
+#: Bytes of a table, by Spark's own estimate from its files, up to which a lookup with
+#: one row for each of its rows is broadcast.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
 def broadcast_if_small(
-    lookup: DataFrame, rows_of: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
+    lookup: DataFrame, rows_of: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Hint ``lookup`` for broadcast after counting the table it has the rows of.
+    """Hint ``lookup`` for broadcast if the table it has the rows of is small.
 
     Spark sizes a stored table well but multiplies the sizes of joined ones, so a
-    small lookup that is itself a join would make it shuffle the big side.  The
-    count stops past ``max_rows``.  A larger lookup gets no hint: Spark shuffles it
-    and adaptive execution splits skewed partitions.
+    small lookup that is itself a join would make it shuffle the big side.  The size
+    comes from the optimizer's statistics: no job runs while a plan is built, and
+    wide rows count as what they are.  A larger lookup gets no hint: Spark shuffles
+    it and adaptive execution splits skewed partitions.
     """
-    if rows_of.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(lookup)
-    return lookup
+    size = rows_of._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(lookup) if int(size) <= max_bytes else lookup

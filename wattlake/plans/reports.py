@@ -12,9 +12,6 @@ from wattlake.functions.text import null_safe_key
 from wattlake.functions.timekeys import days_before
 from wattlake.operators.joins import broadcast_if_small
 
-# Rows up to which a map of two BIGINTs is broadcast (16 bytes of data each).
-MAX_NARROW_ROWS = 1_000_000
-
 MEMBER_KEYS = ["dimDeviceIK", "dimLocationIK", "dimStatusListIK", "dimPowerScalesIK"]
 
 # Attributes the seven-day report groups by, per dimension.
@@ -174,7 +171,6 @@ def last_seven_days_hourly(
         members = broadcast_if_small(
             equal_members(dimension, sk, attributes + hidden, f"__{sk}"),
             dimension,
-            MAX_NARROW_ROWS,
         )
         joined = joined.join(members, F.col(foreign_key) == F.col(sk)).drop(sk)
 
