@@ -92,3 +92,12 @@ def test_doubtful_natural_keys_stop_versioning(spark):
 def test_bucket_tables_are_bounded(spark, digits):
     with pytest.raises(ValueError, match="hex_digits"):
         keys.with_surrogate_keys(spark.range(3), "sk", ["id"], hex_digits=digits)
+
+
+def test_a_split_quarter_hour_can_be_computed_anew(spark):
+    given = Given(spark, FOLDER)
+    whole = {r.maxDeviceUsageDataSK: r for r in facts.quarter_hour_aggregate(given.usage(), given.device()).collect()}
+    again = facts.quarter_hour_aggregate(given.usage(), given.device(), 500, recompute_buckets=True).collect()
+    assert {r.maxDeviceUsageDataSK for r in again} == {sk for sk in whole if sk > 500}
+    assert all(whole[r.maxDeviceUsageDataSK] == r for r in again)
+    assert facts.quarter_hour_aggregate(given.usage(), given.device(), 10**9, recompute_buckets=True).count() == 0

@@ -21,7 +21,7 @@ def incremental_slice(usage: DataFrame, start_sk: int) -> DataFrame:
 
 
 def quarter_hour_aggregate(
-    usage: DataFrame, device: DataFrame, start_sk: int = 0
+    usage: DataFrame, device: DataFrame, start_sk: int = 0, recompute_buckets: bool = False
 ) -> DataFrame:
     """Integer averages per quarter hour, device, power scale, state and location.
 
@@ -30,11 +30,19 @@ def quarter_hour_aggregate(
     device with a huge share of the readings has shrunk to its quarter hours.
     The raw rows are grouped by date, hour and quarter, and the hour key is
     formed once per group.
+
+    A quarter hour that is split over two loads gives two rows, one from each.  With
+    ``recompute_buckets`` a load gives the whole quarter hour again, from all its
+    readings, and the caller replaces the earlier row; only readings from an hour
+    before the first new one on are read.
     """
     ts = F.col("dataPointAddedDate")
+    rows = incremental_slice(usage, start_sk)
+    if recompute_buckets:
+        first_new = rows.agg(F.min("dataPointAddedDate")).scalar()
+        rows = usage.filter(ts >= first_new - F.make_dt_interval(hours=F.lit(1)))
     grouped = (
-        incremental_slice(usage, start_sk)
-        .groupBy(
+        rows.groupBy(
             F.to_date(ts).alias("__date"),
             F.hour(ts).alias("__hour"),
             quarter_hour(ts).alias("quarterHour"),
@@ -51,6 +59,8 @@ def quarter_hour_aggregate(
             int_avg(F.col("deviceCurrentTemperature")).alias("deviceCurrentTemperature"),
         )
     )
+    if recompute_buckets:
+        grouped = grouped.filter(F.col("maxDeviceUsageDataSK") > start_sk)
     places = device.select("deviceSK", "LocationFK")
     return grouped.join(places, F.col("deviceFK") == F.col("deviceSK")).select(
         "maxDeviceUsageDataSK",
