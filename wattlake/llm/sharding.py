@@ -166,15 +166,15 @@ def sharded(docs: DataFrame, shards: int = 40, id: str = "doc_id", text: str = "
 
     Rows alike in id and text, but not in the rest, may swap their places.
     """
-    fresh = _unused(docs, ("_key", "_copy", "shard", "slot"))
+    fresh = _unused(docs, ("_key", "_copy", "_placed", "_nth", "shard", "slot"))
     keyed = docs.withColumn(fresh["_key"], row_key(docs, id, text))
     placed = hilbert_shards(keyed, shards, fresh["_key"], text, dimensions, bits)
     copy = F.row_number().over(W.partitionBy("doc_id").orderBy("shard", "slot"))
-    numbered = placed.select(F.col("doc_id").alias("placed_key"), copy.alias("placed_copy"), F.col("shard").alias(fresh["shard"]), F.col("slot").alias(fresh["slot"]))
+    numbered = placed.select(F.col("doc_id").alias(fresh["_placed"]), copy.alias(fresh["_nth"]), F.col("shard").alias(fresh["shard"]), F.col("slot").alias(fresh["slot"]))
     own = F.row_number().over(W.partitionBy(fresh["_key"]).orderBy(F.lit(0)))
     copies = keyed.withColumn(fresh["_copy"], own)
-    met = copies.join(numbered, (copies[fresh["_key"]] == numbered["placed_key"]) & (copies[fresh["_copy"]] == numbered["placed_copy"]))
-    return met.drop(fresh["_key"], fresh["_copy"], "placed_key", "placed_copy")
+    met = copies.join(numbered, (F.col(fresh["_key"]) == F.col(fresh["_placed"])) & (F.col(fresh["_copy"]) == F.col(fresh["_nth"])))
+    return met.drop(*[fresh[c] for c in ("_key", "_copy", "_placed", "_nth")])
 
 
 def _unused(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
