@@ -118,7 +118,8 @@ def test_components_of_chains_and_stars(spark):
 def line_shingles(line):
     word = lambda c: c.isascii() and c.isalnum() or ord(c) >= 128
     dense = lambda c: "぀" <= c <= "鿿" or "가" <= c <= "힯"
-    return {line[i : i + 12] for i, c in enumerate(line) if word(c) and (i == 0 or not word(line[i - 1]) or dense(c))}
+    starts = [i for i, c in enumerate(line) if word(c) and (i == 0 or not word(line[i - 1]) or dense(c))]
+    return {line[i : i + 12] for i in starts if i + 12 <= len(line)} or ({line} if starts else set())
 
 
 def test_line_groups_match_all_pairs(spark):

@@ -120,14 +120,16 @@ WITH RECURSIVE cut AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM docu
 lines AS (
   SELECT doc_id, pos, l[pos + 1] AS line FROM (SELECT doc_id, l, unnest(range(0, len(l))) AS pos FROM cut)
   WHERE regexp_matches(l[pos + 1], '[^	
- ]')),
+
+ ]')),
 entries AS (SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM lines GROUP BY line),
 chars AS (SELECT line, first, string_split(line, '') AS cs FROM entries),
 flagged AS (SELECT *, list_transform(cs, lambda c: {_W}) AS w FROM chars),
-sets AS (
-  SELECT line, first, list_distinct(list_transform(list_filter(range(1, len(cs) + 1), lambda i: w[i] AND NOT coalesce(w[i - 1], false)),
-         lambda i: array_to_string(cs[i:i + 11], ''))) AS s
+shingled AS (
+  SELECT line, first, list_distinct(list_transform(list_filter(range(1, len(cs) + 1), lambda i: w[i] AND NOT coalesce(w[i - 1], false) AND i + 11 <= len(cs)),
+         lambda i: array_to_string(cs[i:i + 11], ''))) AS full_s, list_contains(w, true) AS worded
   FROM flagged),
+sets AS (SELECT line, first, CASE WHEN len(full_s) > 0 THEN full_s WHEN worded THEN [line] ELSE [] END AS s FROM shingled),
 items AS (SELECT line, len(s) AS n, unnest(s) AS g FROM sets),
 linked AS (
   SELECT a.line AS a, b.line AS b FROM items a JOIN items b ON a.g = b.g AND a.line <> b.line
