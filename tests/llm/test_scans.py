@@ -96,6 +96,20 @@ def test_planted_passages(spark):
     assert decontaminate.decontaminate(frame(spark, docs[:3]), bench.where("false")).count() == 0
 
 
+def test_edited_passages_beside_exact_copies(spark):
+    """Edits every 5 and 6 words leave seeds, also where exact copies make those the frequent ones."""
+    item = [f"word{i}" for i in range(48)]
+    texts = [" ".join(item)] * 3
+    for every in (5, 6):
+        for first in range(every):
+            texts.append(" ".join("edited" + str(len(texts)) if i % every == first else w for i, w in enumerate(item)))
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.decontaminate(frame(spark, texts), bench).collect()}
+    assert set(got) == set(range(len(texts)))
+    for i, text in enumerate(texts):
+        assert got[i].score == pytest.approx(smith_waterman(item, text.split(" ")) / 96)
+
+
 def test_secrets_and_what_is_none(spark):
     secret = '"04dbebab91ab85687d33eeaaf9ac699e1188f962"'
     texts = [f"the word token = {secret} and more", "commit 04dbebab91ab85687d33eeaaf9ac699e1188f962 of", "mail to a34@mail7.example.com now", None, "", "no digits in this rather long sentence", f"é token = {secret}"]

@@ -1,14 +1,15 @@
-"""Passages of a benchmark in documents: rare n-gram seeds, then Smith-Waterman.
+"""Passages of a benchmark in documents: n-gram seeds, then Smith-Waterman.
 
-Every n-gram of a test item is looked for in all documents, and the documents that hold
-each are counted.  Of every ``window`` n-grams in a row the item keeps the rarest as a
-seed, however frequent, so any copied run of ``n + window - 1`` words holds a seed even
-if the passage stands in a third of all documents.  Where a document holds a seed, the
-words around it are aligned with the item by Smith-Waterman (match 2, mismatch and gap
--1); the score is the best local alignment's share of the item aligned with itself.
+Every n-gram of a test item is a seed, however frequent, and is looked for in all
+documents, so any ``n`` words in a row that are left of an item are enough, whatever
+other documents hold.  Where a document holds a seed, the words around it are aligned
+with the item by Smith-Waterman (match 2, mismatch and gap -1); the score is the best
+local alignment's share of the item aligned with itself.  Words around a seed of which
+too few are the item's to reach ``least`` in any order are not aligned.  A copy in which
+no ``n`` words in a row are left is not found.
 
 Documents are read once.  Their n-grams are tested against a bitmap of fixed size that
-holds the items' n-grams; documents with a hit are written with their hits, and exact
+holds the items' n-grams; documents with a hit are written with their hits, and the
 seeds meet them in a join, so the benchmark may be of any size.  A document is aligned
 with the items it shares seeds with, in one row; nothing is gathered by item.
 
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import text_chunks, written
@@ -157,6 +157,9 @@ def _aligned(least: float):
                     item = words(raw, np.array([0, len(raw)])).hashes
                     best = (0, 0, 0)
                     for low, high in windows(c["diagonals"], len(item), len(own)):
+                        # No alignment scores more than the item's words that stand here at all.
+                        if np.isin(item, own[low:high]).sum() / len(item) < least:
+                            continue
                         score, start, end = span(item, own[low:high])
                         if score > best[0]:
                             best = (score, low + start, low + end)
@@ -171,17 +174,6 @@ def _aligned(least: float):
     return run
 
 
-def rare_seeds(grams: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """Of every ``window`` n-grams in a row of an item, the one in the fewest documents."""
-    known = grams.join(counts, "gram")
-    order = W.partitionBy("item_id").orderBy("place")
-    reach = order.rowsBetween(0, window - 1)
-    least = F.min(F.struct("n_docs", "place")).over(reach)
-    # An item shorter than the window has fewer starts, but each still picks its rarest.
-    chosen = known.select("item_id", least["place"].alias("place")).distinct()
-    return known.join(chosen, ["item_id", "place"]).select("gram", "item_id", "place")
-
-
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -190,7 +182,6 @@ def decontaminate(
     item_id: str = "item_id",
     item_text: str = "text",
     n: int = 4,
-    window: int = 4,
     least: float = 0.5,
     bits: int = BITMAP_BITS,
 ) -> DataFrame:
@@ -208,9 +199,7 @@ def decontaminate(
     hits = touched.select("row", F.explode(F.arrays_zip("grams", "places")).alias("hit")).select(
         "row", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("at")
     )
-    exact = hits.join(grams.select("gram").distinct(), "gram", "left_semi")
-    counts = exact.groupBy("gram").agg(F.approx_count_distinct("row", 0.02).alias("n_docs"))
-    seeds = written(rare_seeds(grams, counts, window), "leak-seeds")
+    seeds = grams.select("gram", "item_id", "place")
     met = hits.join(seeds, "gram").select("row", "item_id", (F.col("at") - F.col("place")).alias("diagonal"))
     pairs = met.groupBy("row", "item_id").agg(F.collect_set("diagonal").alias("diagonals"))
     candidates = pairs.join(items.withColumnRenamed("text", "item_text"), "item_id")
