@@ -122,6 +122,31 @@ def test_secrets_and_what_is_none(spark):
     assert secret_scan.secret_scan(frame(spark, [])).count() == 0
 
 
+ASSIGNED = [
+    ("PASSWORD=hunter2024", "hunter2024"),
+    ("DB_PASSWORD=hunter2", "hunter2"),
+    ("API_KEY: 'ab12cd34'", "ab12cd34"),
+    ("SECRET_KEY='onlyletters'", "onlyletters"),
+    ("SECRET_KEY='onlylettersofanylengthhere'", "onlylettersofanylengthhere"),
+    ("clientSecret = 'ab12cd34'", "ab12cd34"),
+    ("myAPIKey = 'ab12cd34'", "ab12cd34"),
+    ("WIDTH=hunter2024", None),
+    ("MONKEY=hunter2024", None),
+]
+
+
+def test_values_assigned_to_names_in_upper_case(spark):
+    found = {r.doc_id: (r.start, r.stop) for r in secret_scan.secret_scan(frame(spark, [a for a, _ in ASSIGNED])).collect()}
+    for i, (text, value) in enumerate(ASSIGNED):
+        assert (text[slice(*found[i])] if i in found else None) == value, text
+
+
+def test_names_fall_into_words():
+    cases = {"DB_PASSWORD": "DB PASSWORD", "APIKey": "API Key", "apiKey": "api Key", "SHA": "SHA", "Token": "Token", "x_T": "x T"}
+    for name, parts in cases.items():
+        assert secret_scan.NAMES.findall(name) == parts.split()
+
+
 def test_held_out_findings(spark):
     """A forest fitted on one draw of findings tells another draw apart."""
     words = ["alpha", "gamma", "listing", "number", "window"]

@@ -44,7 +44,7 @@ QUIET = frozenset("test tests example examples doc docs sample samples fixture f
 
 LEAST, LEAST_ASSIGNED, AROUND = 16, 6, 48
 ASSIGNED = re.compile(r"([A-Za-z][A-Za-z0-9_\-]*)[\"']?\s{0,2}(?:[:=]|=>|:=)\s{0,2}[\"']?$")
-NAMES = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+NAMES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 FEATURES = (
     "length", "transitions", "coverage", "switches", "digits", "upper", "distinct", "entropy",
     "hex", "dots", "named", "quoted", "for_before", "against_before", "for_after", "against_after", "quiet_path",
