@@ -190,6 +190,19 @@ def test_toxicity_through_disguises(spark):
         assert got[len(texts) + len(disguised) + i].score < 0.3, text
 
 
+def test_toxicity_through_disguises_together(spark):
+    texts, labels = toxic_corpus()
+    texts = [t.replace("scumbag", "ass") for t in texts]
+    disguised = ["such an i d 1 o t today", "what a m 0 r 0 n", "m.0.r.0.n", "you a s s", "such an a$$ today", "an a$$!", "i   d   i   o   t", "i  d  1  00  t", "mor--0n", "1d1o+ !!!", "1d1o+!!!"]
+    clean = ["hello 1 2 3 window", "the window opens!!!", "3.5 - 4 / 7", "yellow $5 + 3"]
+    docs = frame(spark, [*texts, *disguised, *clean])
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    for i, text in enumerate(disguised):
+        assert got[len(texts) + i].score >= 0.3, text
+    for i, text in enumerate(clean):
+        assert got[len(texts) + len(disguised) + i].score < 0.3, text
+
+
 def test_toxicity_without_labels_or_rows(spark):
     texts, labels = toxic_corpus(20)
     none = spark.createDataFrame([], "doc_id long, toxic int")

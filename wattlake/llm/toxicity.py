@@ -45,7 +45,9 @@ LOOKALIKE = {
 SUBSTITUTED, REPEATED, JOINED, KEPT, STRANGE = 1.5, 0.7, 0.4, 3.0, 6.0
 
 SIZE = 27
-SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_*/]{1,2}){3,}[^\W\d_](?![^\W_])")
+# A letter or look-alike, perhaps repeated; three or more of them set apart by gaps of any length.
+SPACED = re.compile(r"(?<![^\W_])(?:([^\W\d_]|[0-9@$!|+€£])\1*[ .\-_*/]+){2,}([^\W\d_]|[0-9@$!|+€£])\2*(?![^\W_])")
+GAPS = re.compile(r"[ .\-_*/]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 RUN = re.compile(r"(.)\1+")
 GAP = re.compile(r"[\W\d_]+")
@@ -129,14 +131,18 @@ class Decoder:
     def __init__(self, model: np.ndarray):
         self.cost = model.tolist()
         self.table, self.kinds = _letters(), _kinds()
-        self.known: dict[str, str] = {}
+        self.known: dict[tuple[str, int], str] = {}
 
     def letter(self, c: str) -> int:
         point = ord(c)
         return int(self.table[point]) if point < len(self.table) else 0
 
-    def arcs(self, span: str, at: int) -> list[tuple[int, str, float]]:
-        """(next place, letters written, cost) for each way to read on."""
+    def arcs(self, span: str, at: int, gap: int, tail: int) -> list[tuple[int, str, float]]:
+        """(next place, letters written, cost) for each way to read on.
+
+        ``gap`` is the length of the span's shortest gap; a longer one may part words.
+        From ``tail`` on, the rest may be punctuation.
+        """
         c = span[at]
         if c.isalpha():
             end = at + 1
@@ -148,7 +154,13 @@ class Decoder:
             if end > at + 2:
                 out += [(end, c + c, REPEATED + 0.1)]
             return out
+        apart = GAPS.match(span, at)
+        if apart:
+            end = apart.end()
+            return [(end, " ", JOINED if end - at > gap else KEPT), (end, "", JOINED)]
         out = [(at + 1, " ", KEPT if c.isspace() or c in LOOKALIKE else STRANGE - KEPT)]
+        if at >= tail:
+            out.append((len(span), " ", JOINED))
         end = at + 1
         while end < len(span) and span[end] == c:
             end += 1
@@ -158,15 +170,17 @@ class Decoder:
             out.append((at + 1, "", JOINED))
         return out
 
-    def decode(self, span: str) -> str:
-        if span in self.known:
-            return self.known[span]
+    def decode(self, span: str, tail: int | None = None) -> str:
+        tail = len(span) if tail is None else tail
+        if (span, tail) in self.known:
+            return self.known[span, tail]
+        gap = min((m.end() - m.start() for m in GAPS.finditer(span)), default=0)
         paths: list[dict[tuple[int, int], tuple[float, int, tuple[int, int] | None, str]]] = [{} for _ in range(len(span) + 1)]
         paths[0][(0, 0)] = (0.0, -1, None, "")
         for at in range(len(span)):
             if not paths[at]:
                 continue
-            for to, letters, price in self.arcs(span, at):
+            for to, letters, price in self.arcs(span, at, gap, tail):
                 for state, (cost, _, _, _) in paths[at].items():
                     a, b = state
                     total = cost + price
@@ -185,12 +199,42 @@ class Decoder:
             at, state = before, previous
         restored = "".join(reversed(out))
         if len(self.known) < 50_000 and len(span) < 64:
-            self.known[span] = restored
+            self.known[span, tail] = restored
         return restored
 
-    def token(self, token: str, heads: dict[str, set[str]] | None) -> str:
-        """A token with something odd in it, restored."""
+    def closings(self, core: str, looks: str, entries: ahocorasick.Automaton) -> list[str]:
+        """Entries that begin with ``core`` and end in look-alikes that follow it."""
+        spelled, out, at = {core, RUN.sub(r"\1", core)}, [], 0
+        while at < len(looks) and spelled:
+            end = at + 1
+            while end < len(looks) and looks[end] == looks[at]:
+                end += 1
+            spelled = {s + c * n for s in spelled for c in LOOKALIKE[looks[at]] for n in {1, min(2, end - at)}}
+            spelled = {s for s in spelled if entries.match(s)}
+            out += [s for s in sorted(spelled) if s in entries]
+            at = end
+        return out
+
+    def token(self, token: str, heads: dict[str, set[str]] | None, entries: ahocorasick.Automaton | None) -> str:
+        """A token with something odd in it, restored.
+
+        Look-alikes at its end may be letters or punctuation: the likelier reading and
+        entries of the word list that they complete stand beside the token without them.
+        """
         core = token.rstrip(TRAIL)
+        plain = self.plain(token, core, heads)
+        looks = token[len(core) :]
+        looks = looks[: len(looks) - len(looks.lstrip("".join(LOOKALIKE)))]
+        if not core or not looks:
+            return plain
+        more = [self.decode(core + looks, len(core))]
+        if entries:
+            own = core if core.isalpha() else self.decode(core)
+            more += self.closings(own.rsplit(" ", 1)[-1], looks, entries)
+        return " ".join([plain, *(m for m in more if m.strip() != core)])
+
+    def plain(self, token: str, core: str, heads: dict[str, set[str]] | None) -> str:
+        """A token, restored, whose end is punctuation."""
         if core and not core.isalpha():
             return self.decode(core) + " " * (len(core) < len(token))
 
@@ -206,7 +250,7 @@ class Decoder:
 
         return LETTERS.sub(word, token)
 
-    def restore(self, text: str, heads: dict[str, set[str]] | None = None) -> str:
+    def restore(self, text: str, heads: dict[str, set[str]] | None = None, entries: ahocorasick.Automaton | None = None) -> str:
         """Lower case, with all disguised spans of the whole text decoded.
 
         A letter that is merely doubled is common; such a word gets its spelling without
@@ -218,18 +262,16 @@ class Decoder:
             return low
         kind = self.kinds[np.minimum(points, 0x250)]
         letter, looks, join = kind == LETTER, kind == LOOKS, kind == JOINER
-        alone = letter.copy()
-        alone[1:] &= ~(letter | looks)[:-1]
-        alone[:-1] &= ~(letter | looks)[1:]
-        single = np.flatnonzero(alone)
-        if len(single) >= 4 and (single[3:] - single[:-3] <= 9).any():
-            low = SPACED.sub(lambda m: self.decode(m.group()), low)
+        if self.apart(points, letter, looks):
+            low = SPACED.sub(lambda m: self.decode(m.group()) if LETTERS.search(m.group()) else m.group(), low)
             points = _points(low)
             kind = self.kinds[np.minimum(points, 0x250)]
             letter, looks, join = kind == LETTER, kind == LOOKS, kind == JOINER
         odd = np.zeros(len(points), bool)
         odd[1:] |= (letter[:-1] & looks[1:]) | (looks[:-1] & letter[1:])
-        odd[1:-1] |= letter[:-2] & join[1:-1] & letter[2:]
+        solid = np.flatnonzero(~join)
+        a, b = solid[:-1], solid[1:]
+        odd[b] |= (b > a + 1) & (letter | looks)[a] & (letter | looks)[b] & (letter[a] | letter[b])
         same = (points[1:] == points[:-1]) & letter[1:]
         if heads is None:
             odd[2:] |= same[1:] & same[:-1]
@@ -243,11 +285,21 @@ class Decoder:
         edges = np.concatenate(([-1], blank, [len(points)]))
         out, done = [], 0
         for start, end in zip((edges[which] + 1).tolist(), edges[which + 1].tolist(), strict=True):
-            out += [low[done:start], self.token(low[start:end], heads)]
+            out += [low[done:start], self.token(low[start:end], heads, entries)]
             done = end
         return "".join([*out, low[done:]])
 
 
+    def apart(self, points: np.ndarray, letter: np.ndarray, looks: np.ndarray) -> bool:
+        """Whether three runs of one letter or look-alike follow each other."""
+        unit = np.concatenate(([False], letter | looks, [False]))
+        starts = np.flatnonzero(unit[1:-1] & ~unit[:-2])
+        ends = np.flatnonzero(unit[1:-1] & ~unit[2:])
+        change = np.concatenate(([0], np.cumsum(points[1:] != points[:-1])))
+        single = change[starts] == change[ends]
+        return bool((single[2:] & single[1:-1] & single[:-2]).any())
+
+
 BEGINNINGS = range(4, 8)
 
 
@@ -318,7 +370,7 @@ def _score(model: np.ndarray, weights: dict[str, float], curve: tuple[float, flo
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                found = [listed.evidence(decoder.restore(t, listed.heads)) if t else (0.0, []) for t in part.column(len(fields)).to_pylist()]
+                found = [listed.evidence(decoder.restore(t, listed.heads, listed.automaton)) if t else (0.0, []) for t in part.column(len(fields)).to_pylist()]
                 x = np.array([f[0] for f in found], np.float64)
                 score = np.zeros(len(x)) if curve is None else 1 / (1 + np.exp(-np.clip(curve[0] + curve[1] * np.log1p(x), -50, 50)))
                 yield pa.RecordBatch.from_arrays(
