@@ -203,6 +203,29 @@ def test_toxicity_through_disguises_together(spark):
         assert got[len(texts) + len(disguised) + i].score < 0.3, text
 
 
+def test_rare_toxic_words_are_learnt(spark):
+    """30 of 3,000 toxic rows and no clean row: under any share floor, but not by chance."""
+    rows = [("rareword ", 30, 0), ("rarewor", 30, 0), ("chance ", 4, 0), ("common ", 900, 950), ("often ", 600, 3), ("often", 600, 3)]
+    counted = spark.createDataFrame(rows, "entry string, bad long, good long")
+    got = {r.entry for r in toxicity.telling_entries(counted, 3000, 3000, 3, 20.0, 8.0).collect()}
+    assert got == {"rareword ", "often "}
+
+
+def test_a_long_tail_of_toxic_words(spark):
+    """Every toxic word stands in about one of 70 toxic rows."""
+    rng = random.Random(21)
+    plain = ["the", "window", "opens", "later", "today", "because", "nobody", "listens"]
+    tail = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4)) for _ in range(70)]
+    texts, labels = [], []
+    for i in range(4800):
+        own = [rng.choice(plain) for _ in range(8)]
+        texts.append(" ".join([*own, tail[i // 2 % 70]] if i % 2 else own))
+        labels.append((i, i % 2))
+    got = toxicity.toxicity(frame(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [(r.score >= 0.3) == bool(r.doc_id % 2) for r in got if r.held_out]
+    assert sum(held) / len(held) > 0.95
+
+
 def test_toxicity_without_labels_or_rows(spark):
     texts, labels = toxic_corpus(20)
     none = spark.createDataFrame([], "doc_id long, toxic int")

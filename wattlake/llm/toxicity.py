@@ -6,7 +6,9 @@ place offers the letters it may stand for, and the most likely path under a trig
 model of characters, counted over all texts, is the restored spelling (Viterbi).
 
 A word list is learnt from labelled rows: words and word beginnings that stand in toxic
-texts far more often than in others, each with its log odds.  A text's evidence is the
+texts far more often than in others, each with its log odds.  An entry needs ``count``
+toxic rows and a likelihood ratio that chance hardly reaches, not a share of the rows;
+beginnings that a longer entry explains are dropped before the list is cut.  A text's evidence is the
 sum over the distinct entries its restored words hit, and a logistic curve fitted to
 the same rows turns evidence into a score.
 
@@ -331,6 +333,27 @@ def chosen_entries(found: dict[str, tuple[int, float]]) -> dict[str, float]:
     return {e: w for e, w in kept.items() if e[-1] != " " or e[:-1] not in kept}
 
 
+def telling_entries(counted: DataFrame, bad_rows: int, good_rows: int, count: int, ratio: float, least_odds: float) -> DataFrame:
+    """(entry, bad, odds) of entries (entry, bad, good) that tell toxic rows, without redundant ones.
+
+    ``ratio`` is the least likelihood ratio (G) against chance; 20 is passed with
+    probability 8e-6, so of 100,000 words without meaning about one.
+    """
+    bad, good = F.col("bad"), F.col("good")
+    all_rows = bad_rows + good_rows
+    expected = (bad + good) * (bad_rows / all_rows)
+    rest = (bad + good) * (good_rows / all_rows)
+    gain = 2 * (bad * F.log(bad / expected) + F.when(good > 0, good * F.log(good / rest)).otherwise(0.0))
+    odds = ((bad + 0.1) / bad_rows) / ((good + 0.5) / good_rows)
+    likely = counted.where(bad >= count).withColumn("gain", gain).withColumn("odds", odds)
+    listed = written(likely.where((F.col("gain") >= ratio) & (F.col("odds") >= least_odds)).select("entry", "bad", "odds"), "toxic-entries")
+    shorter = [F.when(F.length("entry") > n, F.substring("entry", 1, n)) for n in BEGINNINGS]
+    longer = listed.select(F.explode(F.array_compact(F.array(*shorter))).alias("entry"), "bad").groupBy("entry").agg(F.max("bad").alias("longer"))
+    kept = listed.join(longer, "entry", "left").where(F.coalesce("longer", F.lit(0)) < 0.9 * F.col("bad")).drop("longer")
+    covered = kept.where(~F.col("entry").endswith(" ")).select(F.concat("entry", F.lit(" ")).alias("entry"))
+    return kept.join(covered, "entry", "left_anti")
+
+
 class WordList:
     """Log odds of words and beginnings; finds those in a restored text."""
 
@@ -408,7 +431,8 @@ def toxicity(
     id: str = "doc_id",
     text: str = "text",
     sample: int = 6000,
-    support: float = 0.02,
+    count: int = 3,
+    ratio: float = 20.0,
     least_odds: float = 8.0,
     keep: tuple[str, ...] = (),
     entries: int = 2000,
@@ -433,9 +457,8 @@ def toxicity(
     if have.get(0) and have.get(1):
         seen = learnt.mapInArrow(_features(model), "toxic int, entries array<string>").select("toxic", F.explode("entries").alias("entry"))
         bad, good = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-        odds = ((bad + 0.1) / have[1]) / ((good + 0.5) / have[0])
-        listed = seen.groupBy("entry").agg(bad.alias("bad"), odds.alias("odds"))
-        listed = listed.where((F.col("bad") >= max(3, support * have[1])) & (F.col("odds") >= least_odds))
+        counted = seen.groupBy("entry").agg(bad.alias("bad"), good.alias("good"))
+        listed = telling_entries(counted, have[1], have[0], count, ratio, least_odds)
         strongest = listed.orderBy(F.col("bad").desc(), F.col("odds").desc(), "entry").limit(entries).collect()
         weights = chosen_entries({r["entry"]: (int(r["bad"]), float(r["odds"])) for r in strongest})
         schema = "toxic int, evidence double, score double, found array<string>"
