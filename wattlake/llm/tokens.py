@@ -48,9 +48,12 @@ class Words:
     ends: np.ndarray
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Hash every word; starts and ends are its bytes' places in ``data``."""
-    folded = _FOLD[data]
+def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD) -> Words:
+    """Hash every word; starts and ends are its bytes' places in ``data``.
+
+    ``fold`` gives what each byte counts as, 0 for those between words.
+    """
+    folded = fold[data]
     inside = folded != 0
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
