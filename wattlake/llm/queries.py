@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import chat, decontaminate, jaccard, licences, lines, mixing, neighbours, secret_scan, sharding, toxicity
+from wattlake.llm import chat, decontaminate, jaccard, licences, lines, merkle, mixing, nearcopies, neighbours, runs, secret_scan, sharding, toxicity
 from wattlake.llm.common import table
 
 # Quality weights by label; documents without a label weigh 1.
@@ -85,7 +85,57 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def planted_words(id: Column, words: Column) -> Column:
+    """The words of a document; of every tenth one the end becomes periodic."""
+    spread = F.crc32(id.cast("string").cast("binary"))
+    n = F.size(words).cast("long")
+    tens = F.floor(spread / 10)
+    begin = tens % n
+    period = 1 + F.floor((n - begin) / (3 + tens % 8))
+    periodic = F.transform(words, lambda word, i: F.when(i < begin, word).otherwise(F.get(words, (begin + (i - begin) % period).cast("int"))))
+    return F.when((spread % 10 == 0) & (n > 0), periodic).otherwise(words)
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", runs.words_of(F.col("text")).alias("given"))
+    found = runs.periodic_runs(docs.select("doc_id", planted_words(F.col("doc_id"), F.col("given")).alias("words")))
+    # The least of negated length, start and period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    told = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.shorter")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * -best.shorter div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(told, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return nearcopies.near_copies(table(spark, folder, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = merkle.digest("doc_id", "source", "lang", F.col("n_chars") + 1, "text")
+    proved = merkle.merkle_manifest(merkle.leaves(docs, presented=F.when(tampered, changed))).proofs()
+    siblings = F.array_join(F.filter(F.col("proof.hash"), lambda h: h.isNotNull()), "")
+    folded = merkle.fold(F.coalesce("presented", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op2_secret_scan, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op9_line_dedup, op10_hilbert_shards)
+    for f in (op1_jaccard_join, op2_secret_scan, op3_nearest_neighbours, op4_mix_sources, op5_decontaminate, op6_chat_format, op7_licence_scan, op8_toxicity, op9_line_dedup, op10_hilbert_shards, op11_periodic_runs, op12_near_dedup, op13_merkle_manifest)
 }
