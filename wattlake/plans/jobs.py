@@ -17,6 +17,7 @@ from wattlake.operators import (
     dates,
     etl_log,
     facts,
+    history,
     location,
     scd,
     upsert,
@@ -142,6 +143,17 @@ def load_dimensions(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> No
         warehouse.write(shape.table, scd.scd2_apply(dimension, source, shape, load_ts), load)
 
 
+def replay_dimension(
+    warehouse: Warehouse, shape: scd.Dimension, changes: DataFrame, load: int
+) -> None:
+    """Keep a batch of timed changes and rebuild the versions of the keys it touches."""
+    name = history.change_table(shape)
+    warehouse.write(name, changes, load)
+    earlier, batch = warehouse.read(name, before=load), warehouse.read_load(name, load)
+    dimension = scd.with_unknown_member(warehouse.read(shape.table, before=load), shape)
+    warehouse.write(shape.table, history.scd2_replay(dimension, batch, shape, earlier), load)
+
+
 def warehouse_load(
     warehouse: Warehouse,
     load: int,
@@ -200,6 +212,7 @@ __all__ = [
     "collect_samples",
     "load_averages",
     "load_dimensions",
+    "replay_dimension",
     "set_location_overrides",
     "warehouse_load",
 ]

@@ -715,6 +715,99 @@ view(
       SELECT * REPLACE (deviceNaturalKey + 1000000000 AS deviceNaturalKey)
       FROM device_source WHERE deviceNaturalKey % 10 = 0""",
 )
+def _replay(changes: str, stored: str, key: str, tracked: list[str], carried: str, grain: str) -> str:
+    """Versions from all changes and stored versions at once: the last of a moment, then
+    those that differ from the one before, each until the next."""
+    value = ", ".join(tracked)
+    value_desc = ", ".join(f"{c} DESC NULLS LAST" for c in tracked)
+    row = "ROW(" + value + ")"
+    return f"""SELECT {key}, {value}, {carried}, s AS recordEffectiveDate, e AS recordExpirationDate, e IS NULL AS isCurrent
+FROM (
+  SELECT *, lead(s) OVER (PARTITION BY {key} ORDER BY s) AS e
+  FROM (
+    SELECT *, lag(CASE WHEN gone THEN 'gone' ELSE CAST({row} AS VARCHAR) END) OVER (PARTITION BY {key} ORDER BY s) AS prior
+    FROM (
+      SELECT *, CAST(changed AS {grain}) AS s,
+             row_number() OVER (PARTITION BY {key}, CAST(changed AS {grain}) ORDER BY changed DESC, gone, {value_desc}) AS place
+      FROM (
+        SELECT {key}, changedAt AS changed, false AS gone, {value}, {carried} FROM ({changes})
+        UNION ALL SELECT {key}, CAST(recordEffectiveDate AS TIMESTAMP), false, {value}, {carried} FROM {stored}
+        UNION ALL SELECT {key}, CAST(recordExpirationDate AS TIMESTAMP), true, {value}, {carried} FROM {stored}
+          WHERE recordExpirationDate IS NOT NULL))
+    WHERE place = 1)
+  WHERE CASE WHEN gone THEN 'gone' ELSE CAST({row} AS VARCHAR) END IS DISTINCT FROM coalesce(prior, 'gone'))
+WHERE NOT gone"""
+
+
+oracle(
+    "scd2_replay_device",
+    ["d_device"],
+    _replay(
+        f"""SELECT CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id + 1 END AS deviceNaturalKey, ts AS changedAt,
+        lpad(CAST(user_id AS VARCHAR), 12, '0') AS macAddress,
+        'SN' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS serialNumber,
+        'device ' || CAST(user_id % 10 AS VARCHAR) AS friendlyName, event_type AS deviceTypeLabel,
+        CASE WHEN event_id % 5 <> 0 THEN event_id % 2 = 0 END AS deviceIsSwitch,
+        CAST(NULL AS BOOLEAN) AS deviceIsThermostat, CAST(NULL AS BOOLEAN) AS deviceCanMeasureEnergyUsage,
+        CAST(NULL AS BOOLEAN) AS deviceIsLightBulb, 'FW_' || CAST(event_id % 2 AS VARCHAR) AS firmwareName,
+        CAST(NULL AS VARCHAR) AS firmwareVersion, CAST(NULL AS VARCHAR) AS firmwareSignature,
+        CASE WHEN event_id % 7 <> 0 THEN '10.0.0.1' END AS ipAddress, CAST(NULL AS VARCHAR) AS subnetMask,
+        CAST(NULL AS VARCHAR) AS tcpIPversion, {SEED} AS deviceFirstSeenDate FROM events""",
+        "d_device",
+        "deviceNaturalKey",
+        ["macAddress", "serialNumber", "friendlyName", "deviceTypeLabel", "deviceIsSwitch", "deviceIsThermostat",
+         "deviceCanMeasureEnergyUsage", "deviceIsLightBulb", "firmwareName", "firmwareVersion", "firmwareSignature",
+         "ipAddress", "subnetMask", "tcpIPversion"],
+        "deviceFirstSeenDate",
+        "TIMESTAMP",
+    ),
+)
+
+oracle(
+    "scd2_replay_location",
+    ["d_location"],
+    _replay(
+        f"""SELECT o_custkey % 40 + 1 AS locationNaturalKey, CAST(o_orderdate AS TIMESTAMP) AS changedAt,
+        'place ' || CAST(o_custkey % 40 + 1 AS VARCHAR) AS locationName, o_orderpriority AS locationFloor,
+        o_orderstatus AS locationRoom, {SEED} AS locationFirstSeenDate FROM orders""",
+        "d_location",
+        "locationNaturalKey",
+        ["locationName", "locationFloor", "locationRoom"],
+        "locationFirstSeenDate",
+        "TIMESTAMP",
+    ),
+)
+
+oracle(
+    "scd2_replay_power_scale",
+    ["d_scale"],
+    _replay(
+        f"""SELECT event_id % 5 + 1 AS powerScaleNaturalKey, ts AS changedAt,
+        CASE event_id % 4 WHEN 0 THEN 'Milliwatt' WHEN 1 THEN 'Watt' END AS unitOfPower,
+        CAST({SEED} AS DATE) AS scaleAddedDate FROM events""",
+        "d_scale",
+        "powerScaleNaturalKey",
+        ["unitOfPower"],
+        "scaleAddedDate",
+        "DATE",
+    ),
+)
+
+oracle(
+    "scd2_replay_status",
+    ["d_status"],
+    _replay(
+        f"""SELECT event_id % 4 + 1 AS statusNaturalKey, ts AS changedAt,
+        CASE WHEN event_id % 9 <> 0 THEN event_type END AS statusLabel,
+        CAST(event_id % 2 AS INTEGER) AS statusNumberRepresentation, CAST({SEED} AS DATE) AS statusAddedDate FROM events""",
+        "d_status",
+        "statusNaturalKey",
+        ["statusLabel", "statusNumberRepresentation"],
+        "statusAddedDate",
+        "DATE",
+    ),
+)
+
 oracle(
     "scd2_device",
     ["d_device", "device_changes"],

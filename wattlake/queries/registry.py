@@ -16,13 +16,14 @@ from wattlake.operators import (
     dates,
     etl_log,
     facts,
+    history,
     keys,
     location,
     mail,
     scd,
     upsert,
 )
-from wattlake.plans import reports, semantic
+from wattlake.plans import jobs, reports, semantic
 from wattlake.plans.semantic import HOURLY, USAGE, Model
 from wattlake.sources.given import AS_OF, LOAD_TS, Given
 from wattlake.sources.warehouse import Warehouse, shared_folder, staged_tables
@@ -378,6 +379,41 @@ def scd2_status(given: Given) -> DataFrame:
     )
 
 
+def _replayed(given: Given, shape: scd.Dimension, changes: DataFrame, dimension: DataFrame) -> DataFrame:
+    """The lasting versions after three batches of changes, each older and newer than the others."""
+    warehouse = Warehouse(given.spark, _scratch(given.spark, "replay"))
+    warehouse.write(shape.table, dimension, 1)
+    batch = F.pmod(F.xxhash64(*changes.columns), F.lit(3))
+    for turn in range(3):
+        jobs.replay_dimension(warehouse, shape, changes.filter(batch == turn), turn + 2)
+    versions = history.lasting_versions(warehouse.read(shape.table)).drop(shape.sk)
+    return versions.filter(F.col(shape.natural_key) != facts.UNKNOWN_MEMBER)
+
+
+@query
+def scd2_replay_device(given: Given) -> DataFrame:
+    """Device versions from what every event says of its device."""
+    return _replayed(given, scd.DEVICE, given.device_changes(), given.dim_device())
+
+
+@query
+def scd2_replay_location(given: Given) -> DataFrame:
+    """Place versions from dated moves; the stored ones begin in between."""
+    return _replayed(given, scd.LOCATION, given.location_changes(), given.dim_location())
+
+
+@query
+def scd2_replay_power_scale(given: Given) -> DataFrame:
+    """Scale versions by days from the units that events name."""
+    return _replayed(given, scd.POWER_SCALE, given.power_scale_changes(), given.dim_power_scales())
+
+
+@query
+def scd2_replay_status(given: Given) -> DataFrame:
+    """Status versions by days from the labels of events; one stored status has ended."""
+    return _replayed(given, scd.STATUS, given.status_changes(), given.dim_status())
+
+
 # --- load bookkeeping ----------------------------------------------------------------
 
 

@@ -70,6 +70,25 @@ _DDL: dict[str, str] = {
         ip_address STRING, signal_strength INT, model STRING, firmware STRING,
         state INT, avg_power_mw DOUBLE, sample_count INT,
         sampled_at TIMESTAMP_NTZ NOT NULL""",
+    # --- changes of versioned dimensions, each with its own time -------------------
+    "acq.dimDeviceChanges": """
+        deviceNaturalKey BIGINT NOT NULL, changedAt TIMESTAMP_NTZ NOT NULL,
+        macAddress STRING, serialNumber STRING, friendlyName STRING,
+        deviceTypeLabel STRING, deviceIsSwitch BOOLEAN,
+        deviceIsThermostat BOOLEAN, deviceCanMeasureEnergyUsage BOOLEAN,
+        deviceIsLightBulb BOOLEAN, firmwareName STRING NOT NULL,
+        firmwareVersion STRING, firmwareSignature STRING, ipAddress STRING,
+        subnetMask STRING, tcpIPversion STRING, deviceFirstSeenDate TIMESTAMP_NTZ""",
+    "acq.dimLocationChanges": """
+        locationNaturalKey BIGINT NOT NULL, changedAt TIMESTAMP_NTZ NOT NULL,
+        locationName STRING NOT NULL, locationFloor STRING NOT NULL,
+        locationRoom STRING NOT NULL, locationFirstSeenDate TIMESTAMP_NTZ NOT NULL""",
+    "acq.dimPowerScalesChanges": """
+        powerScaleNaturalKey BIGINT NOT NULL, changedAt TIMESTAMP_NTZ NOT NULL,
+        unitOfPower STRING, scaleAddedDate DATE""",
+    "acq.dimStatusListChanges": """
+        statusNaturalKey BIGINT NOT NULL, changedAt TIMESTAMP_NTZ NOT NULL,
+        statusLabel STRING, statusNumberRepresentation INT, statusAddedDate DATE NOT NULL""",
     # --- star schema ----------------------------------------------------------
     "dw.dimDevice": """
         deviceIK BIGINT NOT NULL, deviceNaturalKey BIGINT NOT NULL,

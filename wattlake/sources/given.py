@@ -418,6 +418,73 @@ class Given:
         added = source.filter(key % 10 == 0).withColumn("deviceNaturalKey", key + 1_000_000_000)
         return renamed.unionByName(added)
 
+    def device_changes(self) -> DataFrame:
+        """What each event says of its device at its time: firmware and address vary."""
+        user, event = F.col("user_id"), F.col("event_id")
+        unknown = F.lit(None)
+        return _as(
+            self.table("events"),
+            "acq.dimDeviceChanges",
+            {
+                "deviceNaturalKey": F.when(event % 3 == 0, 1).otherwise(user + 1),
+                "changedAt": F.col("ts"),
+                "macAddress": F.lpad(user.cast("string"), 12, "0"),
+                "serialNumber": F.concat(F.lit("SN"), F.lpad(user.cast("string"), 8, "0")),
+                "friendlyName": F.concat(F.lit("device "), (user % 10).cast("string")),
+                "deviceTypeLabel": F.col("event_type"),
+                "deviceIsSwitch": F.when(event % 5 != 0, event % 2 == 0),
+                "firmwareName": F.concat(F.lit("FW_"), (event % 2).cast("string")),
+                "firmwareVersion": unknown.cast("string"),
+                "ipAddress": F.when(event % 7 != 0, F.lit("10.0.0.1")),
+                "deviceFirstSeenDate": moment(SEED_TS),
+            },
+        )
+
+    def location_changes(self) -> DataFrame:
+        """Each order moves the place of its customer's number to another room."""
+        place = F.col("o_custkey") % 40 + 1
+        return _as(
+            self.table("orders"),
+            "acq.dimLocationChanges",
+            {
+                "locationNaturalKey": place,
+                "changedAt": F.col("o_orderdate").cast("timestamp_ntz"),
+                "locationName": F.concat(F.lit("place "), place.cast("string")),
+                "locationFloor": F.col("o_orderpriority"),
+                "locationRoom": F.col("o_orderstatus"),
+                "locationFirstSeenDate": moment(SEED_TS),
+            },
+        )
+
+    def power_scale_changes(self) -> DataFrame:
+        """The unit that each event names for its type of reading; of a day the last counts."""
+        event = F.col("event_id")
+        return _as(
+            self.table("events"),
+            "acq.dimPowerScalesChanges",
+            {
+                "powerScaleNaturalKey": event % 5 + 1,
+                "changedAt": F.col("ts"),
+                "unitOfPower": F.when(event % 4 == 0, "Milliwatt").when(event % 4 == 1, "Watt"),
+                "scaleAddedDate": F.to_date(moment(SEED_TS)),
+            },
+        )
+
+    def status_changes(self) -> DataFrame:
+        """The label that each event gives its status; of a day the last counts."""
+        event = F.col("event_id")
+        return _as(
+            self.table("events"),
+            "acq.dimStatusListChanges",
+            {
+                "statusNaturalKey": event % 4 + 1,
+                "changedAt": F.col("ts"),
+                "statusLabel": F.when(event % 9 != 0, F.col("event_type")),
+                "statusNumberRepresentation": event % 2,
+                "statusAddedDate": F.to_date(moment(SEED_TS)),
+            },
+        )
+
     # --- load bookkeeping -----------------------------------------------------
 
     def batch_log(self) -> DataFrame:

@@ -27,6 +27,10 @@ LOG_TABLES = frozenset(
         schemas.QUARANTINE,
         "acq.etlLoggingTable",
         "acq.etlAuditLog",
+        "acq.dimDeviceChanges",
+        "acq.dimLocationChanges",
+        "acq.dimPowerScalesChanges",
+        "acq.dimStatusListChanges",
     }
 )
 
@@ -117,6 +121,12 @@ class Warehouse:
             f"{self.folder(name)}/load={loads[-1]}"
         )
 
+    def read_load(self, name: str, load: int) -> DataFrame:
+        """Only the rows that one load wrote."""
+        if load not in self.loads(name):
+            return empty_table(self.spark, name)
+        return self.spark.read.schema(schemas.TABLES[name]).parquet(f"{self.folder(name)}/load={load}")
+
     def write(self, name: str, df: DataFrame, load: int, rebalance: bool = False) -> None:
         """Store ``df`` as one load of a table, in the declared layout.
 
