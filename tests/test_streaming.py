@@ -93,3 +93,61 @@ def test_scratch_goes_to_the_folder_the_session_names(spark, tmp_path, monkeypat
     assert first.startswith(f"{tmp_path}/x-") and first != second
     monkeypatch.setattr(registry, "shared_folder", lambda session: None)
     assert registry._scratch(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
+
+
+def test_samples_sent_again_count_once(spark, tmp_path):
+    """Within a batch, in the next one, and much later."""
+    source, day = str(tmp_path / "in"), dt.datetime(2024, 1, 5)
+
+    def sample(second, power, serial="S1"):
+        return ("m", "ip", 5, serial, "Smart Insight", "fw", "plug", 1, power, day + dt.timedelta(seconds=second), "u")
+
+    first, second = [sample(1, 10), sample(2, 30), sample(70, 50)], [sample(90, 70), sample(100, 90, None)]
+    for batch in (first + first[:1], second + first, [sample(400, 1)] + second + second, [sample(800, 1)] + first):
+        spark.createDataFrame(batch, schemas.SAMPLES).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schemas.SAMPLES).option("maxFilesPerTrigger", 1).parquet(source)
+    averaged = streams.stream_sample_average(stream, resent=True)
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    streams.stream_upsert(averaged, streams.warehouse_sink(warehouse, resent=True), str(tmp_path / "c")).awaitTermination()
+    want = {(30, 20, 2), (90, 50, 1), (120, 70, 1), (120, 90, 1), (420, 1, 1)}
+
+    def usage():
+        return sorted(((r.dataPointAddedDate - day).seconds, r.devicePowerUsage, r.dataPointSampleSize) for r in warehouse.read("dbo.deviceUsageData").collect())
+
+    assert usage() == sorted(want)
+    # Another stream over the same samples finds its rows loaded.
+    again = streams.stream_sample_average(stream, resent=True)
+    streams.stream_upsert(again, streams.warehouse_sink(warehouse, "copy", resent=True), str(tmp_path / "d")).awaitTermination()
+    assert usage() == sorted(want)
+
+
+def test_quarter_hours_of_samples_are_those_of_both_steps(spark, tmp_path, capsys):
+    """One chained stream against the batch averages of its windows; the last hour stays open."""
+    day = dt.datetime(2024, 1, 5)
+    given = Given(spark, FOLDER)
+    device = given.device().filter("deviceSK <= 3")
+    known = [(r.macAddress, r.serialNumber, r.deviceSK) for r in device.collect()]
+    rows, want = [], {}
+    for mac, serial, sk in known:
+        # Seconds of the day: just before and after the edges of quarter hours and hours.
+        for i, at in enumerate([0, 14, 15 * 60 + 59, 16 * 60, 16 * 60 + 29, 3569, 3570, 3599, 3600, 3601, 7199, 7200]):
+            rows.append((mac, "ip", i, serial, "Smart Insight", "fw", "plug", 1, 100 * i + sk, day + dt.timedelta(seconds=at), "u"))
+            end = (at // 30 + 1) * 30
+            want.setdefault((sk, end), []).append((100 * i + sk, i))
+    grouped = {}
+    for (sk, end), held in want.items():
+        minute = end // 60 % 60
+        quarter = next(q for q, last in ((0, 15), (15, 30), (30, 45), (45, 59)) if minute <= last)
+        grouped.setdefault((sk, end // 3600, quarter), []).append((sum(p for p, _ in held) // len(held), len(held), min(s for _, s in held)))
+    expected = {k: tuple(sum(column) // len(v) for column in zip(*v, strict=True)) for k, v in grouped.items() if k[1] < 2}
+    spark.createDataFrame(rows + [(*rows[0][:9], day + dt.timedelta(seconds=7300), "u")], schemas.SAMPLES).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schemas.SAMPLES).parquet(str(tmp_path / "in"))
+    closed = streams.stream_quarter_hour_of_samples(stream, device, given.status_list())
+    query = (closed.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.deviceFK, r.yearMonthDayHour % 100, r.quarterHour): (r.averageUsageAmount, r.sampleSize, r.deviceSignalStrength) for r in got} == expected
+    query.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("StateStoreSave") == 2 and "SortAggregate" not in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake import schemas
@@ -86,8 +86,9 @@ def stage_facts(
     dim_status: DataFrame,
     dim_date: DataFrame,
     load_ts: dt.datetime,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Replace natural keys by the keys of current dimension rows.
+    """Replace natural keys by the keys of current dimension rows; ``keep`` names further columns.
 
     A lookup that finds nothing leaves its key NULL.  No join is hinted: each
     dimension is cut to its two key columns, and Spark broadcasts it when the size
@@ -120,24 +121,18 @@ def stage_facts(
         *[
             F.col(f.name).cast(f.dataType).alias(f.name)
             for f in schemas.TABLES["acq.etlFactRecordStaging"].fields
-        ]
+        ],
+        *keep,
     )
 
 
-def load_facts(staging: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split staged rows into facts and a quarantine of rows without a date key.
+def _fact_values() -> dict[str, Column]:
+    """Columns of a fact over a staged row."""
 
-    A fact is keyed by the highest usage key it was built from.  Each usage row
-    belongs to one fact and later loads only see higher usage keys, so the key is
-    unique and increasing without numbering the rows, and a repeated load assigns
-    the same keys.
-    """
-    has_date = F.col("dateTimeIK").isNotNull()
-
-    def member(column: str):
+    def member(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(UNKNOWN_MEMBER))
 
-    values = {
+    return {
         "deviceMeasurementIK": F.col("maxDeviceUsageDataSK"),
         "dimDeviceIK": member("deviceIK"),
         "dimLocationIK": member("LocationIK"),
@@ -151,6 +146,31 @@ def load_facts(staging: DataFrame) -> tuple[DataFrame, DataFrame]:
         "dataPointDateIK": F.col("dateTimeIK"),
         "factEffectiveDate": F.to_date("factEffectiveDate"),
     }
+
+
+def facts_by_day(staging: DataFrame) -> DataFrame:
+    """Facts with their day, those without a date key marked as quarantined.
+
+    ``staging`` has kept the ``bucketDay`` of its rows.  Facts and quarantine share a
+    table here: a day that is replaced replaces both, and a row that gets its date key
+    later is nowhere left over.
+    """
+    values = {**_fact_values(), "quarantined": F.col("dateTimeIK").isNull(), "factDay": F.col("bucketDay")}
+    return staging.select(
+        *[values[f.name].cast(f.dataType).alias(f.name) for f in schemas.TABLES["dw.factDeviceMeasurementByDay"].fields]
+    )
+
+
+def load_facts(staging: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split staged rows into facts and a quarantine of rows without a date key.
+
+    A fact is keyed by the highest usage key it was built from.  Each usage row
+    belongs to one fact and later loads only see higher usage keys, so the key is
+    unique and increasing without numbering the rows, and a repeated load assigns
+    the same keys.
+    """
+    has_date = F.col("dateTimeIK").isNotNull()
+    values = _fact_values()
     facts = staging.filter(has_date).select(
         *[
             values[f.name].cast(f.dataType).alias(f.name)

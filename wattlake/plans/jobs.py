@@ -11,8 +11,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from wattlake.operators import (
+    buckets,
     collect,
     dates,
     etl_log,
@@ -143,6 +145,55 @@ def load_dimensions(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> No
         warehouse.write(shape.table, scd.scd2_apply(dimension, source, shape, load_ts), load)
 
 
+def load_bucket_states(warehouse: Warehouse, load: int) -> None:
+    """Add the usage rows that no load has taken yet to the stored quarter hours.
+
+    The start key comes from the states themselves.  A load that has finished stays as it
+    is when it comes again; one that was cut off takes what is still left.
+    """
+    if load in warehouse.loads("dw.bucketStates"):
+        return
+    newest = warehouse.read("dw.bucketStates").agg(F.max("maxDeviceUsageDataSK")).first()[0] or 0
+    rows = facts.incremental_slice(warehouse.read(f"dbo.{USAGE}"), newest)
+    warehouse.write("dw.bucketStates", buckets.bucket_states(rows, load), load)
+
+
+def replace_bucket_facts(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> None:
+    """Rebuild the facts of the days that a load of states has touched, from all states of these days.
+
+    Other days are neither read nor written.  The days of one load are listed on the
+    driver: they are days of a calendar.
+    """
+
+    def table(name: str) -> DataFrame:
+        return warehouse.read(name, before=load + 1)
+
+    touched = warehouse.read_load("dw.bucketStates", load).select("bucketDay").distinct().collect()
+    if not touched:
+        return
+    states = warehouse.read("dw.bucketStates").filter(F.col("bucketDay").isin([r.bucketDay for r in touched]))
+    staging = facts.stage_facts(
+        buckets.finish_states(buckets.merge_states(states), table("dbo.IoTDevice")),
+        table("dw.dimDevice"),
+        table("dw.dimLocation"),
+        table("dw.dimPowerScales"),
+        table("dw.dimStatusList"),
+        table("dw.dimDateQuarterHour"),
+        load_ts,
+        keep=("bucketDay",),
+    )
+    warehouse.replace_days("dw.factDeviceMeasurementByDay", facts.facts_by_day(staging))
+
+
+def load_whole_buckets(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> None:
+    """One load that leaves one fact for each quarter hour, however many loads split it.
+
+    Loads of whole buckets run one after the other; each may come again.
+    """
+    load_bucket_states(warehouse, load)
+    replace_bucket_facts(warehouse, load, load_ts)
+
+
 def replay_dimension(
     warehouse: Warehouse, shape: scd.Dimension, changes: DataFrame, load: int
 ) -> None:
@@ -211,7 +262,10 @@ __all__ = [
     "build_date_dimension",
     "collect_samples",
     "load_averages",
+    "load_bucket_states",
     "load_dimensions",
+    "load_whole_buckets",
+    "replace_bucket_facts",
     "replay_dimension",
     "set_location_overrides",
     "warehouse_load",

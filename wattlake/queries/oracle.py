@@ -414,6 +414,15 @@ oracle(
       SELECT maxDeviceUsageDataSK, NULL, NULL, NULL, NULL, NULL, averageUsageAmount, NULL, NULL,
         NULL, NULL, NULL, true FROM half_staging WHERE dateTimeIK IS NULL""",
 )
+oracle(
+    "fact_whole_buckets",
+    ["half_staging"],
+    f"""SELECT {FACT_COLUMNS}, dateTimeIK IS NULL AS quarantined,
+        CAST(date_trunc('day', read_at) AS DATE) AS factDay
+      FROM half_staging
+      JOIN (SELECT deviceUsageDataSK AS sk, dataPointAddedDate AS read_at FROM t_usage) ON maxDeviceUsageDataSK = sk""",
+)
+oracle("stream_late_readings", ["aggregate"], "SELECT * FROM aggregate")
 oracle("fact_by_hour", ["hourly"], "SELECT * FROM hourly")
 oracle(
     "last_seven_days_hourly",
@@ -1103,12 +1112,29 @@ oracle(
                                  '%Y%m%d%H%M')) - INTERVAL 30 MINUTE FROM aggregate)""",
 )
 oracle(
-    "stream_upsert",
-    ["closed_windows"],
-    """SELECT mac_address AS macAddress, serial_number AS serialNumber,
+    "stream_samples_to_quarter_hours",
+    ["clamped", "t_device", "t_status"],
+    f"""SELECT {int_mean("power")} AS averageUsageAmount, {int_mean("samples")} AS sampleSize,
+        {int_mean("signal")} AS deviceSignalStrength, count(*)::BIGINT AS windows,
+        CAST(strftime(ended, '%Y%m%d%H') AS BIGINT) AS yearMonthDayHour, {bucket("ended")} AS quarterHour,
+        deviceSK AS deviceFK, statusSK AS deviceStateFK, LocationFK
+      FROM (
+        SELECT time_bucket(INTERVAL 30 SECOND, sampled_at) + INTERVAL 30 SECOND AS ended, mac_address, serial_number,
+               CAST(sum(power_mw) AS BIGINT) // count(power_mw) AS power, count(*) AS samples,
+               min(signal_strength) AS signal, max(state) AS state
+        FROM clamped GROUP BY ended, mac_address, serial_number, device_name)
+      JOIN t_device ON mac_address = macAddress AND serial_number = serialNumber
+      LEFT JOIN t_status ON state = statusNumberRepresentation
+      -- The watermark is a minute behind the last sample; an hour closes when it has passed its end.
+      WHERE date_trunc('hour', ended) + INTERVAL 1 HOUR
+            <= (SELECT max(sampled_at) - INTERVAL 1 MINUTE + INTERVAL 1 MICROSECOND FROM clamped)
+      GROUP BY strftime(ended, '%Y%m%d%H'), {bucket("ended")}, deviceSK, statusSK, LocationFK""",
+)
+_USAGE_OF_WINDOWS = """SELECT mac_address AS macAddress, serial_number AS serialNumber,
          state AS statusNumberRepresentation,
          CAST(signal_strength AS SMALLINT) AS deviceSignalStrength,
          CAST(trunc(avg_power_mw) AS INTEGER) AS devicePowerUsage,
          sample_count AS dataPointSampleSize, sampled_at AS dataPointAddedDate
-       FROM closed_windows""",
-)
+       FROM closed_windows"""
+oracle("stream_upsert", ["closed_windows"], _USAGE_OF_WINDOWS)
+oracle("stream_resent_samples", ["closed_windows"], _USAGE_OF_WINDOWS)

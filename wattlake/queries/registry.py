@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions import timekeys
 from wattlake.operators import (
+    buckets,
     collect,
     dates,
     etl_log,
@@ -36,6 +37,8 @@ QUERIES: dict[str, Query] = {}
 MAIL_FIRST_DAY, MAIL_LAST_DAY = dt.date(2023, 12, 5), dt.date(2024, 1, 15)
 MAIL_SENDER, MAIL_PREFIX = "plugexport", "plug_exports"
 STREAM_DELAY = "30 minutes"
+#: Files that the events of a stream out of order, or of one sending, are dealt over.
+SHUFFLED_FILES = 6
 
 
 def query(function: Callable[[Given], DataFrame]) -> Callable[[Given], DataFrame]:
@@ -174,6 +177,36 @@ def fact_load(given: Given) -> DataFrame:
     )
 
 
+def _with_dimensions(given: Given, name: str) -> Warehouse:
+    """A warehouse that holds the given dimensions and devices; its dates end in mid-month."""
+    warehouse = Warehouse(given.spark, _scratch(given.spark, name))
+    held = {
+        "dbo.IoTDevice": given.device(),
+        "dw.dimDevice": given.dim_device(),
+        "dw.dimLocation": given.dim_location(),
+        "dw.dimPowerScales": given.dim_power_scales(),
+        "dw.dimStatusList": given.dim_status(),
+        "dw.dimDateQuarterHour": dates.date_range(given.dim_date(), 0, 2024011512),
+    }
+    for table, df in held.items():
+        warehouse.write(table, df, 1)
+    return warehouse
+
+
+@query
+def fact_whole_buckets(given: Given) -> DataFrame:
+    """Facts by day after three loads whose readings share their quarter hours."""
+    warehouse = _with_dimensions(given, "whole-buckets")
+    usage = given.usage()
+    third = usage.agg(F.max("deviceUsageDataSK")).scalar() / 3
+    key = F.col("deviceUsageDataSK")
+    parts = [key <= third, (key > third) & (key <= 2 * third), key > 2 * third]
+    for load, part in enumerate(parts, 1):
+        warehouse.write("dbo.deviceUsageData", usage.filter(part), load)
+        jobs.load_whole_buckets(warehouse, load, LOAD_TS)
+    return warehouse.read_days("dw.factDeviceMeasurementByDay")
+
+
 @query
 def fact_by_hour(given: Given) -> DataFrame:
     return reports.fact_by_hour(given.facts(), given.dim_date())
@@ -662,16 +695,58 @@ def stream_quarter_hour(given: Given) -> DataFrame:
     return _drain(closed, _scratch(given.spark, "quarter-hour"))
 
 
+@query
+def stream_late_readings(given: Given) -> DataFrame:
+    """All quarter hours, open ones too, of a stream whose readings come in no order."""
+    folder = _scratch(given.spark, "late-readings")
+    warehouse = Warehouse(given.spark, f"{folder}/warehouse")
+    events = given.table("events")
+    events.repartition(SHUFFLED_FILES, F.xxhash64("event_id")).write.parquet(f"{folder}/events")
+    shuffled = given.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/events")
+    streams.stream_upsert(given.usage(shuffled), streams.bucket_sink(warehouse), f"{folder}/checkpoint").awaitTermination()
+    merged = buckets.merge_states(warehouse.read("dw.bucketStates"))
+    return buckets.finish_states(merged, given.device()).drop("bucketDay")
+
+
+@query
+def stream_samples_to_quarter_hours(given: Given) -> DataFrame:
+    """Quarter hours of closed hours, from raw samples in one stream."""
+    averaged = streams.stream_quarter_hour_of_samples(
+        given.samples(given.stream("events")), given.device(), given.status_list()
+    )
+    return _drain(averaged, _scratch(given.spark, "samples-to-quarter-hours"))
+
+
 @query
 def stream_upsert(given: Given) -> DataFrame:
     """Usage rows, with device and status, that the stream loaded into a warehouse."""
     folder = _scratch(given.spark, "upsert")
-    warehouse = Warehouse(given.spark, f"{folder}/warehouse")
     averaged = streams.stream_sample_average(given.samples(given.stream("events")))
-    running = streams.stream_upsert(
-        averaged, streams.warehouse_sink(warehouse), f"{folder}/checkpoint"
-    )
-    running.awaitTermination()
+    return _loaded_usage(given, averaged, folder)
+
+
+@query
+def stream_resent_samples(given: Given) -> DataFrame:
+    """The same usage from a source that sends a third of its samples again, in a later batch."""
+    folder = _scratch(given.spark, "resent")
+    events = given.table("events")
+    sent = F.greatest(F.lit(0), F.floor((F.dayofmonth("ts") - 1) / 8)).cast("int")
+    for batch in range(5):
+        again = (F.col("event_id") % 3 == 0) & (sent == batch - 1)
+        rows = events.filter(sent == batch)
+        # Some within their own batch, a third once more in the next one.
+        rows = rows.unionByName(rows.filter(F.col("event_id") % 6 == 0)).unionByName(events.filter(again))
+        rows.repartition(SHUFFLED_FILES).write.mode("append").parquet(f"{folder}/events")
+    files = given.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", SHUFFLED_FILES)
+    averaged = streams.stream_sample_average(given.samples(files.parquet(f"{folder}/events")), resent=True)
+    return _loaded_usage(given, averaged, folder, resent=True)
+
+
+def _loaded_usage(given: Given, averaged: DataFrame, folder: str, resent: bool = False) -> DataFrame:
+    """Run averaged rows into a warehouse and read the usage with its device and status."""
+    warehouse = Warehouse(given.spark, f"{folder}/warehouse")
+    sink = streams.warehouse_sink(warehouse, resent=resent)
+    streams.stream_upsert(averaged, sink, f"{folder}/checkpoint").awaitTermination()
     usage = warehouse.read("dbo.deviceUsageData")
     device = warehouse.read("dbo.IoTDevice")
     status = warehouse.read("dbo.statusList")

@@ -130,8 +130,30 @@ _DDL: dict[str, str] = {
         devicePowerUsage INT, deviceTemperatureSetting INT,
         deviceTemperatureReadingF INT, dataPointSampleSize INT,
         dataPointDateIK BIGINT NOT NULL, factEffectiveDate DATE NOT NULL""",
+    # --- whole quarter hours: states that loads add to, and facts laid out by day ------
+    "dw.bucketStates": """
+        bucketHour INT NOT NULL, quarterHour INT NOT NULL, deviceFK BIGINT NOT NULL,
+        devicePowerScaleFK BIGINT, deviceStateFK BIGINT,
+        maxDeviceUsageDataSK BIGINT NOT NULL, readings BIGINT NOT NULL,
+        devicePowerUsageSum BIGINT, devicePowerUsageCount BIGINT NOT NULL,
+        dataPointSampleSizeSum BIGINT, dataPointSampleSizeCount BIGINT NOT NULL,
+        deviceSignalStrengthSum BIGINT, deviceSignalStrengthCount BIGINT NOT NULL,
+        deviceTemperatureSettingSum BIGINT, deviceTemperatureSettingCount BIGINT NOT NULL,
+        deviceCurrentTemperatureSum BIGINT, deviceCurrentTemperatureCount BIGINT NOT NULL,
+        stateLoad BIGINT NOT NULL, bucketDay DATE NOT NULL""",
+    "dw.factDeviceMeasurementByDay": """
+        deviceMeasurementIK BIGINT NOT NULL, dimDeviceIK BIGINT NOT NULL,
+        dimLocationIK BIGINT NOT NULL, dimStatusListIK BIGINT NOT NULL,
+        dimPowerScalesIK BIGINT NOT NULL, deviceSignalStrength SMALLINT,
+        devicePowerUsage INT, deviceTemperatureSetting INT,
+        deviceTemperatureReadingF INT, dataPointSampleSize INT,
+        dataPointDateIK BIGINT, factEffectiveDate DATE NOT NULL,
+        quarantined BOOLEAN NOT NULL, factDay DATE NOT NULL""",
 }
 
+#: Tables whose files are laid out by a day, with the column that holds it.
+BY_DAY = {"dw.bucketStates": "bucketDay", "dw.factDeviceMeasurementByDay": "factDay"}
+
 #: Operational tables mirrored, without keys, into the staging layer.
 MIRRORED = (
     "deviceTypes",

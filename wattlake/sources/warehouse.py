@@ -31,6 +31,7 @@ LOG_TABLES = frozenset(
         "acq.dimLocationChanges",
         "acq.dimPowerScalesChanges",
         "acq.dimStatusListChanges",
+        "dw.bucketStates",
     }
 )
 
@@ -102,14 +103,20 @@ class Warehouse:
 
     def read(self, name: str, before: int | None = None) -> DataFrame:
         """The table as of the loads numbered below ``before`` (default: all)."""
-        schema = schemas.TABLES[name]
         loads = [n for n in self.loads(name) if before is None or n < before]
         if name not in LOG_TABLES:
             loads = loads[-1:]
         if not loads:
             return empty_table(self.spark, name)
+        return self._rows(name, loads)
+
+    def _rows(self, name: str, loads: list[int]) -> DataFrame:
+        """The rows of some loads; days are folders below a load where a table has them."""
         paths = [f"{self.folder(name)}/load={n}" for n in loads]
-        return self.spark.read.schema(schema).parquet(*paths)
+        source = self.spark.read.schema(schemas.TABLES[name])
+        if name not in schemas.BY_DAY:
+            return source.parquet(*paths)
+        return source.option("basePath", self.folder(name)).parquet(*paths).drop("load")
 
     def latest(self, name: str, before: int | None = None) -> DataFrame:
         """Only the newest load.  Keys grow from load to load, so the highest key of
@@ -125,7 +132,7 @@ class Warehouse:
         """Only the rows that one load wrote."""
         if load not in self.loads(name):
             return empty_table(self.spark, name)
-        return self.spark.read.schema(schemas.TABLES[name]).parquet(f"{self.folder(name)}/load={load}")
+        return self._rows(name, [load])
 
     def write(self, name: str, df: DataFrame, load: int, rebalance: bool = False) -> None:
         """Store ``df`` as one load of a table, in the declared layout.
@@ -138,7 +145,29 @@ class Warehouse:
         rows = conform(df, name)
         if rebalance:
             rows = rows.hint("rebalance")
-        rows.write.mode("overwrite").parquet(f"{self.folder(name)}/load={load}")
+        writer = rows.write.mode("overwrite")
+        if name in schemas.BY_DAY:
+            # One day's rows together, a large day split again by adaptive execution.
+            writer = rows.hint("rebalance", schemas.BY_DAY[name]).write.mode("overwrite").partitionBy(schemas.BY_DAY[name])
+        writer.parquet(f"{self.folder(name)}/load={load}")
+
+    def replace_days(self, name: str, df: DataFrame) -> None:
+        """Store the rows of some days in place of those the table has of these days.
+
+        The table is one folder with a part for each day and no loads; days without a
+        row in ``df`` stay as they are.  It must be possible to derive the rows again: a
+        run that is cut off may leave some days old, and a query that is reading a day
+        while it is replaced fails.
+        """
+        day = schemas.BY_DAY[name]
+        rows = conform(df, name).hint("rebalance", day)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(self.folder(name))
+
+    def read_days(self, name: str) -> DataFrame:
+        """A table of :meth:`replace_days`; filters on its day skip the other days' files."""
+        if not self._files().exists(self._path(*name.split("."))):
+            return empty_table(self.spark, name)
+        return self.spark.read.schema(schemas.TABLES[name]).parquet(self.folder(name))
 
     def truncate(self, name: str, before: int) -> None:
         """Delete the loads of a staging table numbered below ``before``."""
