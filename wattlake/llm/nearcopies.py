@@ -1,19 +1,19 @@
 """Near copies by MinHash bands, with candidates checked in sequence until proof.
 
 Texts with the same set of word shingles are one class.  A class's MinHash values are cut
-into bands; classes that agree in a band meet in a bucket.  Buckets with the same members
-are one.  In a bucket the values of two classes are compared a batch at a time: after each
-batch the posterior of their similarity given the matches so far (uniform prior, one byte
-of each value, so that unequal values agree by chance too) bounds the chance that it
-reaches the threshold, and a pair whose chance falls under the tolerance is dropped.  Pairs
-that no batch drops are survivors.  Classes that survivors tie together form a group, whose
-shingle sets are fetched, and every link is confirmed on full sets.
+into bands; classes that agree in a band are in one bucket and candidates.  The values of
+two candidates are compared a batch at a time: after each batch the posterior of their
+similarity given the matches so far (uniform prior, one byte of each value, so that unequal
+values agree by chance too) bounds the chance that it reaches the threshold, and a pair
+whose chance falls under the tolerance is dropped.  Pairs that no batch drops are
+survivors.  Classes that survivors tie together form a group, whose shingle sets are
+fetched, and every link is confirmed on full sets.
 
 Only who is reachable from whom matters, so a pair is not checked once both ends are known
 to be connected.  No pair leaves a task: it gives back, for each class with a link, one
-class it hangs on.  A bucket or group is cut into blocks.  The first check of a group holds
-each block against itself and against the first one, whose work grows with the group; only
-what that leaves unconnected is held against all the others.
+class it hangs on.  Whatever is compared is cut into blocks.  The first check holds each
+block against itself and against one other, whose work grows with the number of classes;
+only what that leaves unconnected meets the rest of its buckets or of its group.
 
 A pair at the threshold 0.8 shares none of 48 bands of 6 values with probability 5e-7; the
 tolerance adds less than that.
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import text_chunks, written
@@ -221,38 +221,97 @@ def _proven(percent: int, tolerance: float):
     return run
 
 
-def _connected(rows: DataFrame, check, limit: int) -> DataFrame:
-    """Links (a, b) that ``check`` finds between classes of one key.
+def _met(blocked: DataFrame, others: Column, check) -> DataFrame:
+    """Links (a, b) that the check finds, two blocks of a key to a task.
 
-    ``rows`` has key, cls, weight and what the check reads.  Two classes of a key that the
-    check links are connected by the links given back, if not directly.
+    ``blocked`` has key, block, cls, component and what the check reads; ``others`` are
+    the blocks that a row's block meets.
     """
+    pairs = blocked.withColumn("other", F.explode(others))
+    pairs = pairs.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    read = [c for c in ("key", "low", "high", "block", "cls", "component", "n", "signature", "shingles") if c in pairs.columns]
+    return written(pairs.select(*read).groupBy("key", "low", "high").applyInArrow(check, "a long, b long"), "nearcopies-links")
+
+
+def _in_blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows with the block of their key that they are in, and how many there are."""
     parts = rows.groupBy("key").agg(F.expr(f"cast(1 + sum(weight) div {limit} as int)").alias("parts"))
-    blocked = rows.join(parts, "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-    # Each block meets itself and the first one.
-    others = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
-    first = written(_met(blocked.withColumn("component", F.col("cls")), others, check), "nearcopies-links")
-    if (parts.agg(F.max("parts")).first()[0] or 1) == 1:
-        return first
-    # In keys that are still not connected, whatever is outside of the largest component meets all.
-    found = components(first).withColumnRenamed("node", "cls")
-    large = blocked.where("parts > 1").drop("block").join(found, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    sizes = large.groupBy("key", "component").agg(F.sum("weight").alias("held"))
-    sizes = sizes.groupBy("key").agg(F.max_by("component", "held").alias("main"), F.max("held").alias("held"), F.sum("held").alias("total")).where("total > held")
-    sizes = sizes.select("key", "main", F.expr(f"cast(1 + (total - held) div {limit} as int)").alias("outer"), F.expr(f"cast(1 + held div {limit} as int)").alias("inner"))
-    outside = F.col("component") != F.col("main")
+    return rows.join(parts, "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+
+
+def _met_first(rows: DataFrame, check, limit: int) -> DataFrame:
+    """Links within each block and with the first one of its key: work that grows with the key."""
+    blocked = _in_blocks(rows, limit).withColumn("component", F.col("cls"))
+    first = F.sequence(F.lit(0), F.col("parts") - 1)
+    return _met(blocked, F.when(F.col("block") == 0, first).otherwise(F.array(F.lit(0), F.col("block"))), check)
+
+
+def _met_across(rows: DataFrame, check, limit: int, guests: bool) -> DataFrame:
+    """Links between the guests and the others of each key, and with ``guests`` among the guests too."""
+    sizes = rows.groupBy("key").agg(
+        *[F.expr(f"cast(1 + coalesce(sum(weight) FILTER (WHERE {side}), 0) div {limit} as int)").alias(name) for side, name in (("guest", "outer"), ("NOT guest", "inner"))]
+    )
     spread = F.xxhash64("cls")
-    block = F.when(outside, F.pmod(spread, F.col("outer"))).otherwise(F.col("outer") + F.pmod(spread, F.col("inner")))
-    last = F.when(outside, F.col("outer") + F.col("inner") - 1).otherwise(F.col("outer") - 1)
-    mixed = large.join(sizes, "key").withColumn("block", block.cast("int"))
-    return first.unionByName(written(_met(mixed, F.sequence(F.lit(0), last), check), "nearcopies-late-links"))
+    block = F.when(F.col("guest"), F.pmod(spread, F.col("outer"))).otherwise(F.col("outer") + F.pmod(spread, F.col("inner")))
+    begin = F.lit(0) if guests else F.col("outer")
+    others = F.when(F.col("guest"), F.sequence(begin, F.col("outer") + F.col("inner") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer") - 1))
+    return _met(rows.join(sizes, "key").withColumn("block", block.cast("int")), others, check)
 
 
-def _met(blocked: DataFrame, others, check) -> DataFrame:
-    """Links that the check finds, two blocks of a key to a task."""
-    pairs = blocked.withColumn("other", F.explode(others))
-    pairs = pairs.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other", "parts", "weight", "main", "outer", "inner")
-    return pairs.groupBy("key", "low", "high").applyInArrow(check, "a long, b long")
+def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the component of their class; a class without links is its own."""
+    joined = rows.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    return joined.withColumn("component", F.coalesce("component", "cls"))
+
+
+def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
+    """Links between classes of one bucket that the check finds, such that all it would find are connected.
+
+    ``met`` has (bucket, cls).  Whatever hangs together over buckets is first held against
+    itself block by block and against one block.  Buckets that hold several components
+    after that are looked at by components: all of the bucket's largest one against all
+    of the others, and the others' members in the bucket against each other.
+    """
+    signed = classes.select("cls", "n", "signature", F.lit(1).alias("weight"))
+    heads = met.groupBy("bucket").agg(F.count("*").alias("size"), F.min("cls").alias("head")).where("size > 1").select("bucket", "head")
+    shared = written(met.join(heads, "bucket"), "nearcopies-shared")
+    whole = components(shared.where("cls != head").select("cls", "head").distinct(), "cls", "head")
+    first = _met_first(signed.join(whole.select(F.col("node").alias("cls"), F.col("component").alias("key")), "cls"), check, limit)
+
+    known = written(_with_component(classes.select("cls"), components(first)), "nearcopies-known")
+    held = shared.select("bucket", "cls").join(known, "cls")
+    parts = held.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    mains = parts.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
+    apart = written(held.join(mains, "bucket").where("component != main"), "nearcopies-apart")
+    relations = apart.select("main", "component").distinct()
+    if apart.isEmpty():
+        return first
+    main = known.join(relations.select(F.col("main").alias("component")).distinct(), "component").select(F.col("component").alias("key"), "cls", "component", F.lit(False).alias("guest"))
+    guest = known.join(relations, "component").select(F.col("main").alias("key"), "cls", "component", F.lit(True).alias("guest"))
+    across = _met_across(main.unionByName(guest).join(signed, "cls"), check, limit, guests=False)
+
+    # Buckets in which the same classes are left are one.
+    left = apart.where("kinds > 2").select("bucket", "cls", "component")
+    sums = [F.count("*").alias("size"), F.min("cls").alias("first"), *(F.bit_xor(F.xxhash64(F.lit(s), "cls")).alias(f"sum{s}") for s in (1, 2))]
+    kinds = left.groupBy("bucket").agg(*sums).groupBy("size", "first", "sum1", "sum2").agg(F.min("bucket").alias("bucket")).select("bucket")
+    rest = left.join(kinds, "bucket").select(F.col("bucket").alias("key"), "cls", "component")
+    blocked = _in_blocks(rest.join(signed, "cls"), limit)
+    among = _met(blocked, F.sequence(F.lit(0), F.col("parts") - 1), check)
+    return first.unionByName(across).unionByName(among)
+
+
+def _links(candidates: DataFrame, check, limit: int) -> DataFrame:
+    """Links that the check finds in groups (key), such that all it would find are connected."""
+    first = _met_first(candidates, check, limit)
+    # Groups of one block are done; in the others, whatever is outside of the largest component meets all.
+    large = candidates.groupBy("key").agg(F.sum("weight").alias("total")).where(F.col("total") >= limit).select("key")
+    if large.isEmpty():
+        return first
+    known = _with_component(candidates.join(large, "key"), components(first))
+    sizes = known.groupBy("key", "component").agg(F.sum("weight").alias("held"))
+    mains = sizes.groupBy("key").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = known.join(mains, "key").withColumn("guest", F.col("component") != F.col("main"))
+    return first.unionByName(_met_across(mixed, check, limit, guests=True))
 
 
 def near_copies(
@@ -285,10 +344,7 @@ def near_copies(
         "nearcopies-classes",
     )
     met = written(classes.select("cls", "buckets").mapInArrow(_spread, "bucket long, cls long"), "nearcopies-buckets")
-    held = [F.count("*").alias("size"), F.min("cls").alias("first"), *(F.bit_xor(F.xxhash64(F.lit(s), "cls")).alias(f"sum{s}") for s in (1, 2))]
-    kinds = met.groupBy("bucket").agg(*held).where("size > 1").groupBy("size", "first", "sum1", "sum2").agg(F.min("bucket").alias("bucket"))
-    members = met.join(kinds.select("bucket"), "bucket").join(classes.select("cls", "n", "signature"), "cls")
-    ties = _connected(members.withColumnRenamed("bucket", "key").withColumn("weight", F.lit(1)), _survivors(percent, miss), bucket)
+    ties = _ties(classes, met, _survivors(percent, miss), bucket)
     grouped = written(
         components(ties).withColumnRenamed("node", "cls").join(classes.drop("buckets"), "cls").withColumnRenamed("component", "key"), "nearcopies-groups"
     )
@@ -298,7 +354,7 @@ def near_copies(
     lent = rows.join(lender.select("lent_id").distinct(), F.col("row_id").eqNullSafe(F.col("lent_id")), "left_semi")
     sets = lent.mapInArrow(_shingled(n), SETS).select("hi", "lo", "shingles").dropDuplicates(["hi", "lo"])
     candidates = sets.join(grouped, ["hi", "lo"]).select("key", "cls", "n", "signature", "shingles", F.col("n").alias("weight"))
-    links = _connected(candidates, _proven(percent, miss), block)
+    links = _links(candidates, _proven(percent, miss), block)
 
     owners = classes.select("hi", "lo", "cls", "least_id").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
     owners = written(owners.withColumn("component", F.coalesce("component", "cls")), "nearcopies-owners")
