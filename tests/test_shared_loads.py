@@ -16,23 +16,15 @@ from wattlake.streaming import samples as streams
 FOLDER = "/root/testdata/sf0.001"
 
 
-def test_a_run_keeps_its_number_and_shares_it_with_none(spark, tmp_path):
-    one, two = (Warehouse(spark, str(tmp_path)) for _ in range(2))
-    assert [one.begin("a"), two.begin("b"), two.begin("a"), one.begin("b"), one.begin("c")] == [1, 2, 1, 2, 3]
-    with pytest.raises(ValueError, match="was not begun"):
-        one.write("dbo.powerScales", Given(spark, FOLDER).power_scales(), 9)
-
-
 def test_streams_and_jobs_in_turn(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     averages = Given(spark, FOLDER).averages().cache()
     parts = [averages.where(F.pmod(F.xxhash64("mac_address"), F.lit(3)) == i) for i in range(3)]
     sink = streams.warehouse_sink(warehouse)
-    jobs.build_date_dimension(warehouse, dt.date(2024, 1, 1), dt.date(2024, 2, 1), warehouse.begin("dates"))
+    jobs.build_date_dimension(warehouse, dt.date(2024, 1, 1), dt.date(2024, 2, 1), "dates")
 
     sink(parts[0], 0)
-    load = warehouse.begin("nightly 1")
-    jobs.warehouse_load(warehouse, load, LOAD_TS, LOAD_TS)
+    jobs.warehouse_load(warehouse, "nightly 1", LOAD_TS, LOAD_TS)
     located = warehouse.read("dbo.IoTDevice").where("LocationFK IS NOT NULL").count()
     assert located == parts[0].count() > 0
     before = sorted(map(str, warehouse.read("dbo.IoTDevice").collect()))
@@ -40,7 +32,7 @@ def test_streams_and_jobs_in_turn(spark, tmp_path):
     assert sorted(map(str, warehouse.read("dbo.IoTDevice").collect())) == before
 
     sink(parts[1], 1)
-    jobs.warehouse_load(warehouse, warehouse.begin("nightly 2"), LOAD_TS, LOAD_TS)
+    jobs.warehouse_load(warehouse, "nightly 2", LOAD_TS, LOAD_TS)
     sink(parts[2], 2)
     device = warehouse.read("dbo.IoTDevice")
     assert device.count() == averages.count() == device.select("deviceSK").distinct().count()

@@ -8,7 +8,7 @@ from wattlake.operators import dates, etl_log, facts, scd
 from wattlake.plans import jobs, reports, views
 from wattlake.plans.semantic import HOURLY, Model
 from wattlake.sources.given import Given
-from wattlake.sources.warehouse import Warehouse, refresh_stage
+from wattlake.sources.warehouse import Warehouse, empty_stage, refresh_stage
 
 FOLDER = "/root/testdata/sf0.001"
 OLD = dt.datetime(2023, 1, 1)
@@ -26,7 +26,7 @@ def warehouse(spark, tmp_path):
 
 
 def test_schemas_of_all_tables():
-    assert len(schemas.TABLES) == 9 + 8 + 3 + 1 + 6 + 1
+    assert len(schemas.TABLES) == 9 + 8 + 3 + 1 + 4 + 6 + 2 + 1
     assert schemas.TABLES["dw.dimDevice"].names[-1] == "isCurrent"
     assert len(schemas.TABLES["dw.dimDateQuarterHour"]) == 18
 
@@ -240,7 +240,7 @@ def test_state_and_log_tables(warehouse, rows):
         warehouse.write("dbo.powerScales", scales(load), load)
         warehouse.write("acq.etlAuditLog", audit(f"j{load}"), load)
     assert [r.powerScaleSK for r in warehouse.read("dbo.powerScales").collect()] == [2]
-    assert [r.powerScaleSK for r in warehouse.read("dbo.powerScales", before=2).collect()] == [1]
+    assert [r.powerScaleSK for r in warehouse.read_load("dbo.powerScales", 1).collect()] == [1]
     assert warehouse.read("acq.etlAuditLog").count() == 2
     warehouse.write("acq.etlAuditLog", audit("again"), 2)
     assert {r.etlJobName for r in warehouse.read("acq.etlAuditLog").collect()} == {"j1", "again"}
@@ -253,20 +253,23 @@ def test_null_in_a_required_column_stops_the_write(warehouse, rows):
     assert warehouse.loads("dbo.powerScales") == []
 
 
-def test_stage_refresh_replaces_and_slices(warehouse, given):
+def test_stage_refresh_replaces_and_slices(warehouse, given, tmp_path):
     for name, df in (("deviceTypes", given.device_types()), ("locations", given.locations()),
                      ("networkMetadata", given.network_metadata()),
                      ("powerScales", given.power_scales()), ("statusList", given.status_list()),
                      ("deviceFirmware", given.device_firmware()), ("IoTDevice", given.device()),
                      ("deviceUsageData", given.usage())):
         warehouse.write(f"dbo.{name}", df, 1)
-    refresh_stage(warehouse, 2)
+    warehouse.run("night 2", refresh_stage)
     assert warehouse.read("acq.deviceUsageData").count() == given.usage().count()
-    refresh_stage(warehouse, 3, start_sk=900)
+    warehouse.run("night 3", lambda run: refresh_stage(run, start_sk=900))
     assert warehouse.read("acq.deviceUsageData").agg(F.min("deviceUsageDataSK")).first()[0] == 901
     assert warehouse.read("acq.IoTDevice").count() == given.device().count()
-    assert warehouse.loads("acq.deviceUsageData") == [3]
+    assert warehouse.loads("acq.deviceUsageData") == ["night 2", "night 3"]
     assert warehouse.loads("dbo.deviceUsageData") == [1]
+    empty_stage(warehouse, keep="night 3")
+    assert len(list((tmp_path / "acq/deviceUsageData").iterdir())) == 1
+    assert warehouse.read("acq.deviceUsageData").agg(F.min("deviceUsageDataSK")).first()[0] == 901
     with pytest.raises(ValueError, match="not a staging table"):
         warehouse.truncate("acq.etlLoggingTable", 9)
 

@@ -1,9 +1,9 @@
 """The two jobs: load averaged samples, and build the star schema from them.
 
-Loads are numbered from one common sequence, which :meth:`Warehouse.begin` hands out
-to jobs and streams that share a warehouse.  Each step writes its table and
-the next step reads it back, so no plan grows with the number of steps and a job
-that died can be repeated under the same number.
+A job is one or more runs of a warehouse (:meth:`Warehouse.run`), named by a key of the
+caller's choice; a job that died, or one that may not have run, is simply run again with
+its key.  Inside a run each step writes its table and the next step reads it back, so no
+plan grows with the number of steps; all of a run's tables appear at once.
 """
 
 from __future__ import annotations
@@ -25,16 +25,15 @@ from wattlake.operators import (
     upsert,
 )
 from wattlake.operators.keys import next_start
-from wattlake.sources.warehouse import Warehouse, refresh_stage
+from wattlake.sources.warehouse import Key, Run, Warehouse, empty_stage, refresh_stage
 
 USAGE = "deviceUsageData"
 JOB_NAME = "warehouse load"
 
 
 def load_averages(
-    warehouse: Warehouse,
+    run: Run,
     averages: DataFrame,
-    load: int,
     load_ts: dt.datetime,
     added: Column | None = None,
 ) -> None:
@@ -45,90 +44,85 @@ def load_averages(
     """
     if averages.isEmpty():
         return
-
-    def before(table: str) -> DataFrame:
-        return warehouse.read(f"dbo.{table}", before=load)
-
-    def after(table: str) -> DataFrame:
-        return warehouse.read(f"dbo.{table}", before=load + 1)
+    read = lambda table: run.read(f"dbo.{table}")
 
     def store(table: str, df: DataFrame) -> None:
-        warehouse.write(f"dbo.{table}", df, load, rebalance=table != USAGE)
+        run.write(f"dbo.{table}", df, rebalance=table != USAGE)
 
-    store("deviceFirmware", upsert.upsert_firmware(before("deviceFirmware"), averages, load_ts))
-    store("networkMetadata", upsert.upsert_network(before("networkMetadata"), averages, load_ts))
-    store("deviceTypes", upsert.upsert_device_type(before("deviceTypes"), averages))
+    start = next_start(run.latest(f"dbo.{USAGE}"), "deviceUsageDataSK")
+    store("deviceFirmware", upsert.upsert_firmware(read("deviceFirmware"), averages, load_ts))
+    store("networkMetadata", upsert.upsert_network(read("networkMetadata"), averages, load_ts))
+    store("deviceTypes", upsert.upsert_device_type(read("deviceTypes"), averages))
     store(
         "IoTDevice",
         upsert.upsert_device(
-            before("IoTDevice"),
+            read("IoTDevice"),
             averages,
-            after("deviceFirmware"),
-            after("deviceTypes"),
-            after("networkMetadata"),
+            read("deviceFirmware"),
+            read("deviceTypes"),
+            read("networkMetadata"),
             load_ts,
         ),
     )
-    store("powerScales", upsert.upsert_power_scale(before("powerScales"), averages, load_ts))
-    store("statusList", upsert.upsert_status(before("statusList"), averages, load_ts))
+    store("powerScales", upsert.upsert_power_scale(read("powerScales"), averages, load_ts))
+    store("statusList", upsert.upsert_status(read("statusList"), averages, load_ts))
     store(
         USAGE,
         collect.usage_rows(
             averages,
-            after("IoTDevice"),
-            after("statusList"),
-            after("powerScales"),
+            read("IoTDevice"),
+            read("statusList"),
+            read("powerScales"),
             load_ts,
-            next_start(warehouse.latest(f"dbo.{USAGE}", before=load), "deviceUsageDataSK"),
+            start,
             added=added,
         ),
     )
 
 
+def keep_averages(warehouse: Warehouse, averages: DataFrame, load: Key) -> DataFrame:
+    """Store averaged rows under a key, once, and read them back."""
+    name, key = "acq.averagedDataPoints", f"{load}/averages"
+    warehouse.run(key, lambda run: run.write(name, averages))
+    return warehouse.read_load(name, key)
+
+
 def collect_samples(
-    warehouse: Warehouse, samples: DataFrame, load: int, load_ts: dt.datetime
+    warehouse: Warehouse, samples: DataFrame, load: Key, load_ts: dt.datetime
 ) -> None:
     """One collection run: clamp, average and load raw samples.
 
     The averages are stored before they are loaded, so the samples are read once.
     """
-    averages = collect.sample_average(collect.clamp_power(samples), load_ts)
-    warehouse.write("acq.averagedDataPoints", averages, load)
-    stored = warehouse.read("acq.averagedDataPoints", before=load + 1)
-    load_averages(warehouse, stored, load, load_ts)
+    stored = keep_averages(warehouse, collect.sample_average(collect.clamp_power(samples), load_ts), load)
+    warehouse.run(load, lambda run: load_averages(run, stored, load_ts))
 
 
-def set_location_overrides(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> None:
+def set_location_overrides(warehouse: Warehouse, load: Key, load_ts: dt.datetime) -> None:
     """Seed overrides for new serials, publish new places, assign them to devices."""
-    device = warehouse.read("dbo.IoTDevice", before=load)
-    override = warehouse.read("dbo.locationOverride", before=load)
-    warehouse.write(
-        "dbo.locationOverride", location.seed_overrides(override, device, load_ts), load
-    )
-    override = warehouse.read("dbo.locationOverride", before=load + 1)
-    places = warehouse.read("dbo.locations", before=load)
-    warehouse.write("dbo.locations", location.publish_locations(places, override, load_ts), load)
-    places = warehouse.read("dbo.locations", before=load + 1)
-    warehouse.write(
-        "dbo.IoTDevice", location.assign_locations(device, override, places), load
-    )
+
+    def build(run: Run) -> None:
+        device, override = run.read("dbo.IoTDevice"), run.read("dbo.locationOverride")
+        run.write("dbo.locationOverride", location.seed_overrides(override, device, load_ts))
+        override, places = run.read("dbo.locationOverride"), run.read("dbo.locations")
+        run.write("dbo.locations", location.publish_locations(places, override, load_ts))
+        run.write("dbo.IoTDevice", location.assign_locations(device, override, run.read("dbo.locations")))
+
+    warehouse.run(f"{load}/locations", build)
 
 
 def build_date_dimension(
-    warehouse: Warehouse, first: dt.date, last: dt.date, load: int
+    warehouse: Warehouse, first: dt.date, last: dt.date, load: Key
 ) -> None:
     """(Re)build the date dimension for a range of days."""
     warehouse.write(
-        "dw.dimDateQuarterHour", dates.date_dimension(warehouse.spark, first, last), load
+        "dw.dimDateQuarterHour", dates.date_dimension(warehouse.spark, first, last), f"{load}/dates"
     )
 
 
-def load_dimensions(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> None:
+def load_dimensions(run: Run, load_ts: dt.datetime) -> None:
     """Version the four dimensions from the staged operational tables."""
-
-    def staged(table: str) -> DataFrame:
-        return warehouse.read(f"acq.{table}", before=load + 1)
-
+    staged = lambda table: run.written(f"acq.{table}")
     sources = {
         scd.DEVICE: scd.device_source(
             staged("IoTDevice"),
@@ -141,21 +135,22 @@ def load_dimensions(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> No
         scd.STATUS: scd.status_source(staged("statusList")),
     }
     for shape, source in sources.items():
-        dimension = scd.with_unknown_member(warehouse.read(shape.table, before=load), shape)
-        warehouse.write(shape.table, scd.scd2_apply(dimension, source, shape, load_ts), load)
+        dimension = scd.with_unknown_member(run.read(shape.table), shape)
+        run.write(shape.table, scd.scd2_apply(dimension, source, shape, load_ts))
 
 
 def load_bucket_states(warehouse: Warehouse, load: int) -> None:
     """Add the usage rows that no load has taken yet to the stored quarter hours.
 
-    The start key comes from the states themselves.  A load that has finished stays as it
-    is when it comes again; one that was cut off takes what is still left.
+    The start key comes from the states themselves; loads that overlap share the rows.
     """
-    if load in warehouse.loads("dw.bucketStates"):
-        return
-    newest = warehouse.read("dw.bucketStates").agg(F.max("maxDeviceUsageDataSK")).first()[0] or 0
-    rows = facts.incremental_slice(warehouse.read(f"dbo.{USAGE}"), newest)
-    warehouse.write("dw.bucketStates", buckets.bucket_states(rows, load), load)
+
+    def build(run: Run) -> None:
+        newest = run.read("dw.bucketStates").agg(F.max("maxDeviceUsageDataSK")).first()[0] or 0
+        rows = facts.incremental_slice(run.read(f"dbo.{USAGE}"), newest)
+        run.write("dw.bucketStates", buckets.bucket_states(rows, load))
+
+    warehouse.run(f"{load}/states", build)
 
 
 def replace_bucket_facts(warehouse: Warehouse, load: int, load_ts: dt.datetime) -> None:
@@ -164,21 +159,18 @@ def replace_bucket_facts(warehouse: Warehouse, load: int, load_ts: dt.datetime)
     Other days are neither read nor written.  The days of one load are listed on the
     driver: they are days of a calendar.
     """
-
-    def table(name: str) -> DataFrame:
-        return warehouse.read(name, before=load + 1)
-
-    touched = warehouse.read_load("dw.bucketStates", load).select("bucketDay").distinct().collect()
+    touched = warehouse.read_load("dw.bucketStates", f"{load}/states").select("bucketDay").distinct().collect()
     if not touched:
         return
-    states = warehouse.read("dw.bucketStates").filter(F.col("bucketDay").isin([r.bucketDay for r in touched]))
+    read = warehouse.read
+    states = read("dw.bucketStates").filter(F.col("bucketDay").isin([r.bucketDay for r in touched]))
     staging = facts.stage_facts(
-        buckets.finish_states(buckets.merge_states(states), table("dbo.IoTDevice")),
-        table("dw.dimDevice"),
-        table("dw.dimLocation"),
-        table("dw.dimPowerScales"),
-        table("dw.dimStatusList"),
-        table("dw.dimDateQuarterHour"),
+        buckets.finish_states(buckets.merge_states(states), read("dbo.IoTDevice")),
+        read("dw.dimDevice"),
+        read("dw.dimLocation"),
+        read("dw.dimPowerScales"),
+        read("dw.dimStatusList"),
+        read("dw.dimDateQuarterHour"),
         load_ts,
         keep=("bucketDay",),
     )
@@ -195,72 +187,75 @@ def load_whole_buckets(warehouse: Warehouse, load: int, load_ts: dt.datetime) ->
 
 
 def replay_dimension(
-    warehouse: Warehouse, shape: scd.Dimension, changes: DataFrame, load: int
+    warehouse: Warehouse, shape: scd.Dimension, changes: DataFrame, load: Key
 ) -> None:
     """Keep a batch of timed changes and rebuild the versions of the keys it touches."""
     name = history.change_table(shape)
-    warehouse.write(name, changes, load)
-    earlier, batch = warehouse.read(name, before=load), warehouse.read_load(name, load)
-    dimension = scd.with_unknown_member(warehouse.read(shape.table, before=load), shape)
-    warehouse.write(shape.table, history.scd2_replay(dimension, batch, shape, earlier), load)
+
+    def build(run: Run) -> None:
+        earlier = run.read(name)
+        run.write(name, changes)
+        dimension = scd.with_unknown_member(run.read(shape.table), shape)
+        run.write(shape.table, history.scd2_replay(dimension, run.written(name), shape, earlier))
+
+    warehouse.run(load, build)
 
 
 def warehouse_load(
     warehouse: Warehouse,
-    load: int,
+    load: Key,
     job_start: dt.datetime,
     now: dt.datetime,
     job_name: str = JOB_NAME,
 ) -> None:
-    """One incremental load, from the operational tables to the facts."""
+    """One incremental load, from the operational tables to the facts.
 
-    def fresh(table: str) -> DataFrame:
-        return warehouse.read(table, before=load + 1)
+    Staging, dimensions, facts, quarantine and the log row that says how far they go are
+    published together.
+    """
 
-    def audit(signal: str, number: int, status: str | None = None) -> None:
-        log = warehouse.read("acq.etlAuditLog", before=number)
-        warehouse.write(
-            "acq.etlAuditLog",
-            etl_log.log_job(log, job_name, signal, job_start, now, status),
-            number,
+    def audit(signal: str, status: str | None = None) -> None:
+        name = "acq.etlAuditLog"
+        row = etl_log.log_job(warehouse.read(name), job_name, signal, job_start, now, status)
+        warehouse.run(f"{load}/{signal}", lambda run: run.write(name, row))
+
+    def build(run: Run) -> None:
+        log = run.read("acq.etlLoggingTable")
+        start_sk = etl_log.high_water_mark(log, USAGE).first()[0] or 0
+        refresh_stage(run, start_sk)
+        load_dimensions(run, job_start)
+        aggregate = facts.quarter_hour_aggregate(
+            run.written("acq.deviceUsageData"), run.written("acq.IoTDevice"), start_sk
+        )
+        staging = facts.stage_facts(
+            aggregate,
+            run.read("dw.dimDevice"),
+            run.read("dw.dimLocation"),
+            run.read("dw.dimPowerScales"),
+            run.read("dw.dimStatusList"),
+            run.read("dw.dimDateQuarterHour"),
+            job_start,
+        )
+        run.write("acq.etlFactRecordStaging", staging)
+        staging = run.written("acq.etlFactRecordStaging")
+        loaded, rejected = facts.load_facts(staging)
+        run.write("dw.factDeviceMeasurement", loaded)
+        run.write("dw.factDeviceMeasurementQuarantine", rejected)
+        run.write(
+            "acq.etlLoggingTable", etl_log.log_activity(staging, log, f"load {load}", USAGE, start_sk)
         )
 
-    audit(etl_log.START, 2 * load)
+    audit(etl_log.START)
     set_location_overrides(warehouse, load, job_start)
-
-    log = warehouse.read("acq.etlLoggingTable", before=load)
-    start_sk = etl_log.high_water_mark(log, USAGE).first()[0] or 0
-    refresh_stage(warehouse, load, start_sk)
-    load_dimensions(warehouse, load, job_start)
-
-    aggregate = facts.quarter_hour_aggregate(
-        fresh("acq.deviceUsageData"), fresh("acq.IoTDevice"), start_sk
-    )
-    staging = facts.stage_facts(
-        aggregate,
-        fresh("dw.dimDevice"),
-        fresh("dw.dimLocation"),
-        fresh("dw.dimPowerScales"),
-        fresh("dw.dimStatusList"),
-        fresh("dw.dimDateQuarterHour"),
-        job_start,
-    )
-    warehouse.write("acq.etlFactRecordStaging", staging, load)
-    staging = fresh("acq.etlFactRecordStaging")
-    loaded, rejected = facts.load_facts(staging)
-    warehouse.write("dw.factDeviceMeasurement", loaded, load)
-    warehouse.write("dw.factDeviceMeasurementQuarantine", rejected, load)
-    warehouse.write(
-        "acq.etlLoggingTable",
-        etl_log.log_activity(staging, log, f"load {load}", USAGE, start_sk),
-        load,
-    )
-    audit(etl_log.STOP, 2 * load + 1, "success")
+    warehouse.run(load, build)
+    empty_stage(warehouse, keep=load)
+    audit(etl_log.STOP, "success")
 
 
 __all__ = [
     "build_date_dimension",
     "collect_samples",
+    "keep_averages",
     "load_averages",
     "load_bucket_states",
     "load_dimensions",

@@ -18,8 +18,8 @@ from wattlake.functions.timekeys import bucket_start, hour_key, quarter_hour
 from wattlake.operators import buckets
 from wattlake.operators.collect import SAMPLE_KEYS, clamp_power, sample_aggregates
 from wattlake.operators.upsert import STATUS_SOURCE, newest_keys
-from wattlake.plans.jobs import load_averages
-from wattlake.sources.warehouse import Warehouse
+from wattlake.plans.jobs import keep_averages, load_averages
+from wattlake.sources.warehouse import Run, Warehouse
 
 
 def without_resent(timed: DataFrame) -> DataFrame:
@@ -196,25 +196,25 @@ def bucket_sink(warehouse: Warehouse, stream: str = "readings") -> Callable[[Dat
     :func:`stream_quarter_hour` leaves out what comes behind its watermark.  Here every
     batch, late readings included, becomes partial states that are added to the quarter
     hours they belong to; nothing is kept in the state of the stream.  A batch that comes
-    again replaces its own states.  :func:`wattlake.operators.buckets.late_readings`
+    again is not added again.  :func:`wattlake.operators.buckets.late_readings`
     tells how many readings of each batch came behind the watermark.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        load = warehouse.begin(f"{stream} batch {batch_id}")
-        warehouse.write("dw.bucketStates", buckets.bucket_states(batch, load), load)
+        states = buckets.bucket_states(batch, batch_id)
+        warehouse.run(f"{stream} batch {batch_id}", lambda run: run.write("dw.bucketStates", states))
 
     return apply
 
 
-def not_loaded(warehouse: Warehouse, averages: DataFrame, load: int) -> DataFrame:
-    """Averaged rows whose device has no usage row of that time in an earlier load.
+def not_loaded(run: Run, averages: DataFrame) -> DataFrame:
+    """Averaged rows whose device has no usage row of that time.
 
     Usage is read from the batch's first time on; the bound reaches the file scan.
     """
     first = averages.agg(F.min("sampled_at")).scalar()
-    usage = warehouse.read("dbo.deviceUsageData", before=load).filter(F.col("dataPointAddedDate") >= first)
-    device = warehouse.read("dbo.IoTDevice", before=load).select(
+    usage = run.read("dbo.deviceUsageData").filter(F.col("dataPointAddedDate") >= first)
+    device = run.read("dbo.IoTDevice").select(
         "deviceSK", null_safe_key(F.col("macAddress"), F.col("serialNumber")).alias("__loaded")
     )
     loaded = usage.join(device, F.col("deviceFK") == F.col("deviceSK")).select("__loaded", "dataPointAddedDate")
@@ -227,18 +227,25 @@ def warehouse_sink(
 ) -> Callable[[DataFrame, int], None]:
     """An ``apply`` for :func:`stream_upsert` that loads batches into a warehouse.
 
-    A batch begins a load under the name of its stream and its number, so one that
-    comes again replaces what it wrote before, and jobs may load in between.  Usage
-    rows carry the event time.  With ``resent`` a row whose device already has usage of
-    that time, from whichever stream or batch, is left out.
+    A batch is a run named by its stream and its number, so one that comes again is not
+    loaded twice, and jobs and other streams may load at the same time.  Usage rows carry
+    the event time.  With ``resent`` a row whose device already has usage of that time,
+    from whichever stream or batch, is left out.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        load = warehouse.begin(f"{stream} batch {batch_id}")
-        warehouse.write("acq.averagedDataPoints", not_loaded(warehouse, batch, load) if resent else batch, load)
-        averages = warehouse.read("acq.averagedDataPoints", before=load + 1)
-        latest = averages.agg(F.max("sampled_at")).first()[0]
-        if latest is not None:
-            load_averages(warehouse, averages, load, latest, added=F.col("sampled_at"))
+        load = f"{stream} batch {batch_id}"
+        stored = keep_averages(warehouse, batch, load)
+
+        def build(run: Run) -> None:
+            averages = stored
+            if resent:
+                run.write("acq.averagedDataPoints", not_loaded(run, stored))
+                averages = run.written("acq.averagedDataPoints")
+            latest = averages.agg(F.max("sampled_at")).first()[0]
+            if latest is not None:
+                load_averages(run, averages, latest, added=F.col("sampled_at"))
+
+        warehouse.run(load, build)
 
     return apply
