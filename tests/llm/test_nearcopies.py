@@ -74,7 +74,8 @@ def test_components_are_those_of_all_pairs(spark, corpus):
     assert found(spark, corpus) == all_pairs(corpus)
 
 
-def test_blocks_do_not_change_the_result(spark, corpus):
+def test_blocks_do_not_change_the_result(spark, corpus, monkeypatch):
+    monkeypatch.setattr(nearcopies, "WHOLE", 1)
     assert found(spark, corpus, bucket=4, block=300) == all_pairs(corpus)
 
 
@@ -91,8 +92,9 @@ def test_an_empty_table_gives_an_empty_result(spark):
     assert found(spark, []) == []
 
 
-def test_a_large_group_takes_few_checks(spark):
+def test_a_large_group_takes_few_checks(spark, monkeypatch):
     """Thousands of copies of one text with an edit each are one component."""
+    monkeypatch.setattr(nearcopies, "WHOLE", 2)
     rng = random.Random(1)
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(edited(rng, base, 1))) for i in range(3000)]

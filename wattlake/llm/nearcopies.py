@@ -40,6 +40,8 @@ from wattlake.llm.tokens import distinct, mix, per_text, shingles, words
 
 BANDS, ROWS = 48, 6
 STEP = 24
+#: Candidates that hang together are all compared if they fill this many blocks at most.
+WHOLE = 16
 SIGNED = "row_id long, n long, hi long, lo long, buckets binary, signature binary"
 SETS = "row_id long, hi long, lo long, shingles binary"
 
@@ -239,11 +241,13 @@ def _in_blocks(rows: DataFrame, limit: int) -> DataFrame:
     return rows.join(parts, "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
 
 
-def _met_first(rows: DataFrame, check, limit: int) -> DataFrame:
-    """Links within each block and with the first one of its key: work that grows with the key."""
+def _met_first(rows: DataFrame, check, limit: int, whole: int) -> DataFrame:
+    """All links in keys of up to ``whole`` blocks; in larger ones those within each block and
+    with the first one, whose work grows with the key."""
     blocked = _in_blocks(rows, limit).withColumn("component", F.col("cls"))
-    first = F.sequence(F.lit(0), F.col("parts") - 1)
-    return _met(blocked, F.when(F.col("block") == 0, first).otherwise(F.array(F.lit(0), F.col("block"))), check)
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    others = F.when((F.col("parts") <= whole) | (F.col("block") == 0), every).otherwise(F.array(F.lit(0), F.col("block")))
+    return _met(blocked, others, check)
 
 
 def _met_across(rows: DataFrame, check, limit: int, guests: bool) -> DataFrame:
@@ -267,17 +271,22 @@ def _with_component(rows: DataFrame, found: DataFrame) -> DataFrame:
 def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
     """Links between classes of one bucket that the check finds, such that all it would find are connected.
 
-    ``met`` has (bucket, cls).  Whatever hangs together over buckets is first held against
-    itself block by block and against one block.  Buckets that hold several components
-    after that are looked at by components: all of the bucket's largest one against all
-    of the others, and the others' members in the bucket against each other.
+    ``met`` has (bucket, cls).  What hangs together over buckets is held against itself, all
+    of it if that is up to ``WHOLE`` blocks, else block by block and against one block.
+    Buckets that hold several components after that are looked at by components: all of
+    the bucket's largest one against all of the others, and the others' members in the
+    bucket against each other.
     """
     signed = classes.select("cls", "n", "signature", F.lit(1).alias("weight"))
     heads = met.groupBy("bucket").agg(F.count("*").alias("size"), F.min("cls").alias("head")).where("size > 1").select("bucket", "head")
-    shared = written(met.join(heads, "bucket"), "nearcopies-shared")
-    whole = components(shared.where("cls != head").select("cls", "head").distinct(), "cls", "head")
-    first = _met_first(signed.join(whole.select(F.col("node").alias("cls"), F.col("component").alias("key")), "cls"), check, limit)
+    shared = met.join(heads, "bucket")
+    whole = written(components(shared.where("cls != head").select("cls", "head").distinct(), "cls", "head").select(F.col("node").alias("cls"), F.col("component").alias("key")), "nearcopies-whole")
+    first = _met_first(signed.join(whole, "cls"), check, limit, WHOLE)
+    large = whole.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") >= WHOLE * limit).select("key")
+    if large.isEmpty():
+        return first
 
+    shared = shared.join(whole.join(large, "key").select("cls"), "cls")
     known = written(_with_component(classes.select("cls"), components(first)), "nearcopies-known")
     held = shared.select("bucket", "cls").join(known, "cls")
     parts = held.groupBy("bucket", "component").agg(F.count("*").alias("size"))
@@ -302,7 +311,7 @@ def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
 
 def _links(candidates: DataFrame, check, limit: int) -> DataFrame:
     """Links that the check finds in groups (key), such that all it would find are connected."""
-    first = _met_first(candidates, check, limit)
+    first = _met_first(candidates, check, limit, 1)
     # Groups of one block are done; in the others, whatever is outside of the largest component meets all.
     large = candidates.groupBy("key").agg(F.sum("weight").alias("total")).where(F.col("total") >= limit).select("key")
     if large.isEmpty():
@@ -321,7 +330,7 @@ def near_copies(
     n: int = 4,
     percent: int = 80,
     miss: float = 1e-7,
-    bucket: int = 1024,
+    bucket: int = 4096,
     block: int = 200_000,
     seed: int = 12,
 ) -> DataFrame:
@@ -350,8 +359,9 @@ def near_copies(
     )
 
     # The text with a class's least id lends its set, or one without an id if no other has one.
+    # The ids grow with the input: they are not broadcast, however few.
     lender = grouped.select(F.col("least_id").alias("lent_id"), F.col("hi").alias("own_hi"), F.col("lo").alias("own_lo"))
-    lent = rows.join(lender.select("lent_id").distinct(), F.col("row_id").eqNullSafe(F.col("lent_id")), "left_semi")
+    lent = rows.join(lender.select("lent_id").distinct().hint("merge"), F.col("row_id").eqNullSafe(F.col("lent_id")), "left_semi")
     sets = lent.mapInArrow(_shingled(n), SETS).select("hi", "lo", "shingles").dropDuplicates(["hi", "lo"])
     candidates = sets.join(grouped, ["hi", "lo"]).select("key", "cls", "n", "signature", "shingles", F.col("n").alias("weight"))
     links = _links(candidates, _proven(percent, miss), block)
