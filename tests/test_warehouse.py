@@ -26,7 +26,7 @@ def warehouse(spark, tmp_path):
 
 
 def test_schemas_of_all_tables():
-    assert len(schemas.TABLES) == 9 + 8 + 3 + 1 + 4 + 6 + 2 + 1
+    assert len(schemas.TABLES) == 9 + 8 + 3 + 1 + 4 + 6 + 3 + 1
     assert schemas.TABLES["dw.dimDevice"].names[-1] == "isCurrent"
     assert len(schemas.TABLES["dw.dimDateQuarterHour"]) == 18
 

@@ -36,7 +36,11 @@ def rounded_mean(values: Column, divisor: int) -> Column:
     value of s / (n * divisor) is (2|s| + n * divisor) div (2 * n * divisor) with
     the sign of s, all in BIGINT.
     """
-    total = F.sum(values.cast("bigint"))
-    scaled = F.count(values) * F.lit(divisor).cast("bigint")
+    return rounded_mean_of_parts(F.sum(values.cast("bigint")), F.count(values), divisor)
+
+
+def rounded_mean_of_parts(total: Column, count: Column, divisor: int) -> Column:
+    """The same from a sum and a count that were computed earlier."""
+    scaled = count * F.lit(divisor).cast("bigint")
     magnitude = quotient(F.abs(total) * 2 + scaled, scaled * 2)
     return F.when(total < 0, -magnitude).otherwise(magnitude)

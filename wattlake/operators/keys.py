@@ -9,6 +9,8 @@ rows, so a retried task or a repeated run assigns the same keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,36 @@ def next_start(table: DataFrame, sk: str) -> Column:
     return F.greatest(highest, F.lit(0)).cast("bigint")
 
 
+def with_ordered_keys(
+    df: DataFrame,
+    sk: str,
+    order_by: list[str],
+    keep: Callable[[DataFrame], DataFrame],
+    start: Column | int = 0,
+) -> DataFrame:
+    """Add ``sk`` = start + 1, start + 2, ... that rises with ``order_by`` (NULLs first).
+
+    Rows are dealt into ranges of their order; a partition's keys follow those of the
+    partitions before it.  ``keep`` stores rows and reads them back: ``df`` is evaluated
+    once, and the ranges stay as they were numbered.  Rows that ``order_by`` does not tell
+    apart are ordered by a hash of all their columns and dealt out, so neither a common
+    prefix nor a repeated row fills one task.
+    """
+    start = F.lit(start) if isinstance(start, int) else start
+    by = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("__tie"), F.col("__spread")]
+    rows = keep(df.withColumn("__tie", F.xxhash64(*df.columns)).withColumn("__spread", F.rand(17)))
+    laid = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("__tie", "__spread")
+    laid = keep(laid.withColumn("__at", F.monotonically_increasing_id()))
+    # One row for each range; the number of a row in its range is in the low bits.
+    part = F.shiftright("__at", 33)
+    sizes = laid.groupBy(part.alias("__part")).agg(F.min("__at").alias("__begin"), F.count(F.lit(1)).alias("__rows"))
+    ahead = F.sum("__rows").over(Window.orderBy("__part")) - F.col("__rows")
+    sizes = sizes.select("__part", "__begin", ahead.alias("__ahead"))
+    key = start.cast("bigint") + F.col("__ahead") + F.col("__at") - F.col("__begin") + 1
+    joined = laid.join(sizes, part == F.col("__part")).withColumn(sk, key.cast("bigint"))
+    return joined.drop("__at", "__part", "__begin", "__ahead")
+
+
 def with_surrogate_keys(
     df: DataFrame,
     sk: str,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,6 +75,38 @@ def visit_order(part_path):
     return F.transform(F.split(part_path, r"\."), lambda n: -n.cast("int"))
 
 
+def walk_parts(messages: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All parts of nested messages at any depth, flat, with their path in the tree.
+
+    ``messages`` has ``message_id`` and ``payload``, the JSON of the outermost part: its
+    ``filename``, its ``body`` with ``data`` or ``attachmentId``, and its ``parts``, which are
+    built alike.  The tree is walked level by level until a level has no parts; ``keep``
+    stores a level and reads it back, so that each is parsed once.  A payload that is not
+    JSON has no parts.
+    """
+    root = F.try_parse_json("payload").alias("part")
+    level = keep(messages.select("message_id", F.lit("0").alias("part_path"), root).filter(F.col("part").isNotNull()))
+    levels = []
+    while not level.isEmpty():
+        levels.append(level)
+        inner = F.posexplode(F.try_variant_get("part", "$.parts", "array<variant>")).alias("number", "inner")
+        children = level.select("message_id", "part_path", inner)
+        path = F.concat("part_path", F.lit("."), F.col("number").cast("string")).alias("part_path")
+        level = keep(children.select("message_id", path, F.col("inner").alias("part")))
+    found = reduce(DataFrame.unionByName, levels or [level])
+
+    def told(path: str):
+        return F.try_variant_get("part", path, "string")
+
+    return found.select(
+        "message_id",
+        "part_path",
+        told("$.filename").alias("filename"),
+        told("$.body.data").alias("data"),
+        told("$.body.attachmentId").alias("attachment_id"),
+    )
+
+
 def flatten_parts(parts: DataFrame, attachments: DataFrame) -> DataFrame:
     """(message_id, part_path, filename, body) of all named parts with content.
 
@@ -106,12 +140,14 @@ def first_attachment(
     """(message_id, file_name, body): the first attachment of every message.
 
     ``received`` holds the arrival of each message in epoch milliseconds.  The
-    choice is a mergeable aggregate, so a message with very many parts is reduced
-    before the shuffle.
+    choice is a mergeable aggregate over paths, so a message with very many parts is
+    reduced before the shuffle; a body is only fetched for the path that was chosen.
     """
-    firsts = flat.groupBy("message_id").agg(
-        F.min_by("body", visit_order(F.col("part_path"))).alias("body")
+    chosen = flat.groupBy(F.col("message_id").alias("__message")).agg(
+        F.min(F.struct(visit_order(F.col("part_path")).alias("order"), F.col("part_path").alias("path"))).alias("__first")
     )
+    same = (F.col("message_id") == F.col("__message")) & (F.col("part_path") == F.col("__first.path"))
+    firsts = flat.join(chosen, same).dropDuplicates(["message_id"]).select("message_id", "body")
     stamp = F.date_format(
         local_time_of_millis(F.col("internal_date"), zone), "yyyy-MM-dd_HH-mm-ss"
     )
@@ -120,13 +156,3 @@ def first_attachment(
         F.concat(F.lit(stem), stamp, F.lit(CSV)).alias("file_name"),
         "body",
     )
-
-
-def write_objects(exports: DataFrame, path: str) -> None:
-    """Store exported attachments as (object_key, body) rows, by the key's first part.
-
-    Rows go through Spark's own writer, so any store that Spark writes to will do, and
-    a repeated task does no harm.
-    """
-    prefix = F.substring_index("object_key", "/", 1)
-    exports.withColumn("prefix", prefix).write.mode("overwrite").partitionBy("prefix").parquet(path)

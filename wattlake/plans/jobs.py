@@ -20,6 +20,7 @@ from wattlake.operators import (
     etl_log,
     facts,
     history,
+    hours,
     location,
     scd,
     upsert,
@@ -210,8 +211,8 @@ def warehouse_load(
 ) -> None:
     """One incremental load, from the operational tables to the facts.
 
-    Staging, dimensions, facts, quarantine and the log row that says how far they go are
-    published together.
+    Staging, dimensions, facts, quarantine, the hours' states and the log row that says
+    how far they go are published together.
     """
 
     def audit(signal: str, status: str | None = None) -> None:
@@ -241,6 +242,8 @@ def warehouse_load(
         loaded, rejected = facts.load_facts(staging)
         run.write("dw.factDeviceMeasurement", loaded)
         run.write("dw.factDeviceMeasurementQuarantine", rejected)
+        added = run.written("dw.factDeviceMeasurement")
+        run.write("dw.hourStates", hours.hour_states(added, run.read("dw.dimDateQuarterHour")))
         run.write(
             "acq.etlLoggingTable", etl_log.log_activity(staging, log, f"load {load}", USAGE, start_sk)
         )

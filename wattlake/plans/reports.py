@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.numeric import int_avg, int_avg_of_parts, quotient, rounded_mean
@@ -158,15 +158,52 @@ def last_seven_days_hourly(
         "dateTimeIK", "DateTime", "IsWeekend", "IsLeapYear"
     )
     in_range = F.col("dataPointDateIK") >= recent.agg(F.min("dateTimeIK")).scalar()
+    joined = facts.filter(in_range).join(
+        recent, F.col("dataPointDateIK") == F.col("dateTimeIK")
+    )
+    signal, watts, samples = (
+        F.col("deviceSignalStrength"),
+        quotient(F.col("devicePowerUsage"), 1000),
+        F.col("dataPointSampleSize"),
+    )
+    parts = {
+        "signal": (F.sum(signal.cast("bigint")), F.count(signal)),
+        "watts": (F.sum(watts.cast("bigint")), F.count(watts)),
+        "samples": (F.sum(samples.cast("bigint")), F.count(samples)),
+    }
+    return _by_attributes(joined, (dim_device, dim_location, dim_power_scales, dim_status), parts)
+
+
+def last_seven_days_of_hours(
+    states: DataFrame,
+    dim_device: DataFrame,
+    dim_location: DataFrame,
+    dim_power_scales: DataFrame,
+    dim_status: DataFrame,
+    dates: DataFrame,
+    as_of: dt.datetime,
+) -> DataFrame:
+    """The same report from stored hour states; only the states of its days are read."""
+    first = days_before(as_of, 7)
+    recent = dates.filter(F.col("Date").cast("timestamp_ntz") > first)
+    recent = recent.select(F.col("dateTimeHour").alias("__hour"), "DateTime", "IsWeekend", "IsLeapYear").distinct()
+    in_range = F.col("hourDay") >= F.to_date(first)
+    joined = states.filter(in_range).join(recent, F.col("dateTimeHour") == F.col("__hour"))
+    parts = {name: (F.sum(f"{name}Sum"), F.sum(f"{name}Count")) for name in ("signal", "watts", "samples")}
+    return _by_attributes(joined, (dim_device, dim_location, dim_power_scales, dim_status), parts)
+
+
+def _by_attributes(
+    joined: DataFrame, dimensions: tuple[DataFrame, ...], parts: dict[str, tuple[Column, Column]]
+) -> DataFrame:
+    """Sums and counts grouped by the attributes of the dimensions and the hour, as averages."""
+    dim_device, dim_location, dim_power_scales, dim_status = dimensions
     shown = [
         (dim_device, "deviceIK", "dimDeviceIK", DEVICE_ATTRIBUTES, DEVICE_HIDDEN),
         (dim_location, "LocationIK", "dimLocationIK", LOCATION_ATTRIBUTES, []),
         (dim_power_scales, "powerScaleIK", "dimPowerScalesIK", SCALE_ATTRIBUTES, []),
         (dim_status, "statusIK", "dimStatusListIK", STATUS_ATTRIBUTES, []),
     ]
-    joined = facts.filter(in_range).join(
-        recent, F.col("dataPointDateIK") == F.col("dateTimeIK")
-    )
     for dimension, sk, foreign_key, attributes, hidden in shown:
         members = broadcast_if_small(
             equal_members(dimension, sk, attributes + hidden, f"__{sk}"),
@@ -174,18 +211,11 @@ def last_seven_days_hourly(
         )
         joined = joined.join(members, F.col(foreign_key) == F.col(sk)).drop(sk)
 
-    def parts(value, name):
-        return [
-            F.sum(value.cast("bigint")).alias(f"__sum_{name}"),
-            F.count(value).alias(f"__count_{name}"),
-        ]
-
     grouped = joined.groupBy(
         *[f"__{sk}" for _, sk, *_ in shown], "DateTime", "IsWeekend", "IsLeapYear"
     ).agg(
-        *parts(F.col("deviceSignalStrength"), "signal"),
-        *parts(quotient(F.col("devicePowerUsage"), 1000), "watts"),
-        *parts(F.col("dataPointSampleSize"), "samples"),
+        *[total.alias(f"__sum_{name}") for name, (total, _) in parts.items()],
+        *[count.alias(f"__count_{name}") for name, (_, count) in parts.items()],
     )
     for dimension, sk, _, attributes, _ in shown:
         grouped = grouped.join(

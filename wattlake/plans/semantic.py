@@ -52,9 +52,12 @@ class Measure:
     divisor: float | None = None
 
     def value(self) -> Column:
-        total = F.sum(f"__sum_{self.column}")
+        """Aggregate: the measure of partial sums and counts."""
+        return self.finished(F.sum(f"__sum_{self.column}"), F.sum(f"__count_{self.column}"))
+
+    def finished(self, total: Column, count: Column) -> Column:
         if self.kind == "average":
-            return total / F.nullif(F.sum(f"__count_{self.column}"), F.lit(0))
+            return total / F.nullif(count, F.lit(0))
         return total / F.lit(self.divisor) if self.divisor else total
 
 
@@ -169,6 +172,14 @@ MEASURES = {
 AVERAGED_COLUMNS = {(USAGE, "Signal Strength"), (USAGE, "Power Usage (milliWatts)")}
 
 
+def hierarchy_columns(name: str) -> list[str]:
+    """The levels of a hierarchy, the highest first."""
+    for table in TABLES.values():
+        if name in table.hierarchies:
+            return table.hierarchies[name]
+    raise ValueError(f"no hierarchy {name!r}")
+
+
 class Model:
     """Reports over a set of warehouse DataFrames, keyed by source name."""
 
@@ -269,13 +280,23 @@ class Model:
         by, where = list(by), where or {}
         spec = TABLES[fact]
         chosen = {name: self.measure(fact, name) for name in measures}
+        joined = self._grouped(fact, list(chosen.values()), by, where)
+        columns = [F.col(f"`{c}`") for c in by]
+        values = [m.value().alias(name) for name, m in chosen.items()]
+        if rollup:
+            return joined.rollup(*columns).agg(F.grouping_id().alias("level"), *values)
+        return joined.groupBy(*columns).agg(*values)
+
+    def _grouped(self, fact: str, chosen: list[Measure], by: list[str], where: dict[str, object]) -> DataFrame:
+        """Sums and counts by the keys of the dimensions, with the dimension columns beside them."""
+        spec = TABLES[fact]
         mentioned: dict[str, list[str]] = {}
         for name in dict.fromkeys([*by, *where]):
             mentioned.setdefault(self.owner(name), []).append(name)
         keys = {d: fk for fk, d in spec.relationships.items() if d in mentioned}
 
         parts = []
-        for column in dict.fromkeys(m.column for m in chosen.values()):
+        for column in dict.fromkeys(m.column for m in chosen):
             parts.append(F.sum(F.col(column).cast("bigint")).alias(f"__sum_{column}"))
             parts.append(F.count(column).alias(f"__count_{column}"))
         facts = self._restrict(self.source(fact), keys, where)
@@ -284,12 +305,44 @@ class Model:
             joined = self._join(joined, foreign_key, dimension, mentioned[dimension])
         for name, condition in where.items():
             joined = joined.filter(_condition(F.col(f"`{name}`"), condition))
+        return joined
 
-        columns = [F.col(f"`{c}`") for c in by]
-        values = [m.value().alias(name) for name, m in chosen.items()]
-        if rollup:
-            return joined.rollup(*columns).agg(F.grouping_id().alias("level"), *values)
-        return joined.groupBy(*columns).agg(*values)
+    def finest(self, fact: str, measures: list[str], hierarchies: list[str]) -> DataFrame:
+        """Partial sums at the lowest level of several hierarchies at once.
+
+        Facts are read here and nowhere else: :meth:`levels` builds every level of each
+        hierarchy from this table.  It is meant to be stored; it has a row for each
+        combination of the lowest members that occurs.
+        """
+        by = [c for h in hierarchies for c in hierarchy_columns(h)]
+        joined = self._grouped(fact, [self.measure(fact, name) for name in measures], by, {})
+        parts = [c for c in joined.columns if c.startswith(("__sum_", "__count_"))]
+        totals = [F.sum(c).alias(c) for c in parts]
+        return joined.groupBy(*[F.col(f"`{c}`") for c in by]).agg(F.count(F.lit(1)).alias("__rows"), *totals)
+
+    def levels(self, finest: DataFrame, fact: str, measures: list[str], hierarchy: str) -> DataFrame:
+        """A rolled-up report over a hierarchy, each level summed up from the one below it.
+
+        The same rows as :meth:`drill`, without expanding every row once for each level.
+        """
+        by = hierarchy_columns(hierarchy)
+        totals = [F.sum(c).alias(c) for c in finest.columns if c.startswith("__")]
+        chosen = {name: self.measure(fact, name) for name in measures}
+        values = [
+            m.finished(F.col(f"__sum_{m.column}"), F.col(f"__count_{m.column}")).alias(name)
+            for name, m in chosen.items()
+        ]
+        child, out = finest, None
+        for kept in range(len(by), -1, -1):
+            child = child.groupBy(*[F.col(f"`{c}`") for c in by[:kept]]).agg(*totals)
+            members = [F.col(f"`{c}`") for c in by[:kept]]
+            members += [F.lit(None).cast(finest.schema[c].dataType).alias(c) for c in by[kept:]]
+            # A total over no rows is no row.
+            level = child.filter(F.col("__rows") > 0).select(
+                *members, F.lit(2 ** (len(by) - kept) - 1).cast("bigint").alias("level"), *values
+            )
+            out = level if out is None else out.unionByName(level)
+        return out
 
     def _restrict(
         self, facts: DataFrame, keys: dict[str, str], where: dict[str, object]
@@ -316,12 +369,7 @@ class Model:
 
     def drill(self, fact: str, measures: list[str], hierarchy: str, **options) -> DataFrame:
         """A rolled-up report over the levels of a hierarchy."""
-        for table in TABLES.values():
-            if hierarchy in table.hierarchies:
-                return self.report(
-                    fact, measures, table.hierarchies[hierarchy], rollup=True, **options
-                )
-        raise ValueError(f"no hierarchy {hierarchy!r}")
+        return self.report(fact, measures, hierarchy_columns(hierarchy), rollup=True, **options)
 
     def members(self, column: str) -> DataFrame:
         """The distinct values of a dimension column in their display order."""

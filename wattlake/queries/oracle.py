@@ -446,6 +446,8 @@ oracle(
         deviceFirstSeenDate, locationName, locationFloor, locationRoom, unitOfPower, statusLabel,
         statusNumberRepresentation, "DateTime", IsWeekend, IsLeapYear""",
 )
+oracle("fact_by_hour_of_loads", ["hourly"], "SELECT * FROM hourly")
+ORACLE["last_seven_days_of_loads"] = ORACLE["last_seven_days_hourly"]
 oracle(
     "denormalized_report",
     ["t_usage", "t_device", "t_network", "t_types", "t_status", "t_locations"],
@@ -1022,6 +1024,25 @@ oracle(
       GROUP BY ROLLUP (year, month, day_of_month, hour_of_day)""",
 )
 
+oracle(
+    "rollup_lattice",
+    ["hourly", *DIMENSIONS],
+    f"""SELECT 'Location Hierarchy' AS hierarchy, CAST(grouping(locationFloor, locationRoom, locationName) AS BIGINT) AS level,
+        locationFloor AS member_1, locationRoom AS member_2, locationName AS member_3, CAST(NULL AS VARCHAR) AS member_4,
+        CAST(sum(devicePowerUsageWatts) AS BIGINT) AS watt_hours_used,
+        avg(dataPointSampleSize) AS average_sample_size, {KWH} AS kw_hours_used
+      FROM hourly {STAR} GROUP BY ROLLUP (locationFloor, locationRoom, locationName)
+      UNION ALL
+      SELECT 'Simple Date Hierarchy', CAST(grouping(year, month, day_of_month, hour_of_day) AS BIGINT),
+        CAST(year AS VARCHAR), month, day_of_month, hour_of_day, CAST(sum(devicePowerUsageWatts) AS BIGINT),
+        avg(dataPointSampleSize), {KWH}
+      FROM (SELECT d_date."Year" AS year, MonthName AS month,
+              strftime(d_date."DateTime", '%Y%m%d') AS day_of_month,
+              {HOUR_LABEL.format(ts='d_date."DateTime"')} AS hour_of_day, devicePowerUsageWatts, dataPointSampleSize
+            FROM hourly {STAR})
+      GROUP BY ROLLUP (year, month, day_of_month, hour_of_day)""",
+)
+
 # --- mail ------------------------------------------------------------------------------------------
 
 view(
@@ -1138,3 +1159,23 @@ _USAGE_OF_WINDOWS = """SELECT mac_address AS macAddress, serial_number AS serial
        FROM closed_windows"""
 oracle("stream_upsert", ["closed_windows"], _USAGE_OF_WINDOWS)
 oracle("stream_resent_samples", ["closed_windows"], _USAGE_OF_WINDOWS)
+
+oracle(
+    "surrogate_keys_ordered",
+    [],
+    """SELECT c_custkey, c_name, 100 + row_number() OVER (ORDER BY c_name NULLS FIRST, c_custkey NULLS FIRST) AS customer_sk
+       FROM customer""",
+)
+ORACLE["mail_object_sink"] = f"""SELECT object_key, body FROM (
+  SELECT *, row_number() OVER (PARTITION BY object_key ORDER BY message_id DESC) AS place FROM ({ORACLE["mail_export"]}))
+WHERE place = 1"""
+oracle(
+    "mail_nested_parts",
+    [],
+    """SELECT message_id, '0' || repeat('.1', depth) AS part_path, 'part' || CAST(turn AS VARCHAR) || '.csv' AS filename,
+         CASE WHEN turn % 2 = 1 THEN 'stored: ' || text ELSE text END AS body
+       FROM (SELECT *, conv_id * 1000000 + turn // 8 AS message_id,
+               CAST(row_number() OVER (PARTITION BY conv_id, turn // 8 ORDER BY turn, text) - 1 AS INTEGER) AS depth
+             FROM conversations)
+       WHERE turn % 2 = 1 OR text <> ''""",
+)

@@ -18,6 +18,7 @@ from wattlake.operators import (
     etl_log,
     facts,
     history,
+    hours,
     keys,
     location,
     mail,
@@ -26,6 +27,7 @@ from wattlake.operators import (
 )
 from wattlake.plans import jobs, reports, semantic
 from wattlake.plans.semantic import HOURLY, USAGE, Model
+from wattlake.sources import objects
 from wattlake.sources.given import AS_OF, LOAD_TS, Given
 from wattlake.sources.warehouse import Warehouse, shared_folder, staged_tables
 from wattlake.streaming import samples as streams
@@ -212,6 +214,37 @@ def fact_by_hour(given: Given) -> DataFrame:
     return reports.fact_by_hour(given.facts(), given.dim_date())
 
 
+def _hour_states(given: Given) -> DataFrame:
+    """Hour states that three loads have written, each from its own third of the facts."""
+    warehouse = Warehouse(given.spark, _scratch(given.spark, "hours"))
+    warehouse.write("dw.factDeviceMeasurement", given.facts(), "facts")
+    rows = warehouse.read("dw.factDeviceMeasurement")
+    for load in range(3):
+        part = rows.filter(F.col("deviceMeasurementIK") % 3 == load)
+        warehouse.write("dw.hourStates", hours.hour_states(part, given.dim_date()), load)
+    return warehouse.read("dw.hourStates")
+
+
+@query
+def fact_by_hour_of_loads(given: Given) -> DataFrame:
+    """The hourly view from states that loads have added up, without the facts."""
+    return hours.finish_hours(hours.merge_hours(_hour_states(given)))
+
+
+@query
+def last_seven_days_of_loads(given: Given) -> DataFrame:
+    """The seven-day report from the states of its days, without the facts."""
+    return reports.last_seven_days_of_hours(
+        _hour_states(given),
+        given.dim_device(),
+        given.dim_location(),
+        given.dim_power_scales(),
+        given.dim_status(),
+        given.dim_date(),
+        AS_OF,
+    )
+
+
 @query
 def last_seven_days_hourly(given: Given) -> DataFrame:
     return reports.last_seven_days_hourly(
@@ -356,6 +389,14 @@ def surrogate_keys(given: Given) -> DataFrame:
     return keys.with_surrogate_keys(customers, "customer_sk", ["c_name", "c_custkey"], 100)
 
 
+@query
+def surrogate_keys_ordered(given: Given) -> DataFrame:
+    """Keys that rise with the customers' names."""
+    customers = given.table("customer").select("c_custkey", "c_name")
+    keep = _keeper(given.spark, "ordered-keys")
+    return keys.with_ordered_keys(customers, "customer_sk", ["c_name", "c_custkey"], keep, 100)
+
+
 @query
 def override_seed(given: Given) -> DataFrame:
     return location.seed_overrides(given.location_override(), given.device(), LOAD_TS)
@@ -624,6 +665,34 @@ def rollup_date(given: Given) -> DataFrame:
     )
 
 
+@query
+def rollup_lattice(given: Given) -> DataFrame:
+    """Both hierarchies from one read of the facts, each level from the one below."""
+    names = ["Location Hierarchy", "Simple Date Hierarchy"]
+    measures = ["Watt Hours Used", "Average Sample Size", "kW Hours Used"]
+    built, folder = model(given), _scratch(given.spark, "lattice")
+    finest = built.finest(HOURLY, measures, names)
+    plain = {c: f"c{i}" for i, c in enumerate(finest.columns)}
+    finest.withColumnsRenamed(plain).write.parquet(folder)
+    stored = given.spark.read.parquet(folder).withColumnsRenamed({v: k for k, v in plain.items()})
+    shown = []
+    for name in names:
+        levels = built.levels(stored, HOURLY, measures, name)
+        columns = semantic.hierarchy_columns(name)
+        padded = [F.col(f"`{c}`").cast("string") for c in columns] + [F.lit(None).cast("string")] * (4 - len(columns))
+        shown.append(
+            levels.select(
+                F.lit(name).alias("hierarchy"),
+                "level",
+                *[c.alias(f"member_{i}") for i, c in enumerate(padded, 1)],
+                F.col("`Watt Hours Used`").alias("watt_hours_used"),
+                F.col("`Average Sample Size`").alias("average_sample_size"),
+                F.col("`kW Hours Used`").alias("kw_hours_used"),
+            )
+        )
+    return shown[0].unionByName(shown[1])
+
+
 # --- mail ---------------------------------------------------------------------------------
 
 
@@ -647,6 +716,25 @@ def mail_parts(given: Given) -> DataFrame:
     return flat.withColumn("body", F.decode("body", "UTF-8"))
 
 
+@query
+def mail_nested_parts(given: Given) -> DataFrame:
+    """Named parts of messages nested eight deep."""
+    flat = mail.walk_parts(given.nested_messages(), _keeper(given.spark, "mail-level"))
+    found = mail.flatten_parts(flat, given.nested_attachments())
+    return found.withColumn("body", F.decode("body", "UTF-8"))
+
+
+@query
+def mail_object_sink(given: Given) -> DataFrame:
+    """Exported attachments, read back from the objects they were stored as."""
+    chosen = mail.select_mail(given.messages(), MAIL_SENDER, MAIL_FIRST_DAY, MAIL_LAST_DAY)
+    exported = mail.export_attachments(chosen, MAIL_PREFIX)
+    folder = _scratch(given.spark, "objects")
+    objects.write_objects(exported, folder)
+    stored = objects.read_objects(exported.select("object_key").distinct(), folder)
+    return stored.withColumn("body", F.decode("body", "UTF-8"))
+
+
 @query
 def mail_first_attachment(given: Given) -> DataFrame:
     flat = mail.flatten_parts(given.parts(), given.attachments())
@@ -666,6 +754,17 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _keeper(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that stores rows in a new folder and reads them back."""
+
+    def keep(df: DataFrame) -> DataFrame:
+        folder = _scratch(spark, name)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
+    return keep
+
+
 def _drain(stream: DataFrame, folder: str) -> DataFrame:
     """Run a stream over everything available and return what it wrote."""
     started = (

@@ -141,6 +141,14 @@ _DDL: dict[str, str] = {
         deviceTemperatureSettingSum BIGINT, deviceTemperatureSettingCount BIGINT NOT NULL,
         deviceCurrentTemperatureSum BIGINT, deviceCurrentTemperatureCount BIGINT NOT NULL,
         stateLoad BIGINT NOT NULL, bucketDay DATE NOT NULL""",
+    "dw.hourStates": """
+        dimDeviceIK BIGINT NOT NULL, dimLocationIK BIGINT NOT NULL,
+        dimStatusListIK BIGINT NOT NULL, dimPowerScalesIK BIGINT NOT NULL,
+        dateTimeHour BIGINT NOT NULL, lastMeasurementIK BIGINT NOT NULL,
+        firstDateIK BIGINT NOT NULL, signalSum BIGINT, signalCount BIGINT NOT NULL,
+        powerSum BIGINT, powerCount BIGINT NOT NULL, wattsSum BIGINT,
+        wattsCount BIGINT NOT NULL, samplesSum BIGINT, samplesCount BIGINT NOT NULL,
+        hourDay DATE NOT NULL""",
     "dw.factDeviceMeasurementByDay": """
         deviceMeasurementIK BIGINT NOT NULL, dimDeviceIK BIGINT NOT NULL,
         dimLocationIK BIGINT NOT NULL, dimStatusListIK BIGINT NOT NULL,
@@ -152,7 +160,7 @@ _DDL: dict[str, str] = {
 }
 
 #: Tables whose files are laid out by a day, with the column that holds it.
-BY_DAY = {"dw.bucketStates": "bucketDay", "dw.factDeviceMeasurementByDay": "factDay"}
+BY_DAY = {"dw.bucketStates": "bucketDay", "dw.hourStates": "hourDay", "dw.factDeviceMeasurementByDay": "factDay"}
 
 #: Operational tables mirrored, without keys, into the staging layer.
 MIRRORED = (

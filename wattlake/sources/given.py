@@ -27,6 +27,8 @@ SEED_SQL = f"TIMESTAMP_NTZ'{SEED_TS}'"
 OLD_TS = dt.datetime(2023, 6, 1)
 #: Files that a stream takes in one batch, so that a backlog is not one batch.
 FILES_PER_BATCH = 256
+#: Turns that are nested into one message, and so its depth.
+NEST = 8
 #: The day that batch log number 1 belongs to; later days count on from it.
 LOG_EPOCH = dt.date(2024, 1, 1)
 
@@ -570,6 +572,37 @@ class Given:
             ),
         )
 
+    def nested_messages(self) -> DataFrame:
+        """One message for every eight turns, each turn's part inside the part of the one before,
+        beside a part of its own; every second turn's text is stored apart."""
+        grouped = self.table("conversations").groupBy(
+            "conv_id", F.floor(F.col("turn") / NEST).alias("chunk")
+        ).agg(F.sort_array(F.collect_list(F.struct("turn", "text")), asc=False).alias("turns"))
+
+        def part(t: Column, inner: Column) -> Column:
+            odd = t["turn"] % 2 == 1
+            body = F.struct(
+                F.when(~odd, F.translate(F.base64(t["text"].cast("binary")), "+/", "-_")).alias("data"),
+                F.when(odd, F.concat(F.lit("att"), t["turn"].cast("string"))).alias("attachmentId"),
+            )
+            name = F.concat(F.lit("part"), t["turn"].cast("string"), F.lit(".csv")).alias("filename")
+            own = F.to_json(F.struct(name, body.alias("body")))
+            beside = F.lit('{"filename":"","body":{"data":"eA"}},')
+            return F.concat(F.regexp_replace(own, r"\}$", ""), F.lit(',"parts":['), F.when(inner == "", F.lit("")).otherwise(F.concat(beside, inner)), F.lit("]}"))
+
+        payload = F.aggregate("turns", F.lit(""), lambda inner, t: part(t, inner))
+        return grouped.select((F.col("conv_id") * 1_000_000 + F.col("chunk")).alias("message_id"), payload.alias("payload"))
+
+    def nested_attachments(self) -> DataFrame:
+        """Bodies that the parts of :meth:`nested_messages` name."""
+        turn = F.col("turn")
+        data = F.translate(F.base64(F.concat(F.lit("stored: "), F.col("text")).cast("binary")), "+/", "-_")
+        return self.table("conversations").filter(turn % 2 == 1).select(
+            (F.col("conv_id") * 1_000_000 + F.floor(turn / NEST)).alias("message_id"),
+            F.concat(F.lit("att"), turn.cast("string")).alias("attachment_id"),
+            data.alias("data"),
+        )
+
     def attachments(self) -> DataFrame:
         """Bodies of parts that are stored apart."""
         turn = F.col("turn")

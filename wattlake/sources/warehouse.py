@@ -38,6 +38,7 @@ LOG_TABLES = frozenset(
         "acq.dimPowerScalesChanges",
         "acq.dimStatusListChanges",
         "dw.bucketStates",
+        "dw.hourStates",
     }
 )
 
