@@ -164,3 +164,13 @@ def test_no_lines(spark):
     assert lines.line_groups(spark.createDataFrame([], DOCS)).count() == 0
     blank = spark.createDataFrame([(1, " \n\t\n", 0, ""), (2, None, 0, "")], DOCS)
     assert lines.line_report(lines.line_groups(blank)).count() == 0
+
+
+def test_links_of_rows_without_an_id(spark):
+    """A near copy without an id counts, and a chain over it holds."""
+    words = [f"w{i}" for i in range(80)]
+    middle = [*words[:40], "x", *words[41:]]
+    last = [*middle[:60], "y", *middle[61:]]
+    rows = [(1, " ".join(words)), (None, " ".join(middle)), (9, " ".join(last)), (None, "only this one here")]
+    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id, r.n_links) for r in got} == {(1, 1, 1), (9, 1, 1), (None, 1, 2), (None, None, 0)}

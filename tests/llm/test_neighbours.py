@@ -55,3 +55,18 @@ def test_few_and_no_vectors(spark):
     assert run(spark, []) == {}
     assert run(spark, [(0, [1.0, 0.0], 0, 0)]) == {}
     assert [j for j, _ in run(spark, [(0, [1.0, 0.0], 0, 0), (3, [-1.0, 0.1], 0, 0)])[0]] == [3]
+
+
+def test_one_longer_row_changes_nothing(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(3).tolist(), 0, 0) for i in range(60)]
+    want = run(spark, rows)
+    assert len(want) == 12
+    odd = [(100, [1.0, None, 2.0, 3.0], 0, 0), (105, [1.0, 2.0, 3.0, 4.0], 0, 0), (None, [1.0, 2.0, 3.0], 0, 0), (110, [], 0, 0)]
+    assert run(spark, rows + odd) == want
+
+
+def test_rows_of_one_id_are_asked_for_apart(spark):
+    rows = [(0, [1.0, 0.0], 0, 0), (0, [0.0, 1.0], 0, 0), (1, [1.0, 0.1], 0, 0), (2, [0.1, 1.0], 0, 0)]
+    got = nearest(spark.createDataFrame(rows, ROWS), F.col("vec_id") == 0, k=2).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == [(0, 1, 1), (0, 1, 2), (0, 2, 1), (0, 2, 2)]

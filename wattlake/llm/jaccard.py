@@ -17,7 +17,8 @@ links and the class it hangs on, never the pairs.
 
 Defined cases: a text of fewer words than a shingle has one shingle of all of them;
 NULL texts and such without words link to nothing; repeated rows are separate rows of
-one class; an empty table gives an empty result; other columns are not read.
+one class; rows without an id are linked like others, and a class that only they reach has
+no id; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -218,8 +219,8 @@ def jaccard_join(
     parts = grouped.groupBy("component").agg(F.expr(f"cast(1 + sum(n) div {int(block)} as int)").alias("parts"))
     # One row of each candidate class lends its text; equal digests are equal sets.
     wanted = grouped.select(F.col("least_id").alias("row_id")).distinct()
-    lent = rows.join(wanted, "row_id").mapInArrow(_sign(n, count, seed, True), "row_id long, n long, hi long, lo long, shingles binary")
-    sets = lent.join(grouped.drop("n"), (lent["row_id"] == grouped["least_id"]) & (lent["hi"] == grouped["hi"]) & (lent["lo"] == grouped["lo"])).select(
+    lent = rows.join(wanted.withColumnRenamed("row_id", "lent_id"), F.col("row_id").eqNullSafe(F.col("lent_id")), "left_semi").mapInArrow(_sign(n, count, seed, True), "row_id long, n long, hi long, lo long, shingles binary")
+    sets = lent.join(grouped.drop("n"), lent["row_id"].eqNullSafe(grouped["least_id"]) & (lent["hi"] == grouped["hi"]) & (lent["lo"] == grouped["lo"])).select(
         "cls", "n", "shingles", "weight", "signature", "component"
     ).dropDuplicates(["cls"])
     blocked = sets.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))

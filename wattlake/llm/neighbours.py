@@ -17,10 +17,12 @@ one row of sorted arrays; queries visit the blocks under their prefix, and only
 block's best hits leave it.  Equal vectors are one entry with their ``k + 1`` smallest
 ids, which is all a search can return of them.
 
-Defined cases: NULL and zero vectors, and such with NULL or non-finite components or
-of a length other than the longest, take no part; ties go to the smaller id; fewer
-candidates than ``k`` are all returned; an empty table gives an empty result; other
-columns are not read.
+Defined cases: NULL and zero vectors, such with NULL or non-finite components, rows without
+an id, and vectors of another length than most of the others (the longer, if two lengths are
+as frequent) take no part; rows of one id with different vectors are asked for apart, each
+with ranks of its own, and are not each other's neighbours; ties go to the smaller id; fewer
+candidates than ``k`` are all returned; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def _codes(x: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return side @ (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
-def usable(vector: Column, dim: int) -> Column:
+def usable(vector: Column, dim: int | Column) -> Column:
     """No NULL, no NaN, no infinity, the right length, not all zero."""
     finite = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return vector.isNotNull() & (F.size(vector) == dim) & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda v: v != 0)
@@ -135,8 +137,10 @@ def nearest(
     single = vectors.schema[vector].dataType == T.ArrayType(T.FloatType())
     kind, stored = (np.float32, "array<float>") if single else (np.float64, "array<double>")
     rows = vectors.select(vectors[f"`{id}`"].cast("long").alias("vec_id"), vectors[f"`{vector}`"].cast(stored).alias("vector"))
-    dim = rows.agg(F.max(F.size("vector"))).first()[0] or 1
-    rows = rows.where(usable(F.col("vector"), dim))
+    rows = rows.where(usable(F.col("vector"), F.size("vector")) & F.col("vec_id").isNotNull())
+    lengths = rows.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), F.desc("length"))
+    dim = (lengths.first() or [1])[0]
+    rows = rows.where(F.size("vector") == dim)
     smallest = F.row_number().over(W.partitionBy("vector").orderBy("vec_id"))
     entries = written(
         rows.withColumn("place", smallest)
@@ -234,5 +238,5 @@ def nearest(
         ascent = ascent.withColumn("prefix", F.explode(F.sequence(first, first + under - 1)))
     found = _best(visited(ascent.select("query", "tree", "code", "prefix", "vector", "level")), k + 1)
     pairs = asked.withColumnRenamed("vec_id", "query_id").join(found, F.col("entry") == F.col("query")).where(F.col("query_id") != F.col("vec_id"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(W.partitionBy("query_id", "entry").orderBy(F.col("score").desc(), "vec_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
