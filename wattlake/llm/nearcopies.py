@@ -235,24 +235,27 @@ def _met(blocked: DataFrame, others: Column, check) -> DataFrame:
     return written(pairs.select(*read).groupBy("key", "low", "high").applyInArrow(check, "a long, b long"), "nearcopies-links")
 
 
-def _in_blocks(rows: DataFrame, limit: int) -> DataFrame:
-    """Rows with the block of their key that they are in, and how many there are."""
-    parts = rows.groupBy("key").agg(F.expr(f"cast(1 + sum(weight) div {limit} as int)").alias("parts"))
+def _in_blocks(rows: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
+    """Rows with the block of their key that they are in, and how many there are.
+
+    ``weights`` has the key and weight of every row: wide rows are not read for it.
+    """
+    parts = weights.groupBy("key").agg(F.expr(f"cast(1 + sum(weight) div {limit} as int)").alias("parts"))
     return rows.join(parts, "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
 
 
-def _met_first(rows: DataFrame, check, limit: int, whole: int) -> DataFrame:
+def _met_first(rows: DataFrame, weights: DataFrame, check, limit: int, whole: int) -> DataFrame:
     """All links in keys of up to ``whole`` blocks; in larger ones those within each block and
     with the first one, whose work grows with the key."""
-    blocked = _in_blocks(rows, limit).withColumn("component", F.col("cls"))
+    blocked = _in_blocks(rows, weights, limit).withColumn("component", F.col("cls"))
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     others = F.when((F.col("parts") <= whole) | (F.col("block") == 0), every).otherwise(F.array(F.lit(0), F.col("block")))
     return _met(blocked, others, check)
 
 
-def _met_across(rows: DataFrame, check, limit: int, guests: bool) -> DataFrame:
+def _met_across(rows: DataFrame, weights: DataFrame, check, limit: int, guests: bool) -> DataFrame:
     """Links between the guests and the others of each key, and with ``guests`` among the guests too."""
-    sizes = rows.groupBy("key").agg(
+    sizes = weights.groupBy("key").agg(
         *[F.expr(f"cast(1 + coalesce(sum(weight) FILTER (WHERE {side}), 0) div {limit} as int)").alias(name) for side, name in (("guest", "outer"), ("NOT guest", "inner"))]
     )
     spread = F.xxhash64("cls")
@@ -277,11 +280,12 @@ def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
     the bucket's largest one against all of the others, and the others' members in the
     bucket against each other.
     """
-    signed = classes.select("cls", "n", "signature", F.lit(1).alias("weight"))
+    signed = classes.select("cls", "n", "signature")
     heads = met.groupBy("bucket").agg(F.count("*").alias("size"), F.min("cls").alias("head")).where("size > 1").select("bucket", "head")
     shared = met.join(heads, "bucket")
     whole = written(components(shared.where("cls != head").select("cls", "head").distinct(), "cls", "head").select(F.col("node").alias("cls"), F.col("component").alias("key")), "nearcopies-whole")
-    first = _met_first(signed.join(whole, "cls"), check, limit, WHOLE)
+    one = F.lit(1).alias("weight")
+    first = _met_first(signed.join(whole, "cls"), whole.select("key", one), check, limit, WHOLE)
     large = whole.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") >= WHOLE * limit).select("key")
     if large.isEmpty():
         return first
@@ -297,30 +301,36 @@ def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
         return first
     main = known.join(relations.select(F.col("main").alias("component")).distinct(), "component").select(F.col("component").alias("key"), "cls", "component", F.lit(False).alias("guest"))
     guest = known.join(relations, "component").select(F.col("main").alias("key"), "cls", "component", F.lit(True).alias("guest"))
-    across = _met_across(main.unionByName(guest).join(signed, "cls"), check, limit, guests=False)
+    met = main.unionByName(guest)
+    across = _met_across(met.join(signed, "cls"), met.select("key", "guest", one), check, limit, guests=False)
 
     # Buckets in which the same classes are left are one.
     left = apart.where("kinds > 2").select("bucket", "cls", "component")
     sums = [F.count("*").alias("size"), F.min("cls").alias("first"), *(F.bit_xor(F.xxhash64(F.lit(s), "cls")).alias(f"sum{s}") for s in (1, 2))]
     kinds = left.groupBy("bucket").agg(*sums).groupBy("size", "first", "sum1", "sum2").agg(F.min("bucket").alias("bucket")).select("bucket")
     rest = left.join(kinds, "bucket").select(F.col("bucket").alias("key"), "cls", "component")
-    blocked = _in_blocks(rest.join(signed, "cls"), limit)
+    blocked = _in_blocks(rest.join(signed, "cls"), rest.select("key", one), limit)
     among = _met(blocked, F.sequence(F.lit(0), F.col("parts") - 1), check)
     return first.unionByName(across).unionByName(among)
 
 
-def _links(candidates: DataFrame, check, limit: int) -> DataFrame:
-    """Links that the check finds in groups (key), such that all it would find are connected."""
-    first = _met_first(candidates, check, limit, 1)
+def _links(candidates: DataFrame, grouped: DataFrame, check, limit: int) -> DataFrame:
+    """Links that the check finds in groups (key), such that all it would find are connected.
+
+    ``grouped`` has key, cls and weight of the candidates, without their sets.
+    """
+    first = _met_first(candidates, grouped, check, limit, 1)
     # Groups of one block are done; in the others, whatever is outside of the largest component meets all.
-    large = candidates.groupBy("key").agg(F.sum("weight").alias("total")).where(F.col("total") >= limit).select("key")
+    large = grouped.groupBy("key").agg(F.sum("weight").alias("total")).where(F.col("total") >= limit).select("key")
     if large.isEmpty():
         return first
-    known = _with_component(candidates.join(large, "key"), components(first))
+    known = _with_component(grouped.join(large, "key"), components(first))
     sizes = known.groupBy("key", "component").agg(F.sum("weight").alias("held"))
     mains = sizes.groupBy("key").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = known.join(mains, "key").withColumn("guest", F.col("component") != F.col("main"))
-    return first.unionByName(_met_across(mixed, check, limit, guests=True))
+    mixed = written(known.join(mains, "key").select("key", "cls", "component", "weight", (F.col("component") != F.col("main")).alias("guest")), "nearcopies-mixed")
+    if mixed.isEmpty():
+        return first
+    return first.unionByName(_met_across(candidates.drop("key").join(mixed, "cls"), mixed, check, limit, guests=True))
 
 
 def near_copies(
@@ -363,8 +373,8 @@ def near_copies(
     lender = grouped.select(F.col("least_id").alias("lent_id"), F.col("hi").alias("own_hi"), F.col("lo").alias("own_lo"))
     lent = rows.join(lender.select("lent_id").distinct().hint("merge"), F.col("row_id").eqNullSafe(F.col("lent_id")), "left_semi")
     sets = lent.mapInArrow(_shingled(n), SETS).select("hi", "lo", "shingles").dropDuplicates(["hi", "lo"])
-    candidates = sets.join(grouped, ["hi", "lo"]).select("key", "cls", "n", "signature", "shingles", F.col("n").alias("weight"))
-    links = _links(candidates, _proven(percent, miss), block)
+    candidates = sets.join(grouped, ["hi", "lo"]).select("key", "cls", "n", "signature", "shingles")
+    links = _links(candidates, grouped.select("key", "cls", F.col("n").alias("weight")), _proven(percent, miss), block)
 
     owners = classes.select("hi", "lo", "cls", "least_id").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
     owners = written(owners.withColumn("component", F.coalesce("component", "cls")), "nearcopies-owners")
