@@ -85,14 +85,24 @@ def test_quarter_hours_close_after_the_delay(spark, tmp_path):
 
 def test_scratch_goes_to_the_folder_the_session_names(spark, tmp_path, monkeypatch):
     from wattlake.queries import registry
+    from wattlake.sources import warehouse
 
-    named = registry.shared_folder(spark)
+    named = warehouse.shared_folder(spark)
     assert named == spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    monkeypatch.setattr(registry, "shared_folder", lambda session: f"{tmp_path}/")
+    monkeypatch.setattr(warehouse, "shared_folder", lambda session: f"{tmp_path}/")
     first, second = registry._scratch(spark, "x"), registry._scratch(spark, "x")
     assert first.startswith(f"{tmp_path}/x-") and first != second
-    monkeypatch.setattr(registry, "shared_folder", lambda session: None)
-    assert registry._scratch(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    monkeypatch.setattr(warehouse, "shared_folder", lambda session: None)
+    assert registry._scratch(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/"))
+
+    class Cluster:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="executors share"):
+        warehouse.scratch_folder(Cluster())
 
 
 def test_samples_sent_again_count_once(spark, tmp_path):

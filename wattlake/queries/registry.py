@@ -29,7 +29,7 @@ from wattlake.plans import jobs, reports, semantic
 from wattlake.plans.semantic import HOURLY, USAGE, Model
 from wattlake.sources import objects
 from wattlake.sources.given import AS_OF, LOAD_TS, Given
-from wattlake.sources.warehouse import Warehouse, shared_folder, staged_tables
+from wattlake.sources.warehouse import Warehouse, refresh_stage, scratch_folder
 from wattlake.streaming import samples as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,27 +59,31 @@ def query(function: Callable[[Given], DataFrame]) -> Callable[[Given], DataFrame
 
 @query
 def stage_refresh(given: Given) -> DataFrame:
-    """Rows and highest key of every staged copy of an operational table."""
-    tables = staged_tables(
-        {
-            "deviceTypes": given.device_types(),
-            "locations": given.locations(),
-            "networkMetadata": given.network_metadata(),
-            "powerScales": given.power_scales(),
-            "statusList": given.status_list(),
-            "deviceFirmware": given.device_firmware(),
-            "IoTDevice": given.device(),
-            "deviceUsageData": given.usage(),
-        }
-    )
-    counts = [
-        df.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.max(df.columns[0]).alias("max_key"),
+    """Rows and highest key of every staging table that a refresh has written."""
+    warehouse = Warehouse(given.spark, _scratch(given.spark, "stage"))
+    operational = {
+        "deviceTypes": given.device_types(),
+        "locations": given.locations(),
+        "networkMetadata": given.network_metadata(),
+        "powerScales": given.power_scales(),
+        "statusList": given.status_list(),
+        "deviceFirmware": given.device_firmware(),
+        "IoTDevice": given.device(),
+        "deviceUsageData": given.usage(),
+    }
+    for name, df in operational.items():
+        warehouse.write(f"dbo.{name}", df, "given")
+    warehouse.run("refresh", refresh_stage)
+    counts = []
+    for name in operational:
+        staged = warehouse.read(f"acq.{name}")
+        counts.append(
+            staged.agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.max(staged.columns[0]).alias("max_key"),
+            )
         )
-        for name, df in tables.items()
-    ]
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -360,13 +364,17 @@ def upsert_device_type(given: Given) -> DataFrame:
 
 @query
 def upsert_device(given: Given) -> DataFrame:
-    """Every second device is known; the lookups hold what the samples name."""
-    averages = given.averages()
+    """Every second device is known; the lookups hold what the samples name.
+
+    Averages and types are stored first, as a load does it: every step reads them.
+    """
+    keep = _keeper(given.spark, "upsert-device")
+    averages = keep(given.averages())
     return upsert.upsert_device(
         given.device().filter(F.col("deviceSK") % 2 == 1),
         averages,
         given.device_firmware(),
-        upsert.upsert_device_type(given.device_types(), averages),
+        keep(upsert.upsert_device_type(given.device_types(), averages)),
         given.network_metadata(),
         LOAD_TS,
     )
@@ -419,7 +427,9 @@ def location_assign(given: Given) -> DataFrame:
 
 @query
 def scd2_device(given: Given) -> DataFrame:
-    return scd.scd2_apply(given.dim_device(), given.changed_devices(), scd.DEVICE, LOAD_TS)
+    """The source is stored first, as staging is."""
+    source = _keeper(given.spark, "scd2-device")(given.changed_devices())
+    return scd.scd2_apply(given.dim_device(), source, scd.DEVICE, LOAD_TS)
 
 
 @query
@@ -746,12 +756,8 @@ def mail_first_attachment(given: Given) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, or below the warehouse where none is named.
-
-    Executors share both.
-    """
-    shared = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below one that executors share."""
+    return f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _keeper(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:

@@ -303,3 +303,18 @@ def shared_folder(spark: SparkSession) -> str | None:
     """The folder all executors share, as the session or its context names it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     return named or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder, or the warehouse folder where none is named.
+
+    On a cluster a warehouse folder on the local disk is refused: executors would not see
+    each other's files there.
+    """
+    named = shared_folder(spark)
+    if named:
+        return named
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that executors share in spark.checkpoint.dir")
+    return folder
