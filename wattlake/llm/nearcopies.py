@@ -285,7 +285,8 @@ def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
     shared = met.join(heads, "bucket")
     whole = written(components(shared.where("cls != head").select("cls", "head").distinct(), "cls", "head").select(F.col("node").alias("cls"), F.col("component").alias("key")), "nearcopies-whole")
     one = F.lit(1).alias("weight")
-    first = _met_first(signed.join(whole, "cls"), whole.select("key", one), check, limit, WHOLE)
+    # Lists of classes grow with the input: they are not broadcast, however short.
+    first = _met_first(signed.join(whole.hint("merge"), "cls"), whole.select("key", one), check, limit, WHOLE)
     large = whole.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") >= WHOLE * limit).select("key")
     if large.isEmpty():
         return first
@@ -302,7 +303,7 @@ def _ties(classes: DataFrame, met: DataFrame, check, limit: int) -> DataFrame:
     main = known.join(relations.select(F.col("main").alias("component")).distinct(), "component").select(F.col("component").alias("key"), "cls", "component", F.lit(False).alias("guest"))
     guest = known.join(relations, "component").select(F.col("main").alias("key"), "cls", "component", F.lit(True).alias("guest"))
     met = main.unionByName(guest)
-    across = _met_across(met.join(signed, "cls"), met.select("key", "guest", one), check, limit, guests=False)
+    across = _met_across(met.hint("merge").join(signed, "cls"), met.select("key", "guest", one), check, limit, guests=False)
 
     # Buckets in which the same classes are left are one.
     left = apart.where("kinds > 2").select("bucket", "cls", "component")
@@ -373,7 +374,7 @@ def near_copies(
     lender = grouped.select(F.col("least_id").alias("lent_id"), F.col("hi").alias("own_hi"), F.col("lo").alias("own_lo"))
     lent = rows.join(lender.select("lent_id").distinct().hint("merge"), F.col("row_id").eqNullSafe(F.col("lent_id")), "left_semi")
     sets = lent.mapInArrow(_shingled(n), SETS).select("hi", "lo", "shingles").dropDuplicates(["hi", "lo"])
-    candidates = sets.join(grouped, ["hi", "lo"]).select("key", "cls", "n", "signature", "shingles")
+    candidates = written(sets.join(grouped, ["hi", "lo"]).select("key", "cls", "n", "signature", "shingles"), "nearcopies-candidates")
     links = _links(candidates, grouped.select("key", "cls", F.col("n").alias("weight")), _proven(percent, miss), block)
 
     owners = classes.select("hi", "lo", "cls", "least_id").join(components(links).withColumnRenamed("node", "cls"), "cls", "left")
