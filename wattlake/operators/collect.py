@@ -44,16 +44,28 @@ def device_hardware(samples: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def sample_aggregates() -> list[Column]:
-    """Aggregates of one averaged row in one step, as a stream keeps them."""
+def sample_parts() -> list[Column]:
+    """Numbers of samples that add up."""
+    return [
+        F.min("signal_strength").alias("signal_strength"),
+        F.max("state").alias("state"),
+        F.sum(F.col("power_mw").cast("bigint")).alias("__power"),
+        F.count("power_mw").alias("__readings"),
+        F.count(F.lit(1)).alias("__samples"),
+    ]
+
+
+def whole_samples() -> list[Column]:
+    """One averaged row from the parts of all its descriptions."""
+    average = F.sum("__power") / F.nullif(F.sum("__readings"), F.lit(0))
     return [
         F.max("ip_address").alias("ip_address"),
         F.min("signal_strength").alias("signal_strength"),
         F.max("model").alias("model"),
         F.max("firmware").alias("firmware"),
         F.max("state").alias("state"),
-        F.avg("power_mw").alias("avg_power_mw"),
-        F.count(F.lit(1)).cast("int").alias("sample_count"),
+        average.alias("avg_power_mw"),
+        F.sum("__samples").cast("int").alias("sample_count"),
     ]
 
 
@@ -71,27 +83,8 @@ def sample_average(samples: DataFrame, load_ts: dt.datetime) -> DataFrame:
     reduced per device and description with numbers only, which hashes, and the
     few descriptions of a device meet in a second step.
     """
-    reduced = samples.groupBy(*SAMPLE_KEYS, "ip_address", "model", "firmware").agg(
-        F.min("signal_strength").alias("signal_strength"),
-        F.max("state").alias("state"),
-        F.sum(F.col("power_mw").cast("bigint")).alias("__power"),
-        F.count("power_mw").alias("__readings"),
-        F.count(F.lit(1)).alias("__samples"),
-    )
-    average = F.sum("__power") / F.nullif(F.sum("__readings"), F.lit(0))
-    return (
-        reduced.groupBy(*SAMPLE_KEYS)
-        .agg(
-            F.max("ip_address").alias("ip_address"),
-            F.min("signal_strength").alias("signal_strength"),
-            F.max("model").alias("model"),
-            F.max("firmware").alias("firmware"),
-            F.max("state").alias("state"),
-            average.alias("avg_power_mw"),
-            F.sum("__samples").cast("int").alias("sample_count"),
-        )
-        .withColumn("sampled_at", moment(load_ts))
-    )
+    reduced = samples.groupBy(*SAMPLE_KEYS, "ip_address", "model", "firmware").agg(*sample_parts())
+    return reduced.groupBy(*SAMPLE_KEYS).agg(*whole_samples()).withColumn("sampled_at", moment(load_ts))
 
 
 def usage_rows(

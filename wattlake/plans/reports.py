@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.numeric import int_avg, int_avg_of_parts, quotient, rounded_mean
@@ -130,11 +130,8 @@ def equal_members(dimension: DataFrame, sk: str, attributes: list[str], alias: s
     Grouping facts by this key is grouping them by the attributes, with text
     compared as the warehouse compares it, but on one BIGINT per dimension.
     """
-    keyed = dimension.select(
-        F.col(sk), null_safe_key(*[F.col(c) for c in attributes]).alias("__attributes")
-    )
-    lowest = keyed.groupBy("__attributes").agg(F.min(sk).alias(alias))
-    return keyed.join(lowest, "__attributes").select(sk, alias)
+    same = Window.partitionBy(null_safe_key(*[F.col(c) for c in attributes]))
+    return dimension.select(F.col(sk), F.min(sk).over(same).alias(alias))
 
 
 def last_seven_days_hourly(

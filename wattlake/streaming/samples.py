@@ -16,7 +16,7 @@ from wattlake.functions.numeric import int_avg, quotient
 from wattlake.functions.text import fold, null_safe_key
 from wattlake.functions.timekeys import bucket_start, hour_key, quarter_hour
 from wattlake.operators import buckets
-from wattlake.operators.collect import SAMPLE_KEYS, clamp_power, sample_aggregates
+from wattlake.operators.collect import SAMPLE_KEYS, clamp_power, sample_parts, whole_samples
 from wattlake.operators.upsert import STATUS_SOURCE, newest_keys
 from wattlake.plans.jobs import keep_averages, load_averages
 from wattlake.sources.warehouse import Run, Warehouse
@@ -46,10 +46,16 @@ def stream_sample_average(
     With ``resent`` the source may send samples again, as one does that keeps them until
     their load is confirmed; each counts once.
     """
-    return (
+    # As in a batch: numbers first, which hash, then the few descriptions of each device.
+    described = (
         _timed(samples, delay, resent)
-        .groupBy(F.window("__at", window).alias("__window"), *SAMPLE_KEYS)
-        .agg(*sample_aggregates())
+        .groupBy(F.window("__at", window).alias("__window"), *SAMPLE_KEYS, "ip_address", "model", "firmware")
+        .agg(*sample_parts())
+        .withColumn("__time", F.window_time("__window"))
+    )
+    return (
+        described.groupBy(F.window("__time", window).alias("__window"), *SAMPLE_KEYS)
+        .agg(*whole_samples())
         .select(
             F.col("__window.start").cast("timestamp_ntz").alias("window_start"),
             F.col("__window.end").cast("timestamp_ntz").alias("sampled_at"),
