@@ -10,7 +10,9 @@ from wattlake.sources.given import AS_OF, Given
 from wattlake.sources.warehouse import Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
-STREAMS = {"stream_sample_average", "stream_quarter_hour", "stream_upsert"}
+STREAMS = {name for name in QUERIES if name.startswith("stream_")}
+# Objects are read back under their keys, which Spark's readers cannot hold (they have colons).
+OBJECTS = {"mail_object_sink"}
 
 
 def plan_of(df):
@@ -23,7 +25,7 @@ def details_of(df):
         df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS - OBJECTS))
 def test_no_cross_joins_and_no_python(spark, name):
     plan = plan_of(QUERIES[name](spark, FOLDER))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas",
