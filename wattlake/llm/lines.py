@@ -1,57 +1,184 @@
-"""Fuzzy line deduplication: MinHash sketches, banding, exact check, union-find.
-
-A line's shingles are the ``SHINGLE`` characters from each place where a word begins and
-as many follow; in scripts without blanks every character begins one.  A line too short
-for any is its own shingle: short beginnings would be common to very many lines.  The
-sketch is the ``sketch`` smallest hashes of them, and every two of these are a band.
-Lines that share a band are candidates; two lines at a similarity of 0.8 share none of
-the 15 bands of a sketch of 6 with probability 2e-3, at 0.9 with 6e-5.
-
-Equal lines are one entry.  In each band entries are first checked against its smallest
-entry only, so a band of any size costs one check for each entry.  Entries that hang
-together then are joined, and only pairs of one band that are still apart, and of sizes
-that can be alike, are checked in a second round, inside the join, so no link between
-two groups is missed.  Checks count common shingles exactly.
-
-All steps are DataFrame expressions: lines are hashed and sketched in the scan, only
-sketches are shuffled for banding, and texts are fetched for candidates, found again in
-the scan through a bitmap of fixed size.
-
-Defined cases: blank lines are no lines, they are neither counted nor removed; a line
-without words equals only lines of the same text; a NULL text has no lines; of lines
-alike the first by document id and place stays, of repeated rows any one; an empty
-table gives an empty result; other columns are not read.
+"""Fuzzy line deduplication: MinHash signatures, banding, exact check, union-find.
+
+A line's shingles are all runs of ``SHINGLE`` characters in it; a shorter line is its own
+shingle.  Two lines are linked if they share at least 0.8 of the union of their shingles.
+Each of ``BANDS`` bands is ``ROWS`` MinHash values of the shingles, and lines that share a
+band are candidates; two lines at 0.8 share none with probability 8e-4, at 0.9 with 5e-8.
+
+Equal lines are one entry, so only different texts are signed and compared.  In each band
+entries are first checked against its smallest entry only: a band of any size costs one
+check for each entry.  What is still apart in a band then meets: entries outside of its
+largest component against all others, block by block inside tasks, which give back one
+link for each component that became part of another.  So no link between two groups is
+missed, and no pair leaves a task but those with a band's smallest entry.  Checks count
+common shingles exactly.
+
+Shingles are cut and hashed in Arrow batches, Spark groups, joins and shuffles.  Done with
+SQL functions the same work would cost more than the operator's whole budget of CPU.
+
+Defined cases: blank lines are no lines, they are neither counted nor removed; a NULL text
+has no lines; of lines alike the first by document id and place stays, of repeated rows
+any one; rows without an id take part, and as NULL sorts first theirs stay; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import written
+from wattlake.llm.common import text_chunks, written
 from wattlake.llm.components import components
+from wattlake.llm.tokens import mix
 
-SHINGLE, SKETCH = 12, 6
-_WORD = r"0-9A-Za-z\\u0080-\\uffff"
-_DENSE = r"\\u3040-\\u9fff\\uac00-\\ud7af"
+SHINGLE, BANDS, ROWS = 5, 18, 5
+#: Bytes of lines that are signed at once: what is computed for them stays in the cache.
+RUN = 1 << 17
+#: Pairs that are checked at once; their number leaves 51 bits of each hash.
+PAIRS = 1 << 12
+#: Characters of two sides that meet in one task at most, but for longer single lines.
+BLOCK = 200_000
+_STEPS = np.random.default_rng(5).integers(1, 2**63, SHINGLE * 8, dtype=np.uint64) | np.uint64(1)
 
 
-def shingles(line: str, length: int) -> Column:
-    """Hashes of the line's shingles, each once."""
-    pattern = f"(?s)(?:(?<![{_WORD}])|(?=[{_DENSE}]))(?=([{_WORD}].{{{length - 1}}}))"
-    full = F.expr(f"array_distinct(transform(regexp_extract_all({line}, '{pattern}', 1), s -> xxhash64(s)))")
-    whole = F.expr(f"CASE WHEN {line} RLIKE '[{_WORD}]' THEN array(xxhash64({line})) ELSE array() END")
-    return F.transform(F.array(full), lambda s: F.when(F.size(s) > 0, s).otherwise(whole))[0]
+def _codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character of UTF-8 bytes, and the lines' bounds in them."""
+    if not len(data) or data.max() < 0x80:
+        return data.astype(np.uint64), offsets
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    ends = np.append(at[1:], len(data))
+    codes = data[at].astype(np.uint64)
+    for k in (1, 2, 3):
+        more = at + k < ends
+        codes[more] = codes[more] * np.uint64(256) + data[at[more] + k]
+    return codes, np.searchsorted(at, offsets)
 
 
-def bands(sketch: int) -> Column:
-    """One hash for every two of a sketch; of the one if there is no second."""
-    return F.expr(
-        "CASE WHEN size(sketch) = 1 THEN array(xxhash64(sketch[0])) ELSE "
-        f"flatten(transform(sequence(0, {sketch - 2}), i -> transform("
-        f"filter(sequence(i + 1, {sketch - 1}), j -> j < size(sketch)), j -> xxhash64(sketch[i], sketch[j])))) END"
-    )
+def hashed(data: np.ndarray, offsets: np.ndarray, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of each line, in order, and the lines' bounds in them."""
+    codes, bounds = _codes(data, offsets)
+    counts = np.diff(bounds)
+    made = np.where(counts < length, np.minimum(counts, 1), counts - length + 1)
+    out = np.concatenate(([0], np.cumsum(made)))
+    rolling = np.zeros(len(codes), np.uint64)
+    for k in range(min(length, len(codes))):
+        rolling[: len(codes) - k] += codes[k:] * _STEPS[k]
+    place = np.arange(out[-1]) + np.repeat(bounds[:-1] - out[:-1], made)
+    values = rolling[place]
+    for i in np.flatnonzero((counts > 0) & (counts < length)):
+        few = codes[bounds[i] : bounds[i + 1]]
+        values[out[i]] = np.sum(few * _STEPS[: len(few)], dtype=np.uint64) + np.uint64(len(few))
+    return mix(values), out
+
+
+def _banded(length: int, bands: int, rows: int, seed: int = 9):
+    """(entry, line) to one row (band, entry) for each band of the line."""
+    factors = np.random.default_rng(seed).integers(0, 2**32, (2, bands * rows), dtype=np.uint32)
+    factors[0] |= np.uint32(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries = batch.column(0).to_numpy()
+            for first, data, offsets in text_chunks(batch.column(1), RUN):
+                values, bounds = hashed(data, offsets, length)
+                values = (values >> np.uint64(32)).astype(np.uint32)
+                shuffled, least = np.empty_like(values), np.empty(len(bounds) - 1, np.uint32)
+                keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(least), bands)).copy()
+                for i, (a, b) in enumerate(factors.T):
+                    np.multiply(values, a, out=shuffled)
+                    np.add(shuffled, b, out=shuffled)
+                    np.minimum.reduceat(shuffled, bounds[:-1], out=least)
+                    band = i // rows
+                    keys[:, band] = mix(keys[:, band] * np.uint64(0x9E3779B97F4A7C15) + least)
+                own = np.repeat(entries[first : first + len(least)], bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(own)], ["band", "entry"])
+
+    return run
+
+
+def alike(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
+    """Which of up to ``PAIRS`` pairs of lines share enough of their shingles, given as hashes and bounds."""
+    count = len(left[1]) - 1
+    keys = []
+    for side, (values, bounds) in enumerate((left, right)):
+        owner = np.repeat(np.arange(count, dtype=np.uint64), np.diff(bounds))
+        keys.append(owner << np.uint64(52) | values >> np.uint64(13) << np.uint64(1) | np.uint64(side))
+    key = np.sort(np.concatenate(keys))
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+    sizes = np.bincount((key >> np.uint64(52)).astype(np.int64), minlength=count)
+    both = key[1:] >> np.uint64(1) == key[:-1] >> np.uint64(1)
+    common = np.bincount((key[1:][both] >> np.uint64(52)).astype(np.int64), minlength=count)
+    return 100 * common >= percent * (sizes - common)
+
+
+def _linked(percent: int, length: int):
+    """The pairs (a, b) of lines (la, lb) that are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAIRS):
+                part = batch.slice(at, PAIRS)
+                for first, data, offsets in text_chunks(part.column(2)):
+                    some = part.slice(first, len(offsets) - 1)
+                    # The other side is as long a run of pairs, cut again where its lines are long.
+                    for begin, other, ends in text_chunks(some.column(3)):
+                        size = len(ends) - 1
+                        cut = offsets[begin : begin + size + 1]
+                        left = hashed(data[cut[0] : cut[-1]], cut - cut[0], length)
+                        keep = pa.array(alike(left, hashed(other, ends, length), percent))
+                        yield some.slice(begin, size).select(["a", "b"]).filter(keep)
+
+    return run
+
+
+def _met(percent: int, length: int):
+    """Links between entries of a band, of two blocks or of one, that connect its components."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        entry = rows["entry"].to_numpy()
+        _, first, own = np.unique(rows["component"].to_numpy(), return_index=True, return_inverse=True)
+        root = first[own]
+        known = root.copy()
+        values, bounds, done = [], [0], 0
+        for _, data, offsets in text_chunks(rows["line"]):
+            run, ends = hashed(data, offsets, length)
+            owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            order = np.lexsort((run, owner))
+            run, owner = run[order], owner[order]
+            new = np.append(True, (run[1:] != run[:-1]) | (owner[1:] != owner[:-1]))
+            values.append(run[new])
+            bounds.extend(done + np.cumsum(np.bincount(owner[new], minlength=len(ends) - 1)))
+            done = bounds[-1]
+        names, ids = np.unique(np.concatenate(values), return_inverse=True)
+        bounds = np.array(bounds)
+        sizes, marks = np.diff(bounds), np.zeros(len(names), np.uint8)
+        high = rows["block"].to_numpy() != rows["low"].to_numpy()
+        one = rows["low"][0].as_py() == rows["high"][0].as_py()
+        for i in np.arange(len(entry)) if one else np.flatnonzero(~high):
+            others = np.arange(i + 1, len(entry)) if one else np.flatnonzero(high)
+            least, most = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
+            others = others[(root[others] != root[i]) & (100 * least >= percent * most)]
+            if not len(others):
+                continue
+            mine = ids[bounds[i] : bounds[i + 1]]
+            marks[mine] = 1
+            begin, end = others[0], others[-1] + 1
+            common = np.add.reduceat(marks[ids[bounds[begin] : bounds[end]]], bounds[begin:end] - bounds[begin], dtype=np.int64)[others - begin]
+            marks[mine] = 0
+            near = others[100 * common >= percent * (sizes[i] + sizes[others] - common)]
+            if len(near):
+                joined = np.unique(root[np.append(near, i)])
+                root[np.isin(root, joined)] = joined[0]
+        heads = np.unique(known)
+        moved = heads[root[heads] != heads]
+        return pa.Table.from_arrays([pa.array(entry[moved]), pa.array(entry[root[moved]])], ["a", "b"])
+
+    return run
 
 
 def _lines(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -65,84 +192,81 @@ def _lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
-def _likely(lines: DataFrame, wanted: DataFrame, slots: int = 1 << 21) -> DataFrame:
-    """The lines whose hash may be among ``wanted``'s, by a bitmap of fixed size.
+def _across(rows: DataFrame, check, limit: int) -> DataFrame:
+    """Links between a band's guests and all of its entries, two blocks of it to a task."""
 
-    The bitmap is at most 64 rows of 4 KB.  It lets through all that is wanted and a
-    share of the rest, so only that share is shuffled to meet the wanted lines.
-    """
-    slot = F.expr(f"pmod(h1, {slots}) + 1")
-    marks = wanted.select(slot.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("marks")
-    )
-    placed = lines.withColumn("slot", slot)
-    met = placed.join(F.broadcast(marks), F.expr("bitmap_bucket_number(slot)") == F.col("bucket"))
-    at = "bitmap_bit_position(slot)"
-    octet = f"cast(conv(hex(substring(marks, cast({at} div 8 + 1 as int), 1)), 16, 10) as int)"
-    return met.where(F.expr(f"({octet} & shiftleft(1, cast({at} % 8 as int))) != 0")).drop("slot", "bucket", "marks")
+    def parts(side: Column) -> Column:
+        return (1 + F.coalesce(F.sum(F.when(side, F.col("size"))), F.lit(0)) / limit).cast("int")
+
+    guest = F.col("guest")
+    sizes = rows.groupBy("band").agg(parts(guest).alias("outer"), parts(~guest).alias("inner"))
+    spread = F.xxhash64("entry")
+    block = F.when(guest, F.pmod(spread, F.col("outer"))).otherwise(F.col("outer") + F.pmod(spread, F.col("inner")))
+    last = F.col("outer") + F.when(guest, F.col("inner")).otherwise(0) - 1
+    met = rows.join(sizes, "band").withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    met = met.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    return met.select("band", "low", "high", "block", "entry", "component", "line").groupBy("band", "low", "high").applyInArrow(check, "a long, b long")
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose shingles overlap enough, counted exactly."""
-    left = sets.select(F.col("entry").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("entry").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    met = pairs.join(left, "a").join(right, "b").withColumn("common", common)
-    return met.where(F.col("common") >= threshold * (F.size("sa") + F.size("sb") - F.col("common")) - 1e-9).select("a", "b")
+def _apart(met: DataFrame, joined: DataFrame) -> DataFrame:
+    """Entries of bands that hold several components; ``guest`` if not of the band's largest.
+
+    Bands in which the same entries are left are one.
+    """
+    of = joined.withColumnRenamed("node", "entry")
+    placed = met.select("band", "entry").join(of, "entry", "left").withColumn("component", F.coalesce("component", "entry"))
+    sums = [F.bit_xor(F.xxhash64(F.lit(seed), "entry")).alias(f"sum{seed}") for seed in (1, 2)]
+    held = placed.groupBy("band", "component").agg(F.count("*").alias("held"), F.min("entry").alias("first"), *sums)
+    bands = held.groupBy("band").agg(
+        F.max(F.struct("held", "component")).alias("main"), F.count("*").alias("kinds"), F.sum("held").alias("held"),
+        F.min("first").alias("first"), *(F.bit_xor(f"sum{seed}").alias(f"sum{seed}") for seed in (1, 2)),
+    )
+    mixed = bands.where("kinds > 1").groupBy("held", "first", "sum1", "sum2").agg(F.min(F.struct("band", "main.component")).alias("one"))
+    mixed = mixed.select("one.band", F.col("one.component").alias("main"))
+    return placed.join(mixed, "band").select("band", "entry", "component", (F.col("component") != F.col("main")).alias("guest"))
 
 
 def line_groups(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = 0.8, length: int = SHINGLE, sketch: int = SKETCH
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    percent: int = 80,
+    length: int = SHINGLE,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row for each line that is not blank: doc_id, row, pos, keep, and its group.
 
-    The group is named by the document and place of the line of it that is kept.
+    The group is named by the document and place of the line of it that is kept.  Lines
+    with at least ``percent`` of their ``length``-character shingles in common are linked.
     """
-    drawn = _lines(docs, id, text).withColumn("all", shingles("line", length))
-    lines = written(
-        drawn.select("doc_id", "row", "pos", "h1", "h2", F.slice(F.sort_array("all"), 1, sketch).alias("sketch"), F.size("all").alias("n")),
-        "line-rows",
-    )
-    entries = written(
-        lines.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "pos", "row")).alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        .withColumn("entry", F.monotonically_increasing_id()),
-        "line-entries",
-    )
-    keyed = entries.where(F.col("n") > 0).select("entry", "n", F.explode(bands(sketch)).alias("band"))
-    order = W.partitionBy("band").orderBy("entry")
-    headed = keyed.select("band", "entry", F.first("entry").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("head"))
-    met = written(headed.where("entry != head"), "line-bands")
-    stars = met.select(F.col("entry").alias("a"), F.col("head").alias("b")).distinct()
-    stars = written(stars, "line-stars")
-
-    wanted = stars.select(F.col("a").alias("entry")).unionByName(stars.select(F.col("b").alias("entry"))).distinct()
-    names = written(entries.join(wanted, "entry").select("entry", "h1", "h2"), "line-wanted")
-    texts = _likely(_lines(docs, id, text).select("h1", "h2", "line"), names)
-    names = names.select("entry", F.col("h1").alias("own1"), F.col("h2").alias("own2"))
-    fetched = texts.join(names, (F.col("h1") == F.col("own1")) & (F.col("h2") == F.col("own2"))).groupBy("entry").agg(F.first("line").alias("line"))
-    sets = written(fetched.select("entry", shingles("line", length).alias("shingles")), "line-sets")
-
-    near = written(_checked(stars, sets, threshold), "line-links")
-    joined = components(near)
+    if not 1 <= length <= len(_STEPS):
+        raise ValueError(f"length must lie between 1 and {len(_STEPS)}, not {length}")
+    lines = written(_lines(docs, id, text).select("doc_id", "row", "pos", "h1", "h2"), "line-rows")
+    texts = _lines(docs, id, text).groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    entries = written(texts.withColumn("entry", F.monotonically_increasing_id()).withColumn("size", F.length("line")), "line-entries")
+
+    keyed = entries.select("entry", "line").mapInArrow(_banded(length, bands, rows), "band long, entry long")
+    order = W.partitionBy("band").orderBy("entry").rowsBetween(W.unboundedPreceding, W.currentRow)
+    met = written(keyed.withColumn("head", F.first("entry").over(order)).where("entry != head"), "line-bands")
+    stars = written(met.select(F.col("entry").alias("a"), F.col("head").alias("b")).distinct(), "line-stars")
+    left, right = (entries.select(F.col("entry").alias(e), F.col("line").alias(name)) for e, name in (("a", "la"), ("b", "lb")))
+    pairs = stars.join(left, "a").join(right, "b").select("a", "b", "la", "lb")
+    joined = written(components(written(pairs.mapInArrow(_linked(percent, length), "a long, b long"), "line-links")), "line-first")
+
     # Second round: entries of one band in different components; heads were checked already.
-    of = joined.withColumnRenamed("node", "entry")
-    placed = met.select("band", "entry").join(of, "entry", "left").withColumn("component", F.coalesce("component", "entry"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
-    # Each brings its shingles and is checked where the pairs meet: only links leave the join.
-    apart = placed.join(mixed, "band").join(sets, "entry").select("band", F.col("entry").alias("a"), "component", F.col("shingles").alias("sa"))
-    other = apart.select("band", F.col("a").alias("b"), F.col("component").alias("other"), F.col("sa").alias("sb"))
-    na, nb = F.size("sa"), F.size("sb")
-    sizes = F.least(na, nb) >= threshold * F.greatest(na, nb) - 1e-9
-    alike = F.size(F.array_intersect("sa", "sb")) >= threshold / (1 + threshold) * (na + nb) - 1e-9
-    met_again = apart.join(other, (apart["band"] == other["band"]) & (F.col("a") > F.col("b")) & (F.col("component") != F.col("other")) & sizes & alike)
-    late = met_again.select("a", "b").distinct()
-    final = written(components(near.unionByName(late)).withColumnRenamed("node", "entry"), "line-groups")
-
-    grouped = entries.select("h1", "h2", "entry", "first").join(final, "entry", "left").withColumn("component", F.coalesce("component", "entry"))
+    apart = written(_apart(met, joined).join(entries.select("entry", "size", "line"), "entry"), "line-apart")
+    late = written(_across(apart, _met(percent, length), block), "line-late")
+    edges = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
+    final = components(edges).withColumnRenamed("node", "entry")
+
+    placed = entries.select("h1", "h2", "entry").join(final, "entry", "left").select("h1", "h2", F.coalesce("component", "entry").alias("component"))
+    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos", "row")).alias("first"))
+    grouped = written(firsts.join(placed, ["h1", "h2"]), "line-groups")
     stays = grouped.groupBy("component").agg(F.min("first").alias("kept"), F.count("*").alias("texts"))
-    verdict = grouped.join(stays, "component").select(F.col("h1").alias("own1"), F.col("h2").alias("own2"), "kept", "texts")
-    return lines.join(verdict, (F.col("h1") == F.col("own1")) & (F.col("h2") == F.col("own2"))).select(
+    verdict = grouped.join(stays, "component").select("h1", "h2", "kept", "texts")
+    return lines.join(verdict, ["h1", "h2"]).select(
         "doc_id",
         "row",
         "pos",
@@ -166,6 +290,9 @@ def line_report(groups: DataFrame) -> DataFrame:
 def without_duplicates(docs: DataFrame, groups: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with duplicate lines taken out of the text; ids must be unique."""
     gone = groups.where(~F.col("keep")).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_list("pos").alias("gone"))
-    kept = F.expr("array_join(filter(transform(split(body_of_lines, '\n'), (l, i) -> CASE WHEN array_contains(gone, i) THEN NULL ELSE l END), l -> l IS NOT NULL), '\n')")
-    met = docs.withColumn("body_of_lines", docs[f"`{text}`"]).join(gone, docs[f"`{id}`"].eqNullSafe(F.col("gone_id")), "left")
-    return met.withColumn(text, F.when(F.col("gone").isNull(), F.col("body_of_lines")).otherwise(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The row is carried as one struct: its columns may have any names.
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    met = row.join(gone, F.col("row").getField(id).eqNullSafe(F.col("gone_id")), "left").withColumn("body", F.col("row").getField(text))
+    kept = F.expr("array_join(filter(transform(split(body, '\n'), (l, i) -> CASE WHEN array_contains(gone, i) THEN NULL ELSE l END), l -> l IS NOT NULL), '\n')")
+    body = F.when(F.col("gone").isNull(), F.col("body")).otherwise(kept)
+    return met.select(*[(body if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -114,7 +114,6 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
 FROM worded d LEFT JOIN found f ON d.doc_id = f.doc_id
 """
 
-_W = "(c BETWEEN '0' AND '9' OR c BETWEEN 'A' AND 'Z' OR c BETWEEN 'a' AND 'z' OR unicode(c) >= 128)"
 _LINES = rf"""
 WITH RECURSIVE cut AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 lines AS (
@@ -123,17 +122,21 @@ lines AS (
 
  ]')),
 entries AS (SELECT line, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM lines GROUP BY line),
-chars AS (SELECT line, first, string_split(line, '') AS cs FROM entries),
-flagged AS (SELECT *, list_transform(cs, lambda c: {_W}) AS w FROM chars),
-shingled AS (
-  SELECT line, first, list_distinct(list_transform(list_filter(range(1, len(cs) + 1), lambda i: w[i] AND NOT coalesce(w[i - 1], false) AND i + 11 <= len(cs)),
-         lambda i: array_to_string(cs[i:i + 11], ''))) AS full_s, list_contains(w, true) AS worded
-  FROM flagged),
-sets AS (SELECT line, first, CASE WHEN len(full_s) > 0 THEN full_s WHEN worded THEN [line] ELSE [] END AS s FROM shingled),
-items AS (SELECT line, len(s) AS n, unnest(s) AS g FROM sets),
-linked AS (
-  SELECT a.line AS a, b.line AS b FROM items a JOIN items b ON a.g = b.g AND a.line <> b.line
-  GROUP BY a.line, b.line HAVING count(*) >= 0.8 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+sets AS MATERIALIZED (
+  SELECT line, row_number() OVER (ORDER BY line) AS id, CASE WHEN length(line) < 5 THEN [line]
+         ELSE list_distinct(list_transform(range(1, length(line) - 3), lambda i: substr(line, i, 5))) END AS s
+  FROM entries),
+items AS MATERIALIZED (SELECT id, len(s) AS n, unnest(s) AS g FROM sets),
+-- Lines that share 0.8 share one of their rarest shingles, about a fifth of each line's.
+common AS (SELECT g, count(*) AS df FROM items GROUP BY g),
+ranked AS (SELECT id, n, g, row_number() OVER (PARTITION BY id ORDER BY df, g) AS r FROM items JOIN common USING (g)),
+rare AS (SELECT id, n, g FROM ranked WHERE r <= n - ceil(0.8 * n - 1e-9) + 1),
+met AS (SELECT DISTINCT a.id AS a, b.id AS b FROM rare a JOIN rare b ON a.g = b.g AND a.id < b.id AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+counted AS (
+  SELECT a.line AS a, b.line AS b, len(list_intersect(a.s, b.s)) AS c, len(a.s) + len(b.s) AS total
+  FROM met JOIN sets a ON met.a = a.id JOIN sets b ON met.b = b.id),
+half AS MATERIALIZED (SELECT a, b FROM counted WHERE c >= 0.8 * (total - c) - 1e-9),
+linked AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach(node, seen) AS (SELECT a, a FROM linked UNION SELECT r.node, l.b FROM reach r JOIN linked l ON r.seen = l.a),
 kept AS (SELECT node, min(e.first) AS kept FROM reach r JOIN entries e ON e.line = r.seen GROUP BY node),
 verdict AS (
