@@ -136,10 +136,25 @@ def _linked(percent: int, length: int):
     return run
 
 
+def _meetings(rows: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row with those it is to be held against: of the other block, or the later ones of its own band."""
+    if rows["low"][0].as_py() != rows["high"][0].as_py():
+        side = rows["block"].to_numpy() != rows["low"].to_numpy()
+        other = np.flatnonzero(side)
+        for i in np.flatnonzero(~side):
+            yield i, other
+        return
+    _, first, count = np.unique(rows["band"].to_numpy(), return_index=True, return_counts=True)
+    for begin, size in zip(first, count, strict=True):
+        for i in range(begin, begin + size - 1):
+            yield i, np.arange(i + 1, begin + size)
+
+
 def _met(percent: int, length: int):
-    """Links between entries of a band, of two blocks or of one, that connect its components."""
+    """Links between entries that connect components: of a band's two blocks or of one, or of small bands."""
 
     def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("band")
         entry = rows["entry"].to_numpy()
         _, first, own = np.unique(rows["component"].to_numpy(), return_index=True, return_inverse=True)
         root = first[own]
@@ -157,10 +172,7 @@ def _met(percent: int, length: int):
         names, ids = np.unique(np.concatenate(values), return_inverse=True)
         bounds = np.array(bounds)
         sizes, marks = np.diff(bounds), np.zeros(len(names), np.uint8)
-        high = rows["block"].to_numpy() != rows["low"].to_numpy()
-        one = rows["low"][0].as_py() == rows["high"][0].as_py()
-        for i in np.arange(len(entry)) if one else np.flatnonzero(~high):
-            others = np.arange(i + 1, len(entry)) if one else np.flatnonzero(high)
+        for i, others in _meetings(rows):
             least, most = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
             others = others[(root[others] != root[i]) & (100 * least >= percent * most)]
             if not len(others):
@@ -192,20 +204,26 @@ def _lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
-def _across(rows: DataFrame, check, limit: int) -> DataFrame:
-    """Links between a band's guests and all of its entries, two blocks of it to a task."""
+def _across(rows: DataFrame, entries: DataFrame, check, limit: int) -> DataFrame:
+    """Links between a band's guests and all of its entries.
+
+    A band of two blocks or more is cut, two blocks of it to a task; smaller ones fill bins.
+    """
 
     def parts(side: Column) -> Column:
         return (1 + F.coalesce(F.sum(F.when(side, F.col("size"))), F.lit(0)) / limit).cast("int")
 
-    guest = F.col("guest")
-    sizes = rows.groupBy("band").agg(parts(guest).alias("outer"), parts(~guest).alias("inner"))
+    guest, large = F.col("guest"), F.col("total") > limit
+    sizes = rows.groupBy("band").agg(F.sum("size").alias("total"), parts(guest).alias("outer"), parts(~guest).alias("inner"))
+    held = sizes.agg(F.sum(F.when(~large, F.col("total")))).first()[0] or 0
     spread = F.xxhash64("entry")
-    block = F.when(guest, F.pmod(spread, F.col("outer"))).otherwise(F.col("outer") + F.pmod(spread, F.col("inner")))
-    last = F.col("outer") + F.when(guest, F.col("inner")).otherwise(0) - 1
+    block = F.when(~large, 0).when(guest, F.pmod(spread, F.col("outer"))).otherwise(F.col("outer") + F.pmod(spread, F.col("inner")))
+    last = F.when(large, F.col("outer") + F.when(guest, F.col("inner")).otherwise(0) - 1).otherwise(0)
     met = rows.join(sizes, "band").withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     met = met.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    return met.select("band", "low", "high", "block", "entry", "component", "line").groupBy("band", "low", "high").applyInArrow(check, "a long, b long")
+    met = met.withColumn("bin", F.when(large, F.col("band")).otherwise(F.pmod(F.xxhash64("band"), F.lit(1 + held // limit)))).withColumn("large", large)
+    met = met.select("bin", "large", "low", "high", "band", "block", "entry", "component").join(entries.select("entry", "line"), "entry")
+    return met.groupBy("bin", "large", "low", "high").applyInArrow(check, "a long, b long")
 
 
 def _apart(met: DataFrame, joined: DataFrame) -> DataFrame:
@@ -256,8 +274,8 @@ def line_groups(
     joined = written(components(written(pairs.mapInArrow(_linked(percent, length), "a long, b long"), "line-links")), "line-first")
 
     # Second round: entries of one band in different components; heads were checked already.
-    apart = written(_apart(met, joined).join(entries.select("entry", "size", "line"), "entry"), "line-apart")
-    late = written(_across(apart, _met(percent, length), block), "line-late")
+    apart = written(_apart(met, joined).join(entries.select("entry", "size"), "entry"), "line-apart")
+    late = written(_across(apart, entries, _met(percent, length), block), "line-late")
     edges = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)
     final = components(edges).withColumnRenamed("node", "entry")
 
