@@ -161,3 +161,19 @@ def test_quarter_hours_of_samples_are_those_of_both_steps(spark, tmp_path, capsy
     query.explain()
     plan = capsys.readouterr().out
     assert plan.count("StateStoreSave") == 2 and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("kind", ["usage"])
+def test_closed_groups_are_not_broadcast(spark, kind):
+    """The batch that closes groups has no input, so the optimizer takes it for empty."""
+    given = Given(spark, FOLDER)
+    if kind == "usage":
+        closed = streams.stream_quarter_hour(given.usage(given.stream("events")), given.device())
+    else:
+        closed = streams.stream_quarter_hour_of_samples(given.samples(given.stream("events")), given.device(), given.status_list())
+    query = closed.writeStream.format("noop").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "StateStoreSave" in plan and "SortMergeJoin" in plan
+    # Only the list of states may be broadcast; it is the right side of an outer join.
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftOuter, BuildRight" not in line]

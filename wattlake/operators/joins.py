@@ -1,4 +1,4 @@
-"""Broadcast by known size."""
+"""Broadcast by known size, and not by a size that is not known."""
 
 from __future__ import annotations
 
@@ -23,3 +23,12 @@ def broadcast_if_small(
     """
     size = rows_of._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return F.broadcast(lookup) if int(size) <= max_bytes else lookup
+
+
+def sorted_lookup(lookup: DataFrame) -> DataFrame:
+    """Hint a join with ``lookup`` to shuffle both sides.
+
+    A batch of a stream that only closes groups has no input, so Spark takes the groups
+    for nothing and would send all of them through the driver as a broadcast.
+    """
+    return lookup.hint("merge")

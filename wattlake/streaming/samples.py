@@ -17,6 +17,7 @@ from wattlake.functions.text import fold, null_safe_key
 from wattlake.functions.timekeys import bucket_start, hour_key, quarter_hour
 from wattlake.operators import buckets
 from wattlake.operators.collect import SAMPLE_KEYS, clamp_power, sample_parts, whole_samples
+from wattlake.operators.joins import sorted_lookup
 from wattlake.operators.upsert import STATUS_SOURCE, newest_keys
 from wattlake.plans.jobs import keep_averages, load_averages
 from wattlake.sources.warehouse import Run, Warehouse
@@ -163,7 +164,7 @@ def stream_quarter_hour(usage: DataFrame, device: DataFrame, delay: str = "30 mi
     )
     places = device.select("deviceSK", "LocationFK")
     bucket = F.col("bucket_ts").cast("timestamp_ntz")
-    return grouped.join(places, F.col("deviceFK") == F.col("deviceSK")).select(
+    return grouped.join(sorted_lookup(places), F.col("deviceFK") == F.col("deviceSK")).select(
         "maxDeviceUsageDataSK",
         "averageUsageAmount",
         "sampleSize",
