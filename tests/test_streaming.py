@@ -163,7 +163,7 @@ def test_quarter_hours_of_samples_are_those_of_both_steps(spark, tmp_path, capsy
     assert plan.count("StateStoreSave") == 2 and "SortAggregate" not in plan
 
 
-@pytest.mark.parametrize("kind", ["usage"])
+@pytest.mark.parametrize("kind", ["usage", "samples"])
 def test_closed_groups_are_not_broadcast(spark, kind):
     """The batch that closes groups has no input, so the optimizer takes it for empty."""
     given = Given(spark, FOLDER)

@@ -118,13 +118,13 @@ def stream_quarter_hour_of_samples(
         F.count(F.lit(1)).alias("windows"),
     )
     devices = newest_keys(device, ["macAddress", "serialNumber"], "deviceSK").join(
-        device.select("deviceSK", "LocationFK"), "deviceSK"
+        sorted_lookup(device.select("deviceSK", "LocationFK")), "deviceSK"
     )
     states = status.filter(fold(F.col("sourceSystem")) == fold(F.lit(source_system)))
     states = states.groupBy(F.col("statusNumberRepresentation").alias("__state")).agg(F.max("statusSK").alias("deviceStateFK"))
     begun = (F.col("__hour.start") + F.expr("INTERVAL 1 MICROSECOND")).cast("timestamp_ntz")
     return (
-        grouped.join(devices, F.col("__device") == F.col("__key"))
+        grouped.join(sorted_lookup(devices), F.col("__device") == F.col("__key"))
         .join(states, F.col("state") == F.col("__state"), "left")
         .select(
             "averageUsageAmount",
