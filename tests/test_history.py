@@ -123,3 +123,22 @@ def test_a_busy_key_is_split_by_days(spark):
     windows = [line for line in plan.splitlines() if " Window [" in line]
     assert windows and all("__day" in line or "recordEffectiveDate" in line or "__bucket" in line or "__before" in line for line in windows)
     assert got.count() == 4000
+
+
+def test_steps_of_a_replay_are_computed_once(spark, tmp_path, monkeypatch):
+    """The new dimension is read from stored steps, which go when the run ends."""
+    events = [(key, DAY + dt.timedelta(hours=h), ("abc"[h % 3], "f", "x")) for key in (1, 2) for h in range(0, 60, 5)]
+    warehouse, plans = Warehouse(spark, str(tmp_path / "w")), {}
+    store = Warehouse._store
+
+    def watched(self, name, df, *rest):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(self, name, df, *rest)
+
+    monkeypatch.setattr(Warehouse, "_store", watched)
+    jobs.replay_dimension(warehouse, scd.LOCATION, location_changes(spark, events), 1)
+    assert lasting(warehouse.read("dw.dimLocation")) == versions_of(events)
+    plan = plans["dw.dimLocation"]
+    # Neither the last change of a moment nor its neighbours are worked out in it.
+    assert "__last" not in plan and "__edge" not in plan
+    assert not list((tmp_path / "w" / "_scratch").glob("*"))

@@ -9,10 +9,15 @@ The versions then depend on the changes only, not on their order or their batche
 
 A key with very many changes is not one group: neighbours are looked up day by day, and
 only one row for each day meets the days beside it.
+
+Every step looks at its rows more than once: a neighbour is found beside them, new rows
+are counted and numbered.  A caller that can store rows passes ``keep``, so that a step is
+not computed again for each look.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,13 +45,18 @@ def _beside(rows: DataFrame, at: str, value: str, name: str, later: bool) -> Dat
     within = shift(held).over(Window.partitionBy("__key", "__day").orderBy(at))
     edges = days.groupBy("__key", "__day").agg(pick(held, at).alias("__edge"))
     outer = shift("__edge").over(Window.partitionBy("__key").orderBy("__day"))
-    edges = edges.select(F.col("__key").alias("__k"), F.col("__day").alias("__d"), outer.alias("__edge"))
+    # Days are dealt out as the rows already are; what of them compresses well is not small.
+    edges = edges.select(F.col("__key").alias("__k"), F.col("__day").alias("__d"), outer.alias("__edge")).hint("merge")
     joined = days.withColumn(name, within).join(edges, (F.col("__key") == F.col("__k")) & (F.col("__day") == F.col("__d")))
     return joined.withColumn(name, F.coalesce(name, "__edge")).drop("__day", "__k", "__d", "__edge")
 
 
 def scd2_replay(
-    dimension: DataFrame, changes: DataFrame, shape: Dimension, history: DataFrame | None = None
+    dimension: DataFrame,
+    changes: DataFrame,
+    shape: Dimension,
+    history: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """The whole dimension after ``changes``; each one holds from its time to the next one's.
 
@@ -60,6 +70,7 @@ def scd2_replay(
     the replay.  A stored version whose start is no longer a change, because an earlier
     change gives the same values, keeps its row for the facts that name it, with an empty
     interval: it ends when it begins.  Keys that no change touches stay as they are.
+    ``keep`` stores rows and reads them back.
     """
     key, fields = shape.natural_key, dimension.schema.fields
     grain = dimension.schema["recordEffectiveDate"].dataType
@@ -97,9 +108,9 @@ def scd2_replay(
         .agg(F.max(F.struct("__at", "__value", "__carried")).alias("__last"))
         .select("__key", "__from", "__last.__value", "__last.__carried")
     )
-    compared = _beside(moments, "__from", "__value", "__before", later=False)
+    compared = _beside(keep(moments), "__from", "__value", "__before", later=False)
     begun = compared.filter(~F.col("__value").eqNullSafe(F.col("__before.value"))).drop("__before")
-    versions = _beside(begun, "__from", "__from", "__after", later=True).filter(F.col("__value").isNotNull())
+    versions = _beside(keep(begun), "__from", "__from", "__after", later=True).filter(F.col("__value").isNotNull())
 
     # Of stored rows that begin together one lasts at most.
     first = Window.partitionBy(key, "recordEffectiveDate").orderBy(lasting.desc(), F.col(shape.sk).desc())
@@ -123,7 +134,7 @@ def scd2_replay(
             return F.col(name)
         return F.when(replayed, values[name]).otherwise(emptied.get(name, F.col(name)))
 
-    rows = paired.select(*[settled(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    rows = keep(paired.select(*[settled(f.name).cast(f.dataType).alias(f.name) for f in fields]))
     kept = rows.filter(F.col(shape.sk).isNotNull())
     opened = rows.filter(F.col(shape.sk).isNull()).drop(shape.sk)
     numbered = with_surrogate_keys(opened, shape.sk, [key, "recordEffectiveDate"], next_start(dimension, shape.sk))

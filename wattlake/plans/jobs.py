@@ -197,7 +197,7 @@ def replay_dimension(
         earlier = run.read(name)
         run.write(name, changes)
         dimension = scd.with_unknown_member(run.read(shape.table), shape)
-        run.write(shape.table, history.scd2_replay(dimension, run.written(name), shape, earlier))
+        run.write(shape.table, history.scd2_replay(dimension, run.written(name), shape, earlier, run.keep))
 
     warehouse.run(load, build)
 

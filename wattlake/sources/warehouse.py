@@ -69,6 +69,7 @@ class Run:
     def __init__(self, warehouse: Warehouse, load: Key, seen: list[Commit]):
         self.warehouse, self.load, self.seen = warehouse, load, seen
         self.tables: dict[str, str] = {}
+        self.scratch = f"_scratch/{uuid.uuid4().hex}"
 
     def _own(self) -> list[Commit]:
         return [Commit(len(self.seen), self.load, self.tables)] if self.tables else []
@@ -86,6 +87,12 @@ class Run:
         key is found without reading the history."""
         return self.warehouse._table(name, [c for c in self.seen if name in c.tables][-1:])
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Store rows while the run builds, and read them back."""
+        folder = f"{self.warehouse.root}/{self.scratch}/{uuid.uuid4().hex}"
+        df.write.parquet(folder)
+        return df.sparkSession.read.schema(df.schema).parquet(folder)
+
     def write(self, name: str, df: DataFrame, rebalance: bool = False) -> None:
         """Store ``df`` as this run's load of a table, in the declared layout.
 
@@ -156,7 +163,10 @@ class Warehouse:
             if any(c.is_run(load) for c in seen):
                 return
             run = Run(self, load, seen)
-            build(run)
+            try:
+                build(run)
+            finally:
+                self._files().delete(self._path(run.scratch), True)
             shared = {name for name in run.tables if not is_staging(name)}
             number = seen[-1].number + 1 if seen else 1
             while True:
