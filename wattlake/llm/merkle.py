@@ -25,11 +25,8 @@ root and no proofs.  Only the named columns are read.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,7 +36,6 @@ from wattlake.llm.common import written
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 HEIGHT = 12
 NODES = "tree string, block long, position long, level int, index long, hash string, n long, doc_id long, presented string"
-PATHS = "tree string, index long, n long, doc_id long, leaf string, presented string, proof array<struct<first: boolean, hash: string>>, subroot string, root string"
 
 
 def digest(*values: Column | str) -> Column:
@@ -51,11 +47,6 @@ def digest(*values: Column | str) -> Column:
     return F.sha2(F.concat(*told).cast("binary"), 256)
 
 
-def joined(first: str, second: str = "") -> str:
-    """Hash of one or two nodes."""
-    return hashlib.sha256((first + second).encode()).hexdigest()
-
-
 def fold(leaf: Column, proof: Column) -> Column:
     """The root that a leaf and its siblings give; a level without a sibling hashes the node alone."""
 
@@ -72,75 +63,46 @@ def nodes_at(n: int, level: int) -> int:
     return -(-n // 2**level)
 
 
-def position(n: int, level: int, index: np.ndarray) -> np.ndarray:
-    """Place in the log of a tree of ``n`` leaves, from 0, of nodes of one level."""
-    last = np.minimum((index + 1) << level, n) - 1
-    return 2 * last - np.bitwise_count(last).astype(np.int64) + level
-
-
-def _build(height: int, base: int):
-    """The nodes of one block, from the nodes of level ``base`` that it begins with."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("index")
-        n, block = rows["n"][0].as_py(), rows["block"][0].as_py()
-        level, index, hashes = base, rows["index"].to_numpy(), rows["hash"].to_pylist()
-        levels, indexes, out = [np.full(len(index), base)], [index], list(hashes)
-        while level < base + height and nodes_at(n, level) > 1:
-            level += 1
-            hashes = [joined(*hashes[i : i + 2]) for i in range(0, len(hashes), 2)]
-            index = index[::2] >> 1
-            levels.append(np.full(len(index), level))
-            indexes.append(index)
-            out += hashes
-        level_of, index_of = np.concatenate(levels), np.concatenate(indexes)
-        places = np.concatenate([position(n, int(at[0]), i) for at, i in zip(levels, indexes, strict=True)])
-        inner = len(out) - rows.num_rows
-        notes = [pa.concat_arrays([*rows[c].chunks, pa.nulls(inner, rows[c].type)]) for c in ("doc_id", "presented")]
-        same = lambda value, kind: pa.array(np.full(len(out), value), kind)
-        log = pa.Table.from_arrays(
-            [pa.array([rows["tree"][0].as_py()] * len(out), pa.string()), same(block, pa.int64()), pa.array(places), pa.array(level_of, pa.int32()), pa.array(index_of), pa.array(out), same(n, pa.int64()), *notes],
-            ["tree", "block", "position", "level", "index", "hash", "n", "doc_id", "presented"],
-        )
-        return log.sort_by("position")
-
-    return run
-
-
-def _extract(height: int, base: int):
-    """Proofs of the nodes a block begins with, from its part of the log and the proof of its top."""
-
-    def run(log: pa.Table, above: pa.Table) -> pa.Table:
-        log = log.sort_by("position")
-        n, places = log["n"][0].as_py(), log["position"].to_numpy()
-        own = np.flatnonzero(log["level"].to_numpy() == base)
-        index = log["index"].to_numpy()[own]
-        upper = above["proof"].combine_chunks().flatten()
-        found, first = [], []
-        for level in range(base, base + height):
-            if nodes_at(n, level) == 1:
-                break
-            sibling = (index >> (level - base)) ^ 1
-            known = sibling < nodes_at(n, level)
-            at = np.searchsorted(places, position(n, level, np.where(known, sibling, 0)))
-            found.append(np.where(known, at, -1))
-            first.append(sibling % 2 == 0)
-        # What is above the block is the same for all its leaves.
-        for step, before in enumerate(upper.field("first").to_pylist()):
-            found.append(np.full(len(own), len(places) + step))
-            first.append(np.full(len(own), before))
-        at = np.stack(found, axis=1).reshape(-1) if found else np.zeros(0, np.int64)
-        sides = pa.array(np.stack(first, axis=1).reshape(-1) if first else np.zeros(0, bool))
-        hashes = pa.concat_arrays([*(c.cast(pa.string()) for c in log["hash"].chunks), upper.field("hash").cast(pa.string())])
-        told = hashes.take(pa.array(at, mask=at < 0))
-        ends = pa.array(np.arange(len(own) + 1) * len(found), pa.int32())
-        proof = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([sides, told], ["first", "hash"]))
-        leaf = log.take(pa.array(own))
-        columns = [leaf[c] for c in ("tree", "index", "n", "doc_id", "hash", "presented")]
-        tops = [pa.array([above[c][0].as_py()] * len(own), pa.string()) for c in ("subroot", "root")]
-        return pa.Table.from_arrays([*columns, proof, *tops], ["tree", "index", "n", "doc_id", "leaf", "presented", "proof", "subroot", "root"])
-
-    return run
+def position(n: str, level: str, index: str) -> str:
+    """Place in the log of a tree of ``n`` leaves, from 0, of a node, as SQL over columns."""
+    last = f"(least(shiftleft({index} + 1, {level}), {n}) - 1)"
+    return f"(2 * {last} - bit_count({last}) + {level})"
+
+
+def _build(nodes: DataFrame, height: int, base: int) -> DataFrame:
+    """The nodes of all blocks, from the nodes of level ``base`` that they begin with."""
+    own = F.array_sort(F.collect_list(F.struct("index", "hash", "doc_id", "presented")))
+    blocks = nodes.groupBy("tree", F.shiftright("index", height).alias("block")).agg(F.max("n").alias("n"), own.alias("own"))
+    pairs = "sequence(0, (size(element_at(done, -1)) - 1) div 2)"
+    pair = "concat(element_at(done, -1)[2 * i], coalesce(get(element_at(done, -1), 2 * i + 1), ''))"
+    above = f"transform({pairs}, i -> sha2(cast({pair} AS binary), 256))"
+    more = f"IF(n > shiftleft(1L, {base - 1} + step), concat(done, array({above})), done)"
+    levels = f"aggregate(sequence(1, {height}), array(transform(own, x -> x.hash)), (done, step) -> {more})"
+    # The index of a block's first node halves from level to level.
+    at = f"shiftleft(block, {height} - step) + i"
+    made = f"""named_struct('position', {position("n", f"({base} + step)", f"({at})")}, 'level', {base} + step, 'index', {at}, 'hash', hash,
+        'doc_id', IF(step = 0, get(own, i).doc_id, NULL), 'presented', IF(step = 0, get(own, i).presented, NULL))"""
+    log = f"array_sort(flatten(transform(levels, (hashes, step) -> transform(hashes, (hash, i) -> {made}))))"
+    # A block is never empty; for a plain inline Spark would infer a filter with all of its work in it.
+    built = blocks.withColumn("levels", F.expr(levels)).select("tree", "block", "n", F.inline_outer(F.expr(log)))
+    return built.select(*[F.col(f.split()[0]).cast(f.split()[1]) for f in NODES.split(", ")])
+
+
+def _extract(log: DataFrame, tops: DataFrame, height: int, base: int) -> DataFrame:
+    """Proofs of the nodes that blocks begin with, from their parts of the log and the proofs of their tops."""
+    held = F.array_sort(F.collect_list(F.struct("level", "index", "hash", "doc_id", "presented")))
+    blocks = log.groupBy("tree", "block").agg(F.max("n").alias("n"), held.alias("held"))
+    blocks = blocks.withColumn("levels", F.expr(f"transform(sequence({base}, element_at(held, -1).level), at -> transform(filter(held, x -> x.level = at), x -> x.hash))"))
+    steps = "IF(size(levels) > 1, sequence(0, size(levels) - 2), CAST(array() AS array<int>))"
+    sibling = "(shiftright(leaf.index, step) ^ 1L)"
+    # The siblings of a block's leaves lie in it; the last of a level may have none.
+    hash = f"get(get(levels, step), CAST({sibling} - shiftleft(block, {height} - step) AS int))"
+    proof = f"transform({steps}, step -> named_struct('first', {sibling} % 2 = 0, 'hash', {hash}))"
+    paths = f"transform(filter(held, x -> x.level = {base}), leaf -> named_struct('index', leaf.index, 'doc_id', leaf.doc_id, 'leaf', leaf.hash, 'presented', leaf.presented, 'proof', {proof}))"
+    found = blocks.withColumn("paths", F.expr(paths)).select("tree", "block", "n", F.inline_outer("paths"))
+    # What is above the block is the same for all its leaves.
+    above = tops.select("tree", "block", F.col("proof").alias("above"), "subroot", "root")
+    return found.join(above, ["tree", "block"]).select("tree", "index", "n", "doc_id", "leaf", "presented", F.concat("proof", "above").alias("proof"), "subroot", "root")
 
 
 @dataclass
@@ -207,8 +169,7 @@ def _rounds(leaves: DataFrame, height: int) -> list[DataFrame]:
     nodes, logs, base = leaves, [], 0
     largest = leaves.agg(F.max("n")).first()[0] or 0
     while True:
-        blocks = nodes.withColumn("block", F.shiftright("index", height)).groupBy("tree", "block")
-        logs.append(written(blocks.applyInArrow(_build(height, base), NODES), f"merkle-log-{len(logs)}"))
+        logs.append(written(_build(nodes, height, base), f"merkle-log-{len(logs)}"))
         base += height
         if nodes_at(largest, base) <= 1:
             return logs
@@ -227,8 +188,7 @@ def _paths(rounds: list[DataFrame], above: DataFrame, height: int) -> DataFrame:
         tops = ends.select("tree", "block").join(above, "tree")
         if below is not None:
             tops = tops.unionByName(below.select("tree", F.col("index").alias("block"), "proof", "subroot", "root"))
-        tops = tops.select(*[F.col(c).alias(c) for c in tops.columns])
-        below = log.groupBy("tree", "block").cogroup(tops.groupBy("tree", "block")).applyInArrow(_extract(height, base), PATHS)
+        below = _extract(log, tops, height, base)
         if turn:
             below = written(below, f"merkle-paths-{turn}")
     return below
