@@ -123,3 +123,14 @@ def test_a_row_that_is_added_changes_only_the_right_edge(spark):
 def test_crc_of_ids_is_unsigned(spark):
     got = spark.range(20).select(F.crc32(F.col("id").cast("string").cast("binary"))).collect()
     assert [r[0] for r in got] == [zlib.crc32(str(i).encode()) for i in range(20)]
+
+
+def test_blocks_need_no_python_on_executors(spark, monkeypatch):
+    """Nor does a plan work out a block's levels again for each of its leaves."""
+    plans, write = [], merkle.written
+    keep = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(merkle, "written", lambda df, name: (keep(df), write(df, name))[1])
+    rows = [(i, "t", f"l{i % 2}", "s", i) for i in range(20)]
+    keep(merkle.merkle_manifest(merkle.leaves(given(spark, rows)), 2).proofs())
+    assert not [plan for plan in plans if "InArrow" in plan or "InPandas" in plan or "Python" in plan]
+    assert not [line for plan in plans for line in plan.splitlines() if "Filter" in line and "lambdafunction" in line]
