@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from wattlake.llm import jaccard, lines
+from wattlake.llm.common import written
 from wattlake.llm.components import components
 from wattlake.llm.tokens import shingles, words
 
@@ -207,3 +208,36 @@ def test_links_of_rows_without_an_id(spark):
     rows = [(1, " ".join(words)), (None, " ".join(middle)), (9, " ".join(last)), (None, "only this one here")]
     got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.class_id, r.n_links) for r in got} == {(1, 1, 1), (9, 1, 1), (None, 1, 2), (None, None, 0)}
+
+
+def test_lines_use_no_python_on_the_executors(spark, monkeypatch):
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(lines, "written", kept)
+    docs = spark.createDataFrame([(i, f"a line that comes again but for its end {i % 7}\n{'x' * (i % 9)}", 0, "") for i in range(40)], DOCS)
+    found = lines.line_groups(docs)
+    assert found.count() > 0
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and not [p for plan in plans for p in ("Arrow", "Pandas", "Python") if p in plan]
+
+
+def test_one_letter_edits_of_lines_of_every_size_are_found(spark):
+    """Sizes around the bounds between two levels, of one and of more bytes a character."""
+    rng = random.Random(29)
+    docs, reach = [], {}
+    for i in range(1200):
+        line = "".join(rng.choice("abcdefghij klmnoé漢😀") for _ in range(rng.choice([12, 14, 16, 30, 36, 40, 44, 130, 160, 190, 200, 230, 400])))
+        at = rng.randrange(len(line))
+        edited = line[:at] + line[at + 1 :] if i % 2 else line[:at] + "#" + line[at + 1 :]
+        a, b = line_shingles(line), line_shingles(edited)
+        reach[i] = bool(edited.strip() and line.strip()) and len(a & b) >= 0.8 * len(a | b)
+        docs += [(2 * i, line, 0, ""), (2 * i + 1, edited, 0, "")]
+    assert sum(reach.values()) > 700
+    got = {r.doc_id: r.group_doc for r in lines.line_groups(spark.createDataFrame(docs, DOCS)).collect()}
+    found = [got[2 * i + 1] == 2 * i for i in reach if reach[i]]
+    assert sum(found) >= 0.99 * len(found)
+    assert all(got[2 * i + 1] == 2 * i + 1 for i in reach if not reach[i])
