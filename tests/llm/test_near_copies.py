@@ -241,3 +241,46 @@ def test_one_letter_edits_of_lines_of_every_size_are_found(spark):
     found = [got[2 * i + 1] == 2 * i for i in reach if reach[i]]
     assert sum(found) >= 0.99 * len(found)
     assert all(got[2 * i + 1] == 2 * i + 1 for i in reach if not reach[i])
+
+
+def test_checks_of_lines_do_no_work_twice(spark, monkeypatch):
+    """A pair's sets meet once, and texts that are alone are not looked up in the end."""
+    plans, rows = {}, {}
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        stored = written(df, name)
+        rows[name] = stored.count()
+        return stored
+
+    monkeypatch.setattr(lines, "written", kept)
+    rng = random.Random(31)
+    alone = ["".join(rng.choice("abcdefgh ijklmnop") for _ in range(70)) for _ in range(30)]
+    text = "a line that comes in two kinds, one of them with another end: "
+    docs = [(i, line, 0, "") for i, line in enumerate([*alone, "twice the same", "twice the same", f"{text}x", f"{text}y"])]
+    got = {r.doc_id: (r.keep, r.group_doc, r.group_pos, r.texts) for r in lines.line_groups(spark.createDataFrame(docs, DOCS)).collect()}
+    assert got == {i: (i not in (31, 33), {31: 30, 33: 32}.get(i, i), 0, 2 if i > 31 else 1) for i in range(34)}
+    assert plans["line-links"].count("array_intersect") == 1
+    assert rows["line-groups"] == 3
+
+
+def test_links_of_long_lines_of_one_band_are_found(spark):
+    """Long lines alike by a half to all, of which the least hashes are compared first."""
+    rng = random.Random(37)
+    docs = []
+    for family in range(6):
+        base = [rng.choice("abcdefghijklmnop ") for _ in range(rng.choice([90, 300, 900]))]
+        for k in range(14):
+            line, end = list(base), int(len(base) * rng.uniform(0, 0.5))
+            line[:end] = [rng.choice("abcdefghijklmnop ") for _ in range(end)]
+            docs.append((100 * family + k, "".join(line), 0, ""))
+    sets = [line_shingles(t) for _, t, *_ in docs]
+    share = [(a, b, len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a in range(len(docs)) for b in range(a)]
+    assert sum(0.5 < s < 0.8 for *_, s in share) > 50
+    frame = spark.createDataFrame(docs, DOCS)
+    entries = frame.selectExpr("doc_id AS entry", "text AS line", "length(text) AS size").withColumn("n", F.size(lines.shingles(F.col("line"))))
+    band = entries.selectExpr("CAST(entry / 100 AS bigint) AS band", "entry", "n", "size", "entry AS component", "entry % 100 > 0 AS guest")
+    want = {(docs[a][0], docs[b][0]) for a, b, s in share if s >= 0.8 and docs[a][0] // 100 == docs[b][0] // 100}
+    assert want
+    for block in (lines.BLOCK, 700):
+        assert {tuple(r) for r in lines._across(band, entries, 80, lines.SHINGLE, block).collect()} == want
